@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -49,7 +49,7 @@ class CastColumn:
 def decide(
     df: DataFrame, spec: TableSpec, params: AuditParams = AuditParams(), per_row: bool = False
 ) -> dict[str, ColumnRule]:
-    """Column-level decisions, taken in one aggregate that returns one row.
+    """Column-level decisions, taken in an aggregate that returns one row.
 
     * does the column hold anything outside ASCII (else NFKC is skipped);
     * with a decimal comma: does any cell use dots for thousands;
@@ -58,31 +58,52 @@ def decide(
     With ``per_row`` dates are tried format by format for every cell instead.
     """
     present = _string_columns(df, spec)
-    aggs = []
-    for i, col in enumerate(present):
-        clean = normalize(quoted(col.name))
-        aggs.append(F.bool_or(quoted(col.name).rlike(NON_ASCII)).alias(f"u{i}"))
-        if col.type in ("int", "float") and params.decimal_sep == ",":
-            aggs.append(F.bool_or(clean.rlike(EUROPEAN_THOUSANDS)).alias(f"d{i}"))
-        if col.type == "datetime" and not per_row:
-            for j, fmt in enumerate(params.date_formats):
-                fits = parse_datetime(clean, fmt).isNotNull()
-                aggs.append(F.bool_or(fits).alias(f"f{i}_{j}"))
-    if not aggs:
-        return {}
-    row = df.agg(*aggs).first().asDict()
+    looked_at = [c for c in present if _questions(c, params, per_row)]
+
+    def look(columns: list[ColumnSpec], unicode_form: bool) -> dict:
+        aggs = [
+            F.bool_or(question(normalize(quoted(c.name), unicode_form))).alias(f"{c.name} {tag}")
+            for c in columns
+            for tag, question in _questions(c, params, per_row).items()
+        ]
+        if not unicode_form:
+            aggs += [
+                F.bool_or(quoted(c.name).rlike(NON_ASCII)).alias(f"{c.name} unicode")
+                for c in present
+            ]
+        return df.agg(*aggs).first().asDict() if aggs else {}
+
+    # NFKC leaves the JVM, so the first look does without.  Only dates and
+    # numbers in columns that do hold other characters are looked at again.
+    row = look(looked_at, False)
+    again = [c for c in looked_at if row[f"{c.name} unicode"]]
+    row.update(look(again, True) if again else {})
     rules = {}
-    for i, col in enumerate(present):
-        fitting = [f for j, f in enumerate(params.date_formats) if row.get(f"f{i}_{j}")]
+    for col in present:
+        fitting = [f for f in params.date_formats if row.get(f"{col.name} {f}")]
         fallback = params.date_formats[-1] if params.date_formats else None
         rules[col.name] = ColumnRule(
-            bool(row[f"u{i}"]),
-            bool(row.get(f"d{i}")),
-            (fitting[0] if fitting else fallback) if not per_row else None,
+            bool(row[f"{col.name} unicode"]),
+            bool(row.get(f"{col.name} dots")),
+            None if per_row else (fitting[0] if fitting else fallback),
         )
     return rules
 
 
+def _questions(
+    col: ColumnSpec, params: AuditParams, per_row: bool
+) -> dict[str, Callable[[Column], Column]]:
+    """What has to be asked of any cell of a column, by the tag of the answer."""
+    if col.type in ("int", "float") and params.decimal_sep == ",":
+        return {"dots": lambda cell: cell.rlike(EUROPEAN_THOUSANDS)}
+    if col.type == "datetime" and not per_row:
+        return {
+            fmt: lambda cell, fmt=fmt: parse_datetime(cell, fmt).isNotNull()
+            for fmt in params.date_formats
+        }
+    return {}
+
+
 def _string_columns(df: DataFrame, spec: TableSpec) -> list[ColumnSpec]:
     return [
         c

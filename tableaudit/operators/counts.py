@@ -28,25 +28,32 @@ from ..session import rank_buckets
 INF = float("inf")
 
 
+def with_names(report: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Replace the number of a column (``slot``) by its name."""
+    known = F.array(*[F.lit(n) for n in names])
+    others = [c for c in report.columns if c != "slot"]
+    return report.select(F.element_at(known, F.col("slot") + 1).alias("column"), *others)
+
+
 def level_counts(
     df: DataFrame, columns: Sequence[str], tallies: Mapping[str, Column] | None = None
 ) -> DataFrame:
     """``(column, level, n, *tallies)`` for the given columns, read as text.
 
-    ``tallies`` are 0/1 row expressions that are summed per level.
+    ``tallies`` are 0/1 row expressions that are summed per level.  Null is a
+    level.  Rows are grouped by the number of the column, which is a cheaper
+    key than its name.
     """
     tallies = dict(tallies or {})
-    wide = df.select(
-        *[quoted(c).cast("string").alias(c) for c in columns],
-        *[expr.cast("bigint").alias(f"__{name}") for name, expr in tallies.items()],
+    cells = [x for i, c in enumerate(columns) for x in (F.lit(i), quoted(c).cast("string"))]
+    long = df.select(
+        F.stack(F.lit(len(columns)), *cells).alias("slot", "level"),
+        *[expr.cast("bigint").alias(name) for name, expr in tallies.items()],
     )
-    long = wide.unpivot(
-        [F.col(f"__{name}") for name in tallies], [quoted(c) for c in columns], "column", "level"
-    )
-    return long.groupBy("column", "level").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(f"__{name}").alias(name) for name in tallies],
+    counted = long.groupBy("slot", "level").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(name).alias(name) for name in tallies]
     )
+    return with_names(counted, columns)
 
 
 @dataclass(frozen=True)
@@ -66,13 +73,18 @@ class Numeric:
 
 
 def border_exprs(items: Sequence[Numeric], buckets: int) -> list[Column]:
-    """One aggregate per column giving its approximate evenly spaced borders."""
+    """One sketch per column giving its approximate evenly spaced borders.
+
+    Borders only decide how evenly the work is spread, never a result.
+    """
     grid = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
-    accuracy = F.lit(max(10000, 20 * buckets))
-    return [
-        F.percentile_approx(item.value.cast("double"), grid, accuracy).alias(f"__borders_{i}")
-        for i, item in enumerate(items)
-    ]
+    size = F.lit(min(65535, max(200, 10 * buckets)))
+    exprs = []
+    for i, item in enumerate(items):
+        value = item.value.cast("double")
+        borders = F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(value, size), grid)
+        exprs.append(F.when(F.count(value) > 0, borders).alias(f"__borders_{i}"))
+    return exprs
 
 
 def fetch_borders(
@@ -98,10 +110,11 @@ def ranged_counts(
     borders: Sequence[Sequence[float]],
     tallies: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """``(column, range, value, n, *tallies)`` over the non-missing numbers.
+    """``(slot, range, whole, fraction, n, *tallies)`` over the non-missing numbers.
 
-    ``value`` is a struct of a whole and a fractional part of which one is
-    always null, so that long integers keep their exact order.
+    ``slot`` is the position of the column in ``items``.  Integers fill
+    ``whole`` and other numbers ``fraction``, so that long integers keep their
+    exact order.
     """
     tallies = dict(tallies or {})
     ranked = df.select(
@@ -119,12 +132,17 @@ def ranged_counts(
         value = F.col(f"__v{i}")
         whole = value if item.integral else F.lit(None).cast("bigint")
         fraction = F.lit(None).cast("double") if item.integral else value
-        cells += [F.lit(item.name), F.col(f"__r{i}").cast("int"), whole, fraction]
+        cells += [F.lit(i), F.col(f"__r{i}").cast("int"), whole, fraction]
     long = ranked.select(
-        F.stack(F.lit(len(items)), *cells).alias("column", "range", "whole", "fraction"),
+        F.stack(F.lit(len(items)), *cells).alias("slot", "range", "whole", "fraction"),
         *[F.col(f"__{name}") for name in tallies],
-    ).where("whole IS NOT NULL OR fraction IS NOT NULL")
-    return long.groupBy("column", "range", "whole", "fraction").agg(
+    )
+    # Naming the keys here keeps this stage identical wherever it is used, so
+    # that Spark shuffles it once.
+    long = long.where(
+        "(whole IS NOT NULL OR fraction IS NOT NULL) AND slot IS NOT NULL AND range IS NOT NULL"
+    )
+    return long.groupBy("slot", "range", "whole", "fraction").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(f"__{name}").alias(name) for name in tallies],
     )
@@ -143,24 +161,24 @@ def distinct_and_quantiles(
 ) -> tuple[DataFrame, DataFrame]:
     """Exact distinct counts and linearly interpolated quantiles per column.
 
-    Returns ``(column, n_unique, n_valid)`` and ``(column, q, value)``.
+    Returns ``(slot, n_unique, n_valid)`` and ``(slot, q, value)``.
     """
-    sizes = counts.groupBy("column", "range").agg(
+    sizes = counts.groupBy("slot", "range").agg(
         F.sum("n").alias("size"), F.count(F.lit(1)).alias("distinct_values")
     )
-    distinct = sizes.groupBy("column").agg(
+    distinct = sizes.groupBy("slot").agg(
         F.sum("distinct_values").alias("n_unique"), F.sum("size").alias("n_valid")
     )
     # `sizes` holds at most one row per column and range: these windows are small.
     placed = sizes.select(
-        "column",
+        "slot",
         "range",
         "size",
-        _before("size", "column", order=["range"]).alias("start"),
-        F.sum("size").over(W.partitionBy("column")).alias("total"),
+        _before("size", "slot", order=["range"]).alias("start"),
+        F.sum("size").over(W.partitionBy("slot")).alias("total"),
     )
     wanted = placed.select(
-        "column",
+        "slot",
         "range",
         "size",
         "start",
@@ -168,7 +186,7 @@ def distinct_and_quantiles(
         "total",
     ).withColumn("position", F.col("q") * (F.col("total") - 1))
     wanted = wanted.select(
-        "column",
+        "slot",
         "range",
         "size",
         "start",
@@ -182,16 +200,16 @@ def distinct_and_quantiles(
         ).alias("t"),
     ).where((F.col("t.rank") >= F.col("start")) & (F.col("t.rank") < F.col("start") + F.col("size")))
     # At most two targets per column and quantile: safe to send everywhere.
-    targets = wanted.groupBy("column", "range").agg(
+    targets = wanted.groupBy("slot", "range").agg(
         F.collect_list(
             F.struct("q", "weight", "t.side", (F.col("t.rank") - F.col("start")).alias("rank"))
         ).alias("targets")
     )
-    running = counts.join(F.broadcast(targets), ["column", "range"]).withColumn(
-        "seen", _before("n", "column", "range", order=IN_ORDER)
+    running = counts.join(F.broadcast(targets), ["slot", "range"]).withColumn(
+        "seen", _before("n", "slot", "range", order=IN_ORDER)
     )
     hits = running.select(
-        "column",
+        "slot",
         F.coalesce(F.col("whole").cast("double"), F.col("fraction")).alias("value"),
         F.explode(
             F.filter(
@@ -200,7 +218,7 @@ def distinct_and_quantiles(
             )
         ).alias("t"),
     )
-    values = hits.groupBy("column", F.col("t.q").alias("q")).agg(
+    values = hits.groupBy("slot", F.col("t.q").alias("q")).agg(
         F.max(F.when(F.col("t.side") == "low", F.col("value"))).alias("low"),
         F.max(F.when(F.col("t.side") == "high", F.col("value"))).alias("high"),
         F.max("t.weight").alias("weight"),
@@ -208,7 +226,7 @@ def distinct_and_quantiles(
     between = F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")
     same = F.col("low") == F.col("high")
     return distinct, values.select(
-        "column", "q", F.when(same, F.col("low")).otherwise(between).alias("value")
+        "slot", "q", F.when(same, F.col("low")).otherwise(between).alias("value")
     )
 
 
@@ -219,8 +237,8 @@ def area_under_curve(counts: DataFrame, pos: str = "n_pos", neg: str = "n_neg")
     classes gets null.
     """
     # Within a range: pairs of a positive and a smaller negative, ties half.
-    running = counts.withColumn("below", _before(neg, "column", "range", order=IN_ORDER))
-    per_range = running.groupBy("column", "range").agg(
+    running = counts.withColumn("below", _before(neg, "slot", "range", order=IN_ORDER))
+    per_range = running.groupBy("slot", "range").agg(
         F.sum(
             F.col(pos).cast("double") * (F.col("below") + F.col(neg) / 2.0)
         ).alias("wins"),
@@ -229,12 +247,12 @@ def area_under_curve(counts: DataFrame, pos: str = "n_pos", neg: str = "n_neg")
         F.count(F.lit(1)).alias("distinct_values"),
     )
     # Across ranges: one row per column and range from here on.
-    shifted = per_range.withColumn("lower", _before("neg", "column", order=["range"]))
-    sums = shifted.groupBy("column").agg(
+    shifted = per_range.withColumn("lower", _before("neg", "slot", order=["range"]))
+    sums = shifted.groupBy("slot").agg(
         F.sum(F.col("wins") + F.col("pos").cast("double") * F.col("lower")).alias("wins"),
         F.sum("pos").alias("n_pos"),
         F.sum("neg").alias("n_neg"),
         F.sum("distinct_values").alias("n_unique"),
     )
     pairs = F.nullif(F.col("n_pos").cast("double") * F.col("n_neg"), F.lit(0.0))
-    return sums.select("column", (F.col("wins") / pairs).alias("auc"), "n_pos", "n_neg", "n_unique")
+    return sums.select("slot", (F.col("wins") / pairs).alias("auc"), "n_pos", "n_neg", "n_unique")

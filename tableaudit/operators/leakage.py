@@ -12,7 +12,14 @@ from pyspark.sql import types as T
 from ..functions.missing import quoted
 from ..session import small_frame
 from ..spec import AuditParams, LabelRule, TableSpec
-from .counts import Numeric, area_under_curve, fetch_borders, level_counts, ranged_counts
+from .counts import (
+    Numeric,
+    area_under_curve,
+    fetch_borders,
+    level_counts,
+    ranged_counts,
+    with_names,
+)
 from .label import label_negative, label_positive, label_valid
 from .roles import non_features, pattern_hits
 
@@ -113,7 +120,7 @@ def univariate_auc(df: DataFrame, rule: LabelRule, columns: Sequence[str]) -> Da
     counts = ranged_counts(
         numbers, items, borders, {"n_pos": F.col("__is_pos"), "n_neg": ~F.col("__is_pos")}
     )
-    scored = area_under_curve(counts)
+    scored = with_names(area_under_curve(counts), columns)
     enough = (F.col("n_pos") + F.col("n_neg")) >= 2
     auc = F.round(F.when(enough, F.col("auc")), 6)
     both = F.round(F.when(enough, F.greatest("auc", F.lit(1.0) - F.col("auc"))), 6)

@@ -18,6 +18,7 @@ from .counts import (
     fetch_borders,
     level_counts,
     ranged_counts,
+    with_names,
 )
 
 FAMILIES = ("int", "float", "bool", "category", "string", "datetime")
@@ -110,14 +111,14 @@ def numeric_profile(
     counts = ranged_counts(df, items, borders)
     distinct, values = distinct_and_quantiles(counts, quantiles)
     # From here on every frame has one row per column (times quantile).
-    by_name = values.groupBy("column").agg(
+    by_name = with_names(values, columns).groupBy("column").agg(
         *[
             F.max(F.when(F.col("q") == float(q), F.col("value"))).alias(name)
             for q, name in zip(quantiles, names)
         ]
     )
     return (
-        base.join(F.broadcast(distinct.drop("n_valid")), "column", "left")
+        base.join(F.broadcast(with_names(distinct.drop("n_valid"), columns)), "column", "left")
         .join(F.broadcast(by_name), "column", "left")
         .withColumn("n_unique", F.coalesce("n_unique", F.lit(0)))
     )

@@ -16,16 +16,19 @@ from .conform import types_match
 from .label import label_summary
 from .missingness import missingness
 
-ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+# Two hexadecimal pieces of a digest, each cut into three numbers of 20 bits.
+PIECES = (1, 16)
+PIECE_DIGITS = 15
+SHIFTS = (40, 20, 0)
 FIGURES = ("n_rows", "n_cols", "content_hash")
 
 
 def canonical_text(df: DataFrame, name: str) -> Column:
-    """A cell as text; instants in ISO form and UTC, null and empty alike."""
+    """A cell as text; instants as microseconds in UTC, null and empty alike."""
     dtype = df.schema[name].dataType
     value = quoted(name)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        text = F.date_format(value, ISO_UTC)
+        text = F.unix_micros(value.cast("timestamp")).cast("string")
     elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
         text = F.to_json(value)
     else:
@@ -45,18 +48,25 @@ def row_digest(df: DataFrame) -> Column:
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: ``(n_rows, n_cols, header_md5, content_hash)``.
 
-    The row digests are cut in four and summed, so neither the order of the
-    rows nor their split over files matters, but every row counts, copies
-    included.  Each task sends one row of sums.
+    120 bits of the row digests are summed in pieces, so neither the order of
+    the rows nor their split over files matters, but every row counts, copies
+    included.  Each task sends one row of sums.  The sums hold for eight
+    trillion rows; beyond that Spark raises an overflow error.
     """
-    digest = df.select(row_digest(df).alias("digest"))
-    part = lambda i: F.conv(F.substring("digest", 8 * i + 1, 8), 16, 10).cast(
-        "decimal(20,0)"
+    digest = df.select(row_digest(df).alias("digest")).select(
+        *[
+            F.conv(F.substring("digest", start, PIECE_DIGITS), 16, 10).cast("bigint").alias(f"d{i}")
+            for i, start in enumerate(PIECES)
+        ]
     )
-    sums = [F.coalesce(F.sum(part(i)), F.lit(0)).cast("string") for i in range(4)]
+    sums = [
+        F.coalesce(F.sum(F.shiftright(f"d{i}", shift).bitwiseAND(F.lit(0xFFFFF))), F.lit(0))
+        for i in range(len(PIECES))
+        for shift in SHIFTS
+    ]
     header = hashlib.md5("\n".join(df.columns).encode()).hexdigest()
     totals = digest.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", *sums).alias("content_hash")
+        F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", *[x.cast("string") for x in sums]).alias("content_hash")
     )
     return totals.select(
         "n_rows",

@@ -55,8 +55,10 @@ def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
     broadcast and their pairs never shuffle for this join; the rest joins on
     ``term``, where no key is heavy any more.
     """
-    pairs = F.sum(F.size(F.array_distinct(tokens(quoted(text)))).cast("bigint"))
-    size = df.agg(F.count(F.lit(1)).alias("docs"), pairs.alias("pairs")).first()
+    # A token and the gap after it take three characters, which bounds the
+    # number of pairs without tokenizing.
+    most = F.sum(F.floor((F.length(quoted(text)) + 1) / 3))
+    size = df.agg(F.count(F.lit(1)).alias("docs"), most.alias("pairs")).first()
     limit = (size["pairs"] or 0) // HOT_PARTS
     terms = term_counts(df, doc, text)
     freq = document_frequency(terms).select(

@@ -12,7 +12,13 @@ from ..functions.missing import quoted
 from ..functions.text import search, word_count
 from ..session import small_frame
 from ..spec import AuditParams
-from .counts import Numeric, distinct_and_quantiles, fetch_borders, ranged_counts
+from .counts import (
+    Numeric,
+    distinct_and_quantiles,
+    fetch_borders,
+    ranged_counts,
+    with_names,
+)
 from .profile import quantile_name
 
 
@@ -80,7 +86,7 @@ def text_lengths(
         [(float(q), quantile_name(q)) for q in quantiles],
         "q double, metric string",
     )
-    inner = values.join(F.broadcast(names), "q").select(
+    inner = with_names(values, [i.name for i in items]).join(F.broadcast(names), "q").select(
         F.col("column").alias("length"), "metric", F.col("value").cast("bigint").alias("number")
     )
     return ends.unionByName(inner)
@@ -89,10 +95,10 @@ def text_lengths(
 def text_profile(df: DataFrame, column: str, params: AuditParams = AuditParams()) -> DataFrame:
     """``(metric, number, warning)``: every figure about one free-text column."""
     if column not in df.columns:
-        return small_frame(
-            df.sparkSession,
-            [("column", None, f"{column} column not found")],
-            "metric string, number double, warning string",
+        return df.agg(F.count(F.lit(1)).cast("double").alias("number")).select(
+            F.lit("n_rows").alias("metric"),
+            "number",
+            F.lit(f"{column} column not found").alias("warning"),
         )
     shares = text_shares(df, column, params)
     lengths = text_lengths(df, column, params.quantiles).select(

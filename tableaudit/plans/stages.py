@@ -33,19 +33,20 @@ def fingerprint_sql(source: str, columns: dict[str, str]) -> str:
     cells = []
     for c, kind in columns.items():
         text = (
-            f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%fZ')" if kind == "time" else f"CAST({c} AS VARCHAR)"
+            f"CAST(epoch_us({c}) AS VARCHAR)" if kind == "time" else f"CAST({c} AS VARCHAR)"
         )
         text = f"coalesce({text}, '')"
         cells.append(f"length({text}) || ':' || {text}")
     digest = "md5(" + " || ".join(cells) + ")"
     sums = " || '-' || ".join(
-        f"CAST(sum(CAST(('0x' || substr(digest, {8 * i + 1}, 8)) AS BIGINT)) AS VARCHAR)"
-        for i in range(4)
+        f"CAST(sum((d{i} >> {shift}) & 1048575) AS VARCHAR)" for i in (0, 1) for shift in (40, 20, 0)
     )
     header = hashlib.md5("\n".join(columns).encode()).hexdigest()
     return (
         f"SELECT count(*) AS n_rows, {len(columns)} AS n_cols, '{header}' AS header_md5, "
-        f"{sums} AS content_hash FROM (SELECT {digest} AS digest FROM {source})"
+        f"{sums} AS content_hash FROM (SELECT CAST('0x' || substr(digest, 1, 15) AS BIGINT) AS d0, "
+        f"CAST('0x' || substr(digest, 16, 15) AS BIGINT) AS d1 "
+        f"FROM (SELECT {digest} AS digest FROM {source}))"
     )
 
 
