@@ -156,19 +156,40 @@ def _before(total: str, *partition: str, order: Sequence[str]) -> Column:
     return F.coalesce(F.sum(total).over(window), F.lit(0))
 
 
-def distinct_and_quantiles(
-    counts: DataFrame, quantiles: Sequence[float]
-) -> tuple[DataFrame, DataFrame]:
-    """Exact distinct counts and linearly interpolated quantiles per column.
+def _number() -> Column:
+    return F.coalesce(F.col("whole").cast("double"), F.col("fraction"))
 
-    Returns ``(slot, n_unique, n_valid)`` and ``(slot, q, value)``.
+
+def weighted_moments(counts: DataFrame) -> DataFrame:
+    """``(slot, n_valid, n_unique, min, max, mean, std)`` from value counts.
+
+    The deviations are taken from the mean in a second step over the same
+    shuffled counts, which is as stable as the usual two-pass formula.
     """
-    sizes = counts.groupBy("slot", "range").agg(
-        F.sum("n").alias("size"), F.count(F.lit(1)).alias("distinct_values")
+    value, n = _number(), F.col("n").cast("double")
+    first = counts.groupBy("slot").agg(
+        F.sum("n").alias("n_valid"),
+        F.count(F.lit(1)).alias("n_unique"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        (F.sum(value * n) / F.sum(n)).alias("mean"),
+    )
+    # One row per column.
+    centre = first.select("slot", "mean")
+    gap = value - F.col("mean")
+    spread = (
+        counts.join(F.broadcast(centre), "slot").groupBy("slot").agg(F.sum(gap * gap * n).alias("m2"))
     )
-    distinct = sizes.groupBy("slot").agg(
-        F.sum("distinct_values").alias("n_unique"), F.sum("size").alias("n_valid")
+    free = F.nullif(F.col("n_valid") - 1, F.lit(0))
+    std = F.coalesce(F.sqrt(F.col("m2") / free), F.lit(0.0))
+    return first.join(F.broadcast(spread), "slot").select(
+        "slot", "n_valid", "n_unique", "min", "max", "mean", std.alias("std")
     )
+
+
+def exact_quantiles(counts: DataFrame, quantiles: Sequence[float]) -> DataFrame:
+    """``(slot, q, value)``: exact quantiles per column, linearly interpolated."""
+    sizes = counts.groupBy("slot", "range").agg(F.sum("n").alias("size"))
     # `sizes` holds at most one row per column and range: these windows are small.
     placed = sizes.select(
         "slot",
@@ -210,7 +231,7 @@ def distinct_and_quantiles(
     )
     hits = running.select(
         "slot",
-        F.coalesce(F.col("whole").cast("double"), F.col("fraction")).alias("value"),
+        _number().alias("value"),
         F.explode(
             F.filter(
                 "targets",
@@ -225,7 +246,7 @@ def distinct_and_quantiles(
     )
     between = F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")
     same = F.col("low") == F.col("high")
-    return distinct, values.select(
+    return values.select(
         "slot", "q", F.when(same, F.col("low")).otherwise(between).alias("value")
     )
 

@@ -14,10 +14,11 @@ from ..session import small_frame
 from ..spec import AuditParams
 from .counts import (
     Numeric,
-    distinct_and_quantiles,
+    exact_quantiles,
     fetch_borders,
     level_counts,
     ranged_counts,
+    weighted_moments,
     with_names,
 )
 
@@ -51,76 +52,82 @@ def numeric_profile(
 ) -> DataFrame:
     """One row per numeric column.
 
-    Two passes: an aggregate pass for the moments and range borders, then the
-    value counts for the exact distinct count and quantiles.  With ``approx``
-    the second pass is left out and sketches fill its columns.
+    Two scans: sketches for the range borders, then the value counts, from
+    which every figure is exact.  With ``approx`` there is one scan, and the
+    distinct counts and quantiles are estimates.
     """
     columns = list(columns) if columns is not None else columns_of(df, "int", "float")
     items = [Numeric.of(df, c) for c in columns]
-    stats = [F.count(F.lit(1)).alias("rows")]
-    for i, item in enumerate(items):
-        value = item.value
-        stats += [
-            F.count(value).alias(f"valid_{i}"),
-            F.min(value).cast("double").alias(f"min_{i}"),
-            F.max(value).cast("double").alias(f"max_{i}"),
-            F.avg(value).alias(f"mean_{i}"),
-            F.stddev_samp(value.cast("double")).alias(f"std_{i}"),
-        ]
-        if approx:
-            grid = F.array(*[F.lit(float(q)) for q in quantiles])
-            stats += [
-                F.approx_count_distinct(value).alias(f"unique_{i}"),
-                F.percentile_approx(value.cast("double"), grid).alias(f"quantiles_{i}"),
-            ]
     if approx:
-        row, borders = df.agg(*stats).first(), None
-    else:
-        row, borders = fetch_borders(df, items, stats)
-    n = row["rows"]
-    facts = []
-    for i, item in enumerate(items):
-        valid = row[f"valid_{i}"]
-        std = row[f"std_{i}"]
-        facts.append(
-            (
-                item.name,
-                "int" if item.integral else "float",
-                n,
-                round(1 - valid / n, 6) if n else 0.0,
-                row[f"min_{i}"],
-                row[f"max_{i}"],
-                row[f"mean_{i}"],
-                (0.0 if valid == 1 else std) if valid else None,
-                *(
-                    (row[f"unique_{i}"], *(row[f"quantiles_{i}"] or [None] * len(quantiles)))
-                    if approx
-                    else ()
-                ),
-            )
-        )
-    names = [quantile_name(q) for q in quantiles]
-    schema = (
-        "column string, type string, count bigint, missing_share double, "
-        "min double, max double, mean double, std double"
+        return _numeric_sketch(df, items, quantiles)
+    row, borders = fetch_borders(df, items, [F.count(F.lit(1)).alias("rows")])
+    n_rows = F.lit(row["rows"])
+    names = small_frame(
+        df.sparkSession,
+        [(i.name, "int" if i.integral else "float") for i in items],
+        "column string, type string",
     )
-    if approx:
-        schema += ", n_unique bigint" + "".join(f", {name} double" for name in names)
-        return small_frame(df.sparkSession, facts, schema)
-    base = small_frame(df.sparkSession, facts, schema)
     counts = ranged_counts(df, items, borders)
-    distinct, values = distinct_and_quantiles(counts, quantiles)
+    moments = with_names(weighted_moments(counts), columns)
+    quantile_rows = with_names(exact_quantiles(counts, quantiles), columns)
     # From here on every frame has one row per column (times quantile).
-    by_name = with_names(values, columns).groupBy("column").agg(
+    by_name = quantile_rows.groupBy("column").agg(
         *[
-            F.max(F.when(F.col("q") == float(q), F.col("value"))).alias(name)
-            for q, name in zip(quantiles, names)
+            F.max(F.when(F.col("q") == float(q), F.col("value"))).alias(quantile_name(q))
+            for q in quantiles
         ]
     )
+    valid = F.coalesce("n_valid", F.lit(0))
     return (
-        base.join(F.broadcast(with_names(distinct.drop("n_valid"), columns)), "column", "left")
+        names.join(F.broadcast(moments), "column", "left")
         .join(F.broadcast(by_name), "column", "left")
-        .withColumn("n_unique", F.coalesce("n_unique", F.lit(0)))
+        .select(
+            "column",
+            "type",
+            n_rows.cast("bigint").alias("count"),
+            F.coalesce("n_unique", F.lit(0)).alias("n_unique"),
+            share(n_rows - valid, n_rows, 0.0).alias("missing_share"),
+            "min",
+            "max",
+            "mean",
+            "std",
+            *[quantile_name(q) for q in quantiles],
+        )
+    )
+
+
+def _numeric_sketch(df: DataFrame, items: Sequence[Numeric], quantiles) -> DataFrame:
+    """One scan; distinct counts and quantiles are estimates."""
+    grid = F.array(*[F.lit(float(q)) for q in quantiles])
+    aggs, cells = [F.count(F.lit(1)).alias("count")], []
+    for i, item in enumerate(items):
+        value = item.value.cast("double")
+        figures = {
+            "valid": F.count(value),
+            "n_unique": F.approx_count_distinct(value),
+            "min": F.min(value),
+            "max": F.max(value),
+            "mean": F.avg(value),
+            "std": F.when(F.count(value) == 1, F.lit(0.0)).otherwise(F.stddev_samp(value)),
+            "quantiles": F.percentile_approx(value, grid),
+        }
+        aggs += [expr.alias(f"{name}_{i}") for name, expr in figures.items()]
+        cells += [F.lit(item.name), F.lit("int" if item.integral else "float")]
+        cells += [F.col(f"{name}_{i}") for name in figures]
+    long = df.agg(*aggs).select(
+        "count", F.stack(F.lit(len(items)), *cells).alias("column", "type", *figures)
+    )
+    return long.select(
+        "column",
+        "type",
+        "count",
+        "n_unique",
+        share(F.col("count") - F.col("valid"), F.col("count"), 0.0).alias("missing_share"),
+        "min",
+        "max",
+        "mean",
+        "std",
+        *[F.col("quantiles")[i].alias(quantile_name(q)) for i, q in enumerate(quantiles)],
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.ml.feature import (
     CountVectorizer,
     ElementwiseProduct,
     Normalizer,
-    RegexTokenizer,
+    SQLTransformer,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -26,6 +26,8 @@ from .leakage import univariate_auc
 # A term is hot when it owns more than one in HOT_PARTS of all (document, term)
 # pairs.  There can be fewer than HOT_PARTS such terms, whatever the data.
 HOT_PARTS = 10000
+# The token pattern inside a SQL string literal.
+SQL_TOKEN = TOKEN.replace("\\", "\\\\")
 
 
 def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
@@ -34,12 +36,16 @@ def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
     A document is one row, so its repeated terms collapse before the shuffle.
     """
     words = df.select(quoted(doc).alias("doc"), F.explode(tokens(quoted(text))).alias("term"))
-    return words.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return words.where("term IS NOT NULL").groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequency(terms: DataFrame) -> DataFrame:
-    """``(term, df)``: in how many documents a term occurs, from ``term_counts``."""
-    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    """``(term, df)``: in how many documents a term occurs, from ``term_counts``.
+
+    Looking at ``tf`` keeps the grouped counts the same plan as elsewhere, so
+    that Spark computes and shuffles them once.
+    """
+    return terms.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
 
 def smooth_idf(frequency: Column, n_docs: int) -> Column:
@@ -66,8 +72,9 @@ def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
     )
     hot = F.broadcast(freq.where(F.col("df") > limit).select("term", "idf"))
     cold = freq.where(F.col("df") <= limit).select("term", "idf")
-    weighted = terms.join(hot, "term").unionByName(
-        terms.join(hot, "term", "left_anti").join(cold, "term")
+    marked = terms.join(hot, "term", "left")
+    weighted = marked.where("idf IS NOT NULL").unionByName(
+        marked.where("idf IS NULL").drop("idf").join(cold, "term")
     )
     weighted = weighted.withColumn("w", F.col("tf") * F.col("idf"))
     # One group is the terms of one document, which came from one row.
@@ -84,6 +91,7 @@ def fit_baseline(
     text: str,
     rule: LabelRule,
     max_iter: int = 200,
+    tol: float = 1e-4,
     max_vocabulary: int = 1 << 22,
 ) -> PipelineModel:
     """TF-IDF and an L2 logistic regression with unit inverse strength, as one pipeline.
@@ -96,29 +104,35 @@ def fit_baseline(
         F.coalesce(quoted(text), F.lit("")).alias("text"),
         label_positive(rule).cast("double").alias("label"),
     )
-    tokenizer = RegexTokenizer(
-        inputCol="text", outputCol="tokens", pattern=TOKEN, gaps=False, toLowercase=True
+    tokenizer = SQLTransformer(
+        statement=f"SELECT *, regexp_extract_all(lower(text), '{SQL_TOKEN}', 0) AS tokens FROM __THIS__"
     )
     counter = CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=max_vocabulary + 1)
     counted = Pipeline(stages=[tokenizer, counter]).fit(train)
-    vectors = counted.transform(train)
-    weights = IDF(inputCol="counts", outputCol="idf").fit(vectors).idf.toArray() + 1.0
-    if len(weights) > max_vocabulary:
-        raise VocabularyTooLarge(f"more than {max_vocabulary} terms")
-    scale = ElementwiseProduct(
-        scalingVec=Vectors.dense(weights), inputCol="counts", outputCol="weighted"
-    )
-    unit = Normalizer(inputCol="weighted", outputCol="features", p=2.0)
-    n = train.count()
-    classifier = LogisticRegression(
-        maxIter=max_iter,
-        regParam=1.0 / max(n, 1),
-        elasticNetParam=0.0,
-        standardization=False,
-        featuresCol="features",
-        labelCol="label",
-    )
-    fitted = Pipeline(stages=[scale, unit, classifier]).fit(vectors)
+    # Texts are tokenized once more here; the vectors serve every later step.
+    vectors = counted.transform(train).select("counts", "label").persist()
+    try:
+        frequencies = IDF(inputCol="counts", outputCol="idf").fit(vectors)
+        if len(frequencies.idf) > max_vocabulary:
+            raise VocabularyTooLarge(f"more than {max_vocabulary} terms")
+        scale = ElementwiseProduct(
+            scalingVec=Vectors.dense(frequencies.idf.toArray() + 1.0),
+            inputCol="counts",
+            outputCol="weighted",
+        )
+        unit = Normalizer(inputCol="weighted", outputCol="features", p=2.0)
+        classifier = LogisticRegression(
+            maxIter=max_iter,
+            tol=tol,
+            regParam=1.0 / max(frequencies.numDocs, 1),
+            elasticNetParam=0.0,
+            standardization=False,
+            featuresCol="features",
+            labelCol="label",
+        )
+        fitted = Pipeline(stages=[scale, unit, classifier]).fit(vectors)
+    finally:
+        vectors.unpersist()
     return PipelineModel(stages=[*counted.stages, *fitted.stages])
 
 

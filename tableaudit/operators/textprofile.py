@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import quoted
 from ..functions.text import search, word_count
-from ..session import small_frame
 from ..spec import AuditParams
 from .counts import (
     Numeric,
-    distinct_and_quantiles,
-    fetch_borders,
+    exact_quantiles,
     ranged_counts,
+    weighted_moments,
     with_names,
 )
 from .profile import quantile_name
@@ -71,25 +70,23 @@ def text_lengths(
         F.length(text).cast("bigint").alias("chars"), word_count(text).cast("bigint").alias("words")
     )
     items = [Numeric.of(lengths, "chars"), Numeric.of(lengths, "words")]
-    extremes = [
-        f(c).alias(f"{n}_{c}") for c in ("chars", "words") for n, f in (("min", F.min), ("max", F.max))
-    ]
-    row, borders = fetch_borders(lengths, items, extremes)
-    ends = small_frame(
-        df.sparkSession,
-        [(c, n, int(row[f"{n}_{c}"] or 0)) for c in ("chars", "words") for n in ("min", "max")],
-        "length string, metric string, number bigint",
-    )
-    _, values = distinct_and_quantiles(ranged_counts(lengths, items, borders), quantiles)
-    names = small_frame(
-        df.sparkSession,
-        [(float(q), quantile_name(q)) for q in quantiles],
-        "q double, metric string",
-    )
-    inner = with_names(values, [i.name for i in items]).join(F.broadcast(names), "q").select(
-        F.col("column").alias("length"), "metric", F.col("value").cast("bigint").alias("number")
+    names = [item.name for item in items]
+    # There are no more distinct lengths than the longest text has characters,
+    # however many rows there are, so one range per length will do.
+    counts = ranged_counts(lengths, items, [[], []])
+    ends = with_names(weighted_moments(counts), names)
+    cells = [x for end in ("min", "max") for x in (F.lit(end), F.col(end).cast("bigint"))]
+    titles = F.create_map(*[F.lit(x) for q in quantiles for x in (float(q), quantile_name(q))])
+    inner = with_names(exact_quantiles(counts, quantiles), names)
+    return ends.select(
+        F.col("column").alias("length"), F.stack(F.lit(2), *cells).alias("metric", "number")
+    ).unionByName(
+        inner.select(
+            F.col("column").alias("length"),
+            F.element_at(titles, F.col("q")).alias("metric"),
+            F.col("value").cast("bigint").alias("number"),
+        )
     )
-    return ends.unionByName(inner)
 
 
 def text_profile(df: DataFrame, column: str, params: AuditParams = AuditParams()) -> DataFrame:

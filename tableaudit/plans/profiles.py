@@ -29,21 +29,21 @@ FIGURES = ("min", "max", "mean", "std", *_NAMES)
 
 
 def _rounded(df, *names):
-    return df.select(*[F.round(c, 9).alias(c) if c in names else c for c in df.columns])
+    return df.select(*[F.round(c, 7).alias(c) if c in names else c for c in df.columns])
 
 
 def numeric_sql(source: str, columns: dict[str, str]) -> str:
     parts = []
     for c, kind in columns.items():
         quantiles = ", ".join(
-            f"round(quantile_cont(CAST({c} AS DOUBLE), {q}), 9) AS {n}"
+            f"round(quantile_cont(CAST({c} AS DOUBLE), {q}), 7) AS {n}"
             for q, n in zip(QUANTILES, _NAMES)
         )
         parts.append(
             f"SELECT '{c}' AS \"column\", '{kind}' AS type, count(*) AS count, "
             f"round(1 - count({c}) / count(*), 6) AS missing_share, "
             f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
-            f"round(avg({c}), 9) AS mean, round(stddev_samp({c}), 9) AS std, "
+            f"round(avg({c}), 7) AS mean, round(stddev_samp({c}), 7) AS std, "
             f"count(DISTINCT {c}) AS n_unique, {quantiles} FROM {source}"
         )
     return " UNION ALL ".join(parts)
