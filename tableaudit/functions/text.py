@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +36,12 @@ def _nfkc(value: Column) -> Column:
     # Defined inside, so that it travels to the workers by value and they need
     # no copy of this package.
     def compose(cells: pa.Array) -> pa.Array:
-        return pc.utf8_normalize(cells, form="NFKC")
+        # Not Arrow's own function: in this version it leaves letters and
+        # accents apart.
+        return pa.array(
+            [v if v is None else unicodedata.normalize("NFKC", v) for v in cells.to_pylist()],
+            pa.string(),
+        )
 
     return F.arrow_udf(compose, T.StringType())(value)
 

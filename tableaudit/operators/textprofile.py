@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import quoted
 from ..functions.text import search, word_count
+from ..session import small_frame
 from ..spec import AuditParams
 from .counts import (
     Numeric,
@@ -74,8 +75,11 @@ def text_lengths(
     # There are no more distinct lengths than the longest text has characters,
     # however many rows there are, so one range per length will do.
     counts = ranged_counts(lengths, items, [[], []])
-    ends = with_names(weighted_moments(counts), names)
-    cells = [x for end in ("min", "max") for x in (F.lit(end), F.col(end).cast("bigint"))]
+    ends = small_frame(df.sparkSession, [(n,) for n in names], "column string").join(
+        F.broadcast(with_names(weighted_moments(counts), names)), "column", "left"
+    )
+    zero = lambda end: F.coalesce(F.col(end).cast("bigint"), F.lit(0))
+    cells = [x for end in ("min", "max") for x in (F.lit(end), zero(end))]
     titles = F.create_map(*[F.lit(x) for q in quantiles for x in (float(q), quantile_name(q))])
     inner = with_names(exact_quantiles(counts, quantiles), names)
     return ends.select(
