@@ -140,11 +140,16 @@ def top_levels(
     per column before the shuffle, so no task sees all levels of a column.
     """
     columns = list(columns) if columns is not None else columns_of(df, "string", "category")
-    return _top(_present_levels(df, columns), top_k)
+    return _top(_present(level_counts(df, columns)), top_k)
 
 
-def _present_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return level_counts(df, columns).where(F.col("level") != "")
+def _present(counts: DataFrame) -> DataFrame:
+    """Without the missing levels.
+
+    The test looks at the count as well, so it stays behind the grouping and
+    the grouped counts are one plan for all their uses.
+    """
+    return counts.withColumn("n", F.when(F.col("level") != "", F.col("n"))).where("n > 0")
 
 
 def _totals(levels: DataFrame) -> DataFrame:
@@ -175,7 +180,7 @@ def categorical_profile(
     field_of = {f.name: f for f in df.schema}
     counts = level_counts(df, columns)
     rows = counts.groupBy("column").agg(F.sum("n").alias("count"))
-    levels = counts.where(F.col("level") != "")
+    levels = _present(counts)
     totals = _totals(levels)
     rare = (
         levels.join(F.broadcast(totals), "column")

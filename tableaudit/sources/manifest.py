@@ -38,12 +38,15 @@ def _digester():
 
 
 def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``(path, file_size_bytes, modified_at)``; the contents are not read."""
+    """``(path, file_size_bytes, modified_at)``; the contents are not read.
+
+    ``path`` is the file's URI, spelled as in every other table scan.
+    """
     return (
         spark.read.format("binaryFile")
         .load(list(paths))
         .select(
-            "path",
+            F.col("_metadata.file_path").alias("path"),
             F.col("length").alias("file_size_bytes"),
             F.col("modificationTime").alias("modified_at"),
         )

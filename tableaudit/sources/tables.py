@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,15 @@ from ..functions.missing import quoted
 from ..spec import AuditParams
 
 
+# Names under which Python and the JVM know the same encoding.
+_JVM_ENCODINGS = {"iso8859-1": "ISO-8859-1", "ascii": "US-ASCII"}
+
+
+def jvm_encoding(name: str) -> str:
+    known = codecs.lookup(name).name
+    return _JVM_ENCODINGS.get(known, known.upper())
+
+
 def null_tokens(params: AuditParams) -> list[str]:
     """The configured tokens plus the reader's standard set."""
     return sorted({*params.null_tokens, *defaults.PANDAS_NULL_TOKENS})
@@ -46,7 +56,7 @@ def read_delimited(
     reader = (
         spark.read.option("header", params.header)
         .option("sep", params.delimiter)
-        .option("encoding", params.encoding)
+        .option("encoding", jvm_encoding(params.encoding))
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)
