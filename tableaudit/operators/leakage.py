@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,10 +154,9 @@ def future_dates(
         )
     aggs, cells = [], []
     for i, name in enumerate(columns):
-        day = _instant(df, name)
         aggs += [
-            F.count_if(F.year(day) > year_max).alias(f"y{i}"),
-            F.count_if(day > F.to_timestamp(F.lit(as_of))).alias(f"a{i}"),
+            F.count_if(_late_year(df, name, year_max)).alias(f"y{i}"),
+            F.count_if(_after(df, name, as_of)).alias(f"a{i}"),
         ]
         cells += [F.lit(name), F.col(f"y{i}"), F.col(f"a{i}")]
     return df.agg(*aggs).select(
@@ -165,7 +164,19 @@ def future_dates(
     )
 
 
-def _instant(df: DataFrame, name: str):
+def _late_year(df: DataFrame, name: str, year_max: int) -> Column:
+    return F.year(_instant(df, name)) > year_max
+
+
+def _after(df: DataFrame, name: str, as_of: str) -> Column:
+    return _instant(df, name) > F.to_timestamp(F.lit(as_of))
+
+
+def _out_of_order(df: DataFrame, first: str, second: str) -> Column:
+    return _instant(df, second) < _instant(df, first)
+
+
+def _instant(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, T.StringType):
         return F.try_to_timestamp(quoted(name))
     return quoted(name).cast("timestamp")
@@ -179,8 +190,7 @@ def date_order(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
             df.sparkSession, [], "first string, second string, violations bigint"
         )
     aggs = [
-        F.count_if(_instant(df, b) < _instant(df, a)).alias(f"v{i}")
-        for i, (a, b) in enumerate(pairs)
+        F.count_if(_out_of_order(df, a, b)).alias(f"v{i}") for i, (a, b) in enumerate(pairs)
     ]
     cells = [x for i, (a, b) in enumerate(pairs) for x in (F.lit(a), F.lit(b), F.col(f"v{i}"))]
     return df.agg(*aggs).select(
@@ -239,36 +249,31 @@ def leakage_findings(
             )
         )
     dates = [c for c in spec.with_role("date") if c in df.columns]
-    if dates:
-        late = future_dates(df, dates, as_of, params.future_year_max)
-        cells = [
-            F.lit("future_year"), F.col("future_year_gt"), F.lit("after_now"), F.col("after_now"),
-        ]
-        parts.append(
-            late.select("column", F.stack(F.lit(2), *cells).alias("check", "n"))
-            .where("n > 0")
-            .select(
-                "check",
-                "column",
-                F.lit(None).cast("string").alias("detail"),
-                F.col("n").cast("double").alias("amount"),
-            )
-        )
     pairs = [p for p in params.date_order_pairs if p[0] in df.columns and p[1] in df.columns]
-    if pairs:
-        parts.append(
-            date_order(df, pairs)
-            .where("violations > 0")
-            .select(
-                F.lit("date_order").alias("check"),
-                F.col("first").alias("column"),
-                F.col("second").alias("detail"),
-                F.col("violations").cast("double").alias("amount"),
-            )
-        )
+    if dates or pairs:
+        parts.append(_date_findings(df, dates, pairs, as_of, params.future_year_max))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _date_findings(df: DataFrame, dates, pairs, as_of: str, year_max: int) -> DataFrame:
+    """The date checks that found something, all counted in one scan."""
+    checks = []
+    for name in dates:
+        checks.append(("future_year", name, None, _late_year(df, name, year_max)))
+        checks.append(("after_now", name, None, _after(df, name, as_of)))
+    for first, second in pairs:
+        checks.append(("date_order", first, second, _out_of_order(df, first, second)))
+    cells = [
+        x
+        for i, (check, name, detail, _) in enumerate(checks)
+        for x in (F.lit(check), F.lit(name), F.lit(detail).cast("string"), F.col(f"n{i}"))
+    ]
+    counted = df.agg(*[F.count_if(c[3]).cast("double").alias(f"n{i}") for i, c in enumerate(checks)])
+    return counted.select(
+        F.stack(F.lit(len(checks)), *cells).alias("check", "column", "detail", "amount")
+    ).where("amount > 0")
+
+
 def suspect_features(findings: DataFrame) -> DataFrame:
     """Distinct columns with a pure level or a near-perfect AUC, in order."""
     return (

@@ -10,6 +10,8 @@ from ..operators import sanity
 from ..operators.cast import cast_table
 from ..operators.label import label_summary
 from ..operators.missingness import missingness
+from ..session import shared_folder
+from ..sources.tables import read_table, write_table
 from .data import (
     CAST_SQL,
     LABEL,
@@ -134,8 +136,9 @@ SELECT unnest(['n_rows_match', 'n_cols_match', 'content_hash_match', 'label_shar
   TRUE, TRUE, TRUE, FALSE]) AS ok""",
 )
 def sanity_flags(spark, sf_dir):
-    """All flags of a cast stage; its declared column ``channel`` is absent."""
-    after = cast_table(scanned_orders(spark, sf_dir), ORDERS_SPEC, ORDERS_PARAMS)
+    """All flags of a written cast stage; its declared column ``channel`` is absent."""
+    typed = cast_table(scanned_orders(spark, sf_dir), ORDERS_SPEC, ORDERS_PARAMS)
+    after = read_table(spark, write_table(typed, shared_folder(spark, "cast-stage")))
     return sanity.sanity_flags(
         after,
         ORDERS_SPEC,
@@ -144,6 +147,6 @@ def sanity_flags(spark, sf_dir):
         profiled_missing=missingness(after).select(
             "column", (F.col("missing_count") / F.col("n_rows")).alias("missing_share")
         ),
-        stored=sanity.fingerprint(after),
+        stored=sanity.fingerprint(typed),
         write_test=True,
     )
