@@ -151,21 +151,20 @@ def pure_levels(spark, sf_dir):
     )
 
 
+_INSTANT_SQL = r"regexp_replace(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '\.?0+$', '')"
+
+
 @query(
     "pure_levels_of_dates",
-    "SELECT \"column\", level, support, class_only FROM ("
-    + f"WITH {LINES_SQL} "
+    f"WITH timed AS (SELECT {_INSTANT_SQL} AS ts, event_type FROM events) "
     + _pure_sql(
-        "lines",
-        ("strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')",),
-        "l_linestatus = 'F'", "l_linestatus = 'O'", "F", "O", 5,
-    ).replace("'strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')' AS", "'l_shipdate' AS")
-    + ")",
+        "timed", ("ts",), "event_type = 'click'", "event_type = 'error'", "click", "error", 1
+    ),
 )
 def pure_levels_of_dates(spark, sf_dir):
-    """Every day is a level of its own."""
-    df = lines_with_orders(spark, sf_dir)
-    return leak.pure_levels(df, LINES_PARAMS.label, ["l_shipdate"], 5)
+    """Every instant is a level of its own; events of other types add no support."""
+    rule = leak.LabelRule("event_type", ("click", "error"), "click")
+    return leak.pure_levels(table(spark, sf_dir, "events"), rule, ["ts"], 1)
 
 
 def auc_sql(source, columns, pos):
@@ -317,27 +316,29 @@ def leakage_findings(spark, sf_dir):
     return findings_of_lines(spark, sf_dir).withColumn("amount", F.round("amount", 6))
 
 
-@query(
-    "leakage_findings_documents",
-    f"WITH {_DOCS}, auc AS ({auc_sql('docs', ('n_chars', 'quality'), 'toxic = 1')}) "
+_DOC_FINDINGS_SQL = (
+    f"WITH {_DOCS}, auc AS ({auc_sql('docs', ('n_chars', 'quality'), 'toxic = 1')}), findings AS ("
     "SELECT CASE WHEN auroc >= 0.98 THEN 'near_perfect_auc' ELSE 'auc' END AS \"check\", "
     '"column", CAST(NULL AS VARCHAR) AS detail, auroc AS amount FROM auc '
     "UNION ALL SELECT 'pure_level', \"column\", coalesce(level, '<null>') || ' -> ' || class_only, "
     "CAST(support AS DOUBLE) FROM ("
     + _pure_sql("docs", ("lang", "source"), "toxic = 1", "toxic = 0", "1", "0", 5)
-    + ")",
+    + "))"
 )
+
+
+@query("leakage_findings_documents", f"{_DOC_FINDINGS_SQL} SELECT * FROM findings")
 def leakage_findings_documents(spark, sf_dir):
     return findings_of_documents(spark, sf_dir)
 
 
 @query(
     "suspect_features",
-    f"""{FINDINGS_SQL} SELECT DISTINCT "column" FROM findings
-WHERE "check" IN ('pure_level', 'near_perfect_auc') ORDER BY "column\"""",
+    f"""{_DOC_FINDINGS_SQL} SELECT DISTINCT "column" FROM findings
+WHERE "check" IN ('pure_level', 'near_perfect_auc')""",
 )
 def suspect_features(spark, sf_dir):
-    return leak.suspect_features(findings_of_lines(spark, sf_dir, all_auc=False))
+    return leak.suspect_features(findings_of_documents(spark, sf_dir))
 
 
 @query(
