@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -49,12 +50,36 @@ ISO_PATTERNS = (
     "yyyy-M-d",
     "yyyy-M-d H:m:s",
     "yyyy-M-d'T'H:m:s",
-    "yyyy-M-d'T'H:m:s[.SSSSSS][XXX]",
+    "yyyy-M-d'T'H:m:s[.SSSSSS]",
+    "yyyy-M-d'T'H:m:s[.SSSSSS]XXX",
 )
+_QUOTED = re.compile(r"'[^']*'")
+_ZONED_TEXT = r"(?i)[0-9 ](?:Z|UTC|GMT|[+-][0-9]{1,2}:?[0-9]{2})\s*$"
+
+
+def micros_of(wall: Column) -> Column:
+    """Microseconds of a wall-clock time (date or timestamp without zone) read as UTC, in any session."""
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, wall.cast("timestamp_ntz"))
+
+
+def utc_instant(wall: Column) -> Column:
+    return F.timestamp_micros(micros_of(wall))
+
+
+def utc_of_text(value: Column) -> Column:
+    """A date or time as Spark reads it; without a zone of its own it is UTC, in any session."""
+    return F.when(value.rlike(_ZONED_TEXT), F.try_to_timestamp(value)).otherwise(
+        utc_instant(value.try_cast("timestamp_ntz"))
+    )
 
 
 def parse_datetime(value: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(value, F.lit(datetime_pattern(fmt)))
+    """The instant, or null.  Where the format has no zone the text is UTC, whatever the session's zone."""
+    pattern = datetime_pattern(fmt)
+    if any(c in _QUOTED.sub("", pattern) for c in "XxZzVO"):
+        return F.try_to_timestamp(value, F.lit(pattern))
+    return F.try_to_timestamp(F.concat(value, F.lit(" Z")), F.lit(f"{pattern} X"))
 
 
 def parse_datetime_any(value: Column, formats) -> Column:

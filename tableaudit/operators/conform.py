@@ -106,9 +106,11 @@ def parse_report(df: DataFrame, spec: TableSpec, params: AuditParams = AuditPara
 
 def length_report(df: DataFrame, spec: TableSpec, params: AuditParams = AuditParams()) -> DataFrame:
     """``(column, max_len, over_limit)`` for text columns; a declared limit wins."""
+    listed = spec.with_role("text")
+    undeclared = [ColumnSpec(n) for n in listed if n not in spec.names]
     texts = [
-        c for c in spec.columns
-        if c.name in df.columns and (c.role == "text" or c.max_len is not None)
+        c for c in (*spec.columns, *undeclared)
+        if c.name in df.columns and (c.name in listed or c.max_len is not None)
     ]
     if not texts:
         return small_frame(

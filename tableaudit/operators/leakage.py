@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.missing import quoted
+from ..functions.parsing import utc_instant, utc_of_text
 from ..session import small_frame
 from ..spec import AuditParams, LabelRule, TableSpec
 from .counts import (
@@ -165,11 +166,11 @@ def future_dates(
 
 
 def _late_year(df: DataFrame, name: str, year_max: int) -> Column:
-    return F.year(_instant(df, name)) > year_max
+    return _instant(df, name) >= utc_instant(F.lit(f"{year_max + 1:04d}-01-01"))
 
 
 def _after(df: DataFrame, name: str, as_of: str) -> Column:
-    return _instant(df, name) > F.to_timestamp(F.lit(as_of))
+    return _instant(df, name) > utc_of_text(F.lit(as_of))
 
 
 def _out_of_order(df: DataFrame, first: str, second: str) -> Column:
@@ -177,8 +178,12 @@ def _out_of_order(df: DataFrame, first: str, second: str) -> Column:
 
 
 def _instant(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return F.try_to_timestamp(quoted(name))
+    """The cell as an instant; what has no zone is UTC, whatever the session's zone."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.StringType):
+        return utc_of_text(quoted(name))
+    if isinstance(dtype, (T.DateType, T.TimestampNTZType)):
+        return utc_instant(quoted(name))
     return quoted(name).cast("timestamp")
 
 

@@ -46,7 +46,7 @@ def mistyped_text(df: DataFrame, spec: TableSpec) -> list[str]:
 
 
 def role_report(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row per present or declared column: its role, what the guard thinks, its fill.
+    """One row per present, declared or listed column: its roles, what the guard thinks, its fill.
 
     The name checks are facts about the schema; the count of non-missing
     cells is one aggregate over the table.
@@ -60,16 +60,15 @@ def role_report(df: DataFrame, spec: TableSpec) -> DataFrame:
     for column, pattern in pattern_hits(present, spec.non_feature_patterns):
         hits.setdefault(column, []).append(pattern)
     planned = set(spec.planned_features)
-    everything = present + [c for c in spec.names if c not in present]
+    everything = present + [c for c in spec.mentioned if c not in present]
     filled = [
         F.count_if(~is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(present)
     ]
     cells = []
     for i, name in enumerate(everything):
-        declared = spec.get(name)
         cells += [
             F.lit(name),
-            F.lit(declared.role if declared else None).cast("string"),
+            F.lit(",".join(spec.roles_of(name)) or None).cast("string"),
             F.lit(name in excluded),
             F.lit(name in planned),
             F.lit(name in leaked),

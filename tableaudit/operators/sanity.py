@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.missing import quoted
-from ..session import shared_folder
+from ..functions.parsing import micros_of
+from ..session import remove_folder, shared_folder, small_frame
 from ..spec import AuditParams, LabelRule, TableSpec
 from .conform import types_match
 from .label import label_summary
@@ -20,15 +21,20 @@ from .missingness import missingness
 PIECES = (1, 16)
 PIECE_DIGITS = 15
 SHIFTS = (40, 20, 0)
-FIGURES = ("n_rows", "n_cols", "content_hash")
+FIGURES = {
+    "n_rows": "n_rows_match", "n_cols": "n_cols_match", "header_md5": "header_match",
+    "content_hash": "content_hash_match",
+}
 
 
 def canonical_text(df: DataFrame, name: str) -> Column:
     """A cell as text; instants as microseconds in UTC, null and empty alike."""
     dtype = df.schema[name].dataType
     value = quoted(name)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        text = F.unix_micros(value.cast("timestamp")).cast("string")
+    if isinstance(dtype, T.TimestampType):
+        text = F.unix_micros(value).cast("string")
+    elif isinstance(dtype, T.TimestampNTZType):
+        text = micros_of(value).cast("string")
     elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
         text = F.to_json(value)
     else:
@@ -89,8 +95,8 @@ def compare_fingerprints(now: DataFrame, stored: DataFrame) -> DataFrame:
     pick = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
     return both.agg(
         *[
-            F.coalesce(pick("now", c) == pick("stored", c), F.lit(True)).alias(f"{flag}_match")
-            for c, flag in zip(FIGURES, ("n_rows", "n_cols", "content_hash"))
+            F.coalesce(pick("now", c) == pick("stored", c), F.lit(True)).alias(flag)
+            for c, flag in FIGURES.items()
         ]
     )
 
@@ -126,13 +132,23 @@ def missing_share_close(
 def write_read_back(df: DataFrame, path: str | None = None) -> DataFrame:
     """One row: write the table, read it again and compare the fingerprints.
 
-    The copy goes to a new path in the shared folder and stays there.
+    The copy goes to a new path in the shared folder.  It is compared at once
+    and then removed, so the result holds one row of flags and no reference to it.
     """
-    path = path or shared_folder(df.sparkSession, "write-test")
+    return copy_matches(df, df, path)
+
+
+def copy_matches(df: DataFrame, expected: DataFrame, path: str | None = None) -> DataFrame:
+    """The same with the rows that should be read back given apart."""
+    spark = df.sparkSession
+    path = path or shared_folder(spark, "write-test")
     df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
-    again = df.sparkSession.read.parquet(path)
-    return compare_fingerprints(fingerprint(again), fingerprint(df)).select(
-        F.lit(True).alias("write_ok"), "n_rows_match", "n_cols_match", "content_hash_match"
+    try:
+        flags = compare_fingerprints(fingerprint(spark.read.parquet(path)), fingerprint(expected)).first()
+    finally:
+        remove_folder(spark, path)
+    return small_frame(
+        spark, [(True, *flags)], "write_ok boolean, " + ", ".join(f"{f} boolean" for f in FIGURES.values())
     )
 
 

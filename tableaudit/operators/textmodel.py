@@ -82,39 +82,39 @@ def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
     return weighted.select("doc", "term", "tf", (F.col("w") / length).alias("tfidf"))
 
 
-class VocabularyTooLarge(ValueError):
-    """The model keeps one weight per term on the driver; the text has too many terms."""
-
-
 def fit_baseline(
     df: DataFrame,
     text: str,
     rule: LabelRule,
     max_iter: int = 200,
-    tol: float = 1e-4,
-    max_vocabulary: int = 1 << 22,
+    tol: float = 1e-9,
+    max_training_rows: int = 200_000,
 ) -> PipelineModel:
     """TF-IDF and an L2 logistic regression with unit inverse strength, as one pipeline.
 
-    All rows must carry an allowed label; others are left out of the fit.
-    Every term becomes a feature.  A vocabulary above ``max_vocabulary`` is an
-    error rather than silently cut.
+    Rows without an allowed label are left out of the fit.  Where there are more
+    labelled rows than ``max_training_rows``, a share of them is taken by a hash of
+    the row, so that about that many are left; this bounds the fit, and nothing
+    else: every term of those rows becomes a feature and all rows are scored.
+    ``tol`` is relative improvement and so has to be small for a converged fit.
     """
     train = df.where(label_valid(rule)).select(
         F.coalesce(quoted(text), F.lit("")).alias("text"),
         label_positive(rule).cast("double").alias("label"),
     )
+    labelled = train.count()
+    if labelled > max_training_rows:
+        place = F.pmod(F.xxhash64("text", "label"), F.lit(1 << 40))
+        train = train.where(place < F.lit(int(max_training_rows / labelled * (1 << 40))))
     tokenizer = SQLTransformer(
         statement=f"SELECT *, regexp_extract_all(lower(text), '{SQL_TOKEN}', 0) AS tokens FROM __THIS__"
     )
-    counter = CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=max_vocabulary + 1)
+    counter = CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=(1 << 31) - 1)
     counted = Pipeline(stages=[tokenizer, counter]).fit(train)
     # Texts are tokenized once more here; the vectors serve every later step.
     vectors = counted.transform(train).select("counts", "label").persist()
     try:
         frequencies = IDF(inputCol="counts", outputCol="idf").fit(vectors)
-        if len(frequencies.idf) > max_vocabulary:
-            raise VocabularyTooLarge(f"more than {max_vocabulary} terms")
         scale = ElementwiseProduct(
             scalingVec=Vectors.dense(frequencies.idf.toArray() + 1.0),
             inputCol="counts",
@@ -149,3 +149,29 @@ def score(model: PipelineModel, df: DataFrame, text: str) -> DataFrame:
 def score_auc(scored: DataFrame, rule: LabelRule, column: str = "score") -> DataFrame:
     """One row: exact ROC-AUC of a score, ties counted half."""
     return univariate_auc(scored, rule, [column]).select("auc", "n_pos", "n_neg")
+
+
+def optimum_gap(
+    model: PipelineModel, df: DataFrame, doc: str, text: str, rule: LabelRule
+) -> DataFrame:
+    """One row, ``(n_pos, n_neg, gap)``: how far the fit is from its own optimality condition.
+
+    At the optimum the weights are the sum of (label - score) times the features.
+    They are recomputed from ``tf_idf`` and give each document's log-odds once
+    more; ``gap`` is the largest difference.  ``df`` holds the rows of the fit.
+    """
+    scored = score(model, df.where(label_valid(rule)), text).select(
+        quoted(doc).alias("doc"), "score", label_positive(rule).cast("double").alias("y")
+    )
+    features = tf_idf(df.where(label_valid(rule)), doc, text).select("doc", "term", "tfidf")
+    weights = features.join(scored, "doc").groupBy("term").agg(
+        F.sum((F.col("y") - F.col("score")) * F.col("tfidf")).alias("weight")
+    )
+    logits = features.join(weights, "term").groupBy("doc").agg(F.sum(F.col("weight") * F.col("tfidf")).alias("sum"))
+    intercept = float(model.stages[-1].intercept)
+    log_odds = F.log(F.col("score") / (1 - F.col("score")))
+    return scored.join(logits, "doc", "left").agg(
+        F.count_if(F.col("y") == 1).alias("n_pos"),
+        F.count_if(F.col("y") == 0).alias("n_neg"),
+        F.max(F.abs(log_odds - F.coalesce("sum", F.lit(0.0)) - intercept)).alias("gap"),
+    )

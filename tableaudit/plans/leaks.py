@@ -8,6 +8,7 @@ from ..operators import leakage as leak
 from ..operators import roles
 from ..operators.missingness import missingness
 from ..session import small_frame
+from ..spec import TableSpec
 from .data import (
     DOCS_PARAMS,
     DOCS_SPEC,
@@ -79,6 +80,73 @@ def guard_report(spark, sf_dir):
     )
 
 
+def _verdict(df, spec, watched):
+    """The guard's verdict on a configuration it should object to, beside the cells concerned."""
+    status, reason = roles.guard_status(df, spec)
+    joined = lambda names: F.lit(",".join(names))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(watched).alias("cells")).select(
+        F.lit(status).alias("status"),
+        F.lit(reason.split(":")[0]).alias("reason"),
+        joined(roles.leaked_features(df.columns, spec)).alias("leaked"),
+        joined(roles.missing_required(df.columns, spec)).alias("absent"),
+        joined(roles.mistyped_text(df, spec)).alias("mistyped"),
+        "n_rows",
+        "cells",
+    )
+
+
+@query(
+    "guard_with_leak",
+    "SELECT CASE WHEN count(o_custkey) > 0 THEN 'fail' ELSE 'ok' END AS status, "
+    "'non-feature columns among planned features' AS reason, 'o_custkey,o_shippriority' AS leaked, "
+    "'' AS absent, '' AS mistyped, count(*) AS n_rows, count(o_custkey) AS cells FROM orders",
+)
+def guard_with_leak(spark, sf_dir):
+    """An id and a technical column are among the planned features; roles come from lists alone."""
+    df = table(spark, sf_dir, "orders").withColumn("o_shippriority", F.lit(0))
+    spec = TableSpec.from_mapping(
+        {"columns": [{"name": "o_orderkey", "type": "int"}]},
+        {
+            "id_cols": ["o_orderkey", "o_custkey"],
+            "label_col": "o_orderstatus",
+            "cat_cols": ["o_orderpriority", "o_custkey"],
+            "num_cols": ["o_totalprice", "o_shippriority"],
+            "tech_cols": ["o_shippriority"],
+        },
+    )
+    return _verdict(df, spec, "o_custkey")
+
+
+@query(
+    "guard_missing_required",
+    "SELECT 'fail' AS status, 'required columns missing' AS reason, '' AS leaked, "
+    "'branch,returned' AS absent, '' AS mistyped, count(*) AS n_rows, count(o_orderkey) AS cells "
+    "FROM orders",
+)
+def guard_missing_required(spark, sf_dir):
+    """An id and the label are listed, undeclared and absent."""
+    spec = TableSpec.from_mapping(
+        {"columns": [{"name": "o_totalprice", "type": "float"}]},
+        {"id_cols": ["o_orderkey", "branch"], "label_col": "returned", "num_cols": ["o_totalprice"]},
+    )
+    return _verdict(table(spark, sf_dir, "orders"), spec, "o_orderkey")
+
+
+@query(
+    "guard_text_type",
+    "SELECT 'warn' AS status, 'text columns that are not strings' AS reason, '' AS leaked, "
+    "'' AS absent, 'n_chars' AS mistyped, count(*) AS n_rows, count(n_chars) AS cells "
+    "FROM documents",
+)
+def guard_text_type(spark, sf_dir):
+    """A listed text column holds numbers."""
+    spec = TableSpec.from_mapping(
+        {"columns": [{"name": "doc_id", "type": "int"}]},
+        {"id_cols": ["doc_id"], "text_cols": ["text", "n_chars"]},
+    )
+    return _verdict(table(spark, sf_dir, "documents"), spec, "n_chars")
+
+
 @query(
     "select_features",
     f"WITH {_LINES_KEYED} SELECT \"column\", n_rows, missing_count "

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.label import class_counts
 from ..operators.missingness import missingness
 from ..session import shared_folder
 from ..sources.manifest import manifest, row_counts
 from ..sources.reports import read_report, write_report
-from ..sources.tables import read_delimited, read_table, write_delimited, write_table
+from ..sources.tables import SURPLUS, read_delimited, read_table, write_delimited, write_table
 from .data import (
     LABEL,
     ORDERS_PARAMS,
@@ -39,9 +42,9 @@ def missing_sql(source: str, columns) -> str:
     f"({missing_sql('scanned', RAW_COLUMNS)})",
 )
 def csv_scan_null_tokens(spark, sf_dir):
-    """A delimited table is written and read back with every column as text."""
+    """A delimited table is written and read back with every column as text, quoted line breaks included."""
     path = write_delimited(raw_orders(spark, sf_dir), shared_folder(spark, "orders-csv"))
-    df = read_delimited(spark, path, ORDERS_PARAMS)
+    df = read_delimited(spark, path, ORDERS_PARAMS, multiline=True)
     return missingness(df).select("column", "n_rows", "missing_count", "missing_share")
 
 
@@ -53,7 +56,7 @@ def csv_scan_null_tokens(spark, sf_dir):
 def csv_scan_rows(spark, sf_dir):
     """The same scan without quoted line breaks, so that large files are split."""
     path = write_delimited(raw_orders(spark, sf_dir), shared_folder(spark, "orders-csv"))
-    df = read_delimited(spark, path, ORDERS_PARAMS, multiline=False)
+    df = read_delimited(spark, path, ORDERS_PARAMS)
     return df.groupBy("segment", "total", "quantity", "order_date").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -93,7 +96,7 @@ def csv_stage(spark, sf_dir):
     """The fallback sink: a typed table as delimited text and back."""
     lines = table(spark, sf_dir, "lineitem")
     path = write_delimited(lines, shared_folder(spark, "lines-csv"))
-    df = read_delimited(spark, path, multiline=False)
+    df = read_delimited(spark, path)
     return df.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("l_orderkey").alias("n_orders"),
@@ -132,6 +135,48 @@ def report_sections(spark, sf_dir):
     )
 
 
+@query(
+    "report_emptied",
+    "SELECT 'run-2' AS run_id, count(*) AS rows_now, (SELECT count(DISTINCT l_linestatus) FROM lineitem) "
+    "AS rows_before FROM lineitem WHERE l_quantity < 0",
+)
+def report_emptied(spark, sf_dir):
+    """The second report of a section has no rows; those of the first must go."""
+    lines = table(spark, sf_dir, "lineitem")
+    store = shared_folder(spark, "reports")
+    shape = "l_linestatus string, n bigint"
+    report = lambda df: df.groupBy("l_linestatus").agg(F.count(F.lit(1)).alias("n"))
+    write_report(report(lines), store, "status", "run-1")
+    before = read_report(spark, store, "status", shape).count()
+    write_report(report(lines.where("l_quantity < 0")), store, "status", "run-2")
+    return read_report(spark, store, "status", shape).agg(
+        F.lit("run-2").alias("run_id"), F.count(F.lit(1)).alias("rows_now"), F.lit(before).alias("rows_before")
+    )
+
+
+@query(
+    "csv_ragged_rows",
+    "SELECT count(*) AS n_rows, count(*) FILTER (o_orderkey % 5 = 0) AS surplus_rows, "
+    "count(*) FILTER (o_orderkey % 5 <> 1) AS with_status FROM orders",
+)
+def csv_ragged_rows(spark, sf_dir):
+    """Rows with too many cells are marked, rows with too few are filled up with nulls."""
+    orders = table(spark, sf_dir, "orders")
+    key, line = F.col("o_orderkey").cast("string"), F.concat_ws(",", "o_orderkey", "o_orderstatus")
+    path = shared_folder(spark, "ragged")
+    orders.select(
+        F.when(F.col("o_orderkey") % 5 == 0, F.concat(line, F.lit(",surplus,more")))
+        .when(F.col("o_orderkey") % 5 == 1, key)
+        .otherwise(line)
+    ).write.text(path)
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("status", T.StringType())])
+    df = read_delimited(spark, path, replace(ORDERS_PARAMS, header=False), schema=schema, surplus="keep")
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(SURPLUS).alias("surplus_rows"),
+        F.count("status").alias("with_status"),
+    )
+
+
 MANIFEST_TABLES = ("customer", "orders", "lineitem", "documents", "events")
 
 

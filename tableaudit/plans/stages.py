@@ -71,7 +71,7 @@ def fingerprint_texts(spark, sf_dir):
 @query(
     "fingerprint_match",
     f"WITH {CAST_SQL} SELECT (SELECT count(*) FROM scanned) = (SELECT count(*) FROM typed) "
-    "AS n_rows_match, TRUE AS n_cols_match, FALSE AS content_hash_match",
+    "AS n_rows_match, TRUE AS n_cols_match, TRUE AS header_match, FALSE AS content_hash_match",
 )
 def fingerprint_match(spark, sf_dir):
     """Casting keeps rows and columns but changes the content."""
@@ -80,6 +80,18 @@ def fingerprint_match(spark, sf_dir):
     return sanity.compare_fingerprints(sanity.fingerprint(after), sanity.fingerprint(before))
 
 
+@query(
+    "fingerprint_renamed",
+    "SELECT count(*) = count(*) AS n_rows_match, TRUE AS n_cols_match, count(*) = 0 AS header_match, "
+    "TRUE AS content_hash_match FROM orders",
+)
+def fingerprint_renamed(spark, sf_dir):
+    """The same rows under another column name are another table."""
+    orders = table(spark, sf_dir, "orders")
+    renamed = orders.withColumnRenamed("o_custkey", "o_customer")
+    return sanity.compare_fingerprints(sanity.fingerprint(renamed), sanity.fingerprint(orders))
+
+
 @query(
     "label_share_match",
     f"""WITH {CAST_SQL}, s AS (SELECT count(*) FILTER (churned = 'Yes') / count(*) AS p_all,
@@ -120,31 +132,52 @@ def missing_share_close(spark, sf_dir):
 
 @query(
     "write_read_back",
-    "SELECT TRUE AS write_ok, count(*) = count(*) AS n_rows_match, TRUE AS n_cols_match, "
-    "TRUE AS content_hash_match FROM orders",
+    "SELECT 'same' AS compared, TRUE AS write_ok, TRUE AS n_rows_match, TRUE AS n_cols_match, "
+    "TRUE AS header_match, TRUE AS content_hash_match "
+    "UNION ALL SELECT 'shorter', TRUE, count(*) = count(*) FILTER (o_orderkey % 7 <> 0), TRUE, TRUE, "
+    "count(*) FILTER (o_orderkey % 7 = 0) = 0 FROM orders "
+    "UNION ALL SELECT 'changed', TRUE, TRUE, TRUE, TRUE, "
+    "count(*) FILTER (upper(o_orderstatus) <> lower(o_orderstatus)) = 0 FROM orders",
 )
 def write_read_back(spark, sf_dir):
-    return sanity.write_read_back(table(spark, sf_dir, "orders"))
+    """A copy that is right, one that lacks rows, and one with a changed column."""
+    orders = table(spark, sf_dir, "orders")
+    shorter = orders.where("o_orderkey % 7 <> 0")
+    changed = orders.withColumn("o_orderstatus", F.lower("o_orderstatus"))
+    cases = [
+        ("same", sanity.write_read_back(orders)),
+        ("shorter", sanity.copy_matches(shorter, orders)),
+        ("changed", sanity.copy_matches(changed, orders)),
+    ]
+    parts = [flags.select(F.lit(name).alias("compared"), "*") for name, flags in cases]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(
     "sanity_flags",
     f"""WITH {SCANNED_SQL}
-SELECT unnest(['n_rows_match', 'n_cols_match', 'content_hash_match', 'label_share_match',
+SELECT unnest(['n_rows_match', 'n_cols_match', 'header_match', 'content_hash_match', 'label_share_match',
   'missing_share_close', 'write_clean_ok', 'read_clean_ok', 'schema_types_match']) AS flag,
-  unnest([TRUE, TRUE, TRUE, (SELECT count(*) FILTER (churned = 'Yes') / count(*) FROM scanned) = 0.5,
-  TRUE, TRUE, TRUE, FALSE]) AS ok""",
+  unnest([TRUE, TRUE, TRUE, TRUE, (SELECT count(*) FILTER (churned = 'Yes') / count(*) FROM scanned) = 0.5,
+  (SELECT count(quantity) = count(q.whole) AND count(order_date) = count(q.day) FROM (
+     SELECT quantity, order_date, CASE WHEN quantity NOT IN ('x', '1.5') THEN 1 END AS whole,
+            CASE WHEN order_date <> '2020-13-40' THEN 1 END AS day FROM scanned) q),
+  TRUE, TRUE, FALSE]) AS ok""",
 )
 def sanity_flags(spark, sf_dir):
-    """All flags of a written cast stage; its declared column ``channel`` is absent."""
-    typed = cast_table(scanned_orders(spark, sf_dir), ORDERS_SPEC, ORDERS_PARAMS)
+    """All flags of a written cast stage; its declared column ``channel`` is absent.
+
+    Missing shares were profiled before the cast, which made some cells null.
+    """
+    raw = scanned_orders(spark, sf_dir)
+    typed = cast_table(raw, ORDERS_SPEC, ORDERS_PARAMS)
     after = read_table(spark, write_table(typed, shared_folder(spark, "cast-stage")))
     return sanity.sanity_flags(
         after,
         ORDERS_SPEC,
         ORDERS_PARAMS,
         profiled_share=0.5,
-        profiled_missing=missingness(after).select(
+        profiled_missing=missingness(raw).select(
             "column", (F.col("missing_count") / F.col("n_rows")).alias("missing_share")
         ),
         stored=sanity.fingerprint(typed),

@@ -141,6 +141,19 @@ def text_model_auc(spark, sf_dir):
     return model.score_auc(scored, DOCS_PARAMS.label)
 
 
+@query(
+    "text_model_check",
+    "SELECT count(*) FILTER (toxic = 1) AS n_pos, count(*) FILTER (toxic = 0) AS n_neg, "
+    "TRUE AS optimum_reached FROM documents JOIN labels USING (doc_id)",
+)
+def text_model_check(spark, sf_dir):
+    """The fit satisfies its optimality condition, recomputed from the term weights."""
+    docs = labelled_documents(spark, sf_dir)
+    fitted = model.fit_baseline(docs, "text", DOCS_PARAMS.label)
+    gap = model.optimum_gap(fitted, docs, "doc_id", "text", DOCS_PARAMS.label)
+    return gap.select("n_pos", "n_neg", (F.col("gap") < 1e-3).alias("optimum_reached"))
+
+
 @query(
     "token_totals",
     r"""SELECT count(*) AS tokens, count(DISTINCT term) AS terms FROM (

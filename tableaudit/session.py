@@ -17,24 +17,37 @@ def pin_settings(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new path under the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent, as in a local test, a temporary folder
-    is set for this session.
+    Where that setting is absent it is a folder of the default file system, and
+    set for this session.  On a cluster that file system must be a shared one: a
+    local folder would be another one on every machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tableaudit-")
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        if default.startswith("file:"):
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            base = tempfile.mkdtemp(prefix="tableaudit-")
+        else:
+            base = f"{default.rstrip('/')}/tmp/tableaudit-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tableaudit/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package has made, on whatever file system it is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def rank_buckets(spark: SparkSession) -> int:
     """How many value ranges one column is split into for exact ranks.
 
-    It follows the shuffle width of the session, so a larger cluster gets
-    smaller ranges.
+    It follows the shuffle width of the session without a ceiling, so a larger
+    cluster gets smaller ranges.
     """
     width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(4 * width, 4096))
+    return max(8, 4 * width)
 
 
 def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

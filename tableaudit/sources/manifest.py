@@ -22,6 +22,12 @@ def _digester():
     def md5_of(path: str) -> str:
         if path.startswith("file:/") and not path.startswith("file:///"):
             path = "file://" + path.removeprefix("file:")
+        # Names that only Hadoop's connectors use for these stores.
+        for hadoop, common in (("s3a://", "s3://"), ("s3n://", "s3://"), ("viewfs://", None), ("wasbs://", None)):
+            if path.startswith(hadoop):
+                if common is None:
+                    raise ValueError(f"cannot read {path}: give its files by the scheme of the store behind it")
+                path = common + path.removeprefix(hadoop)
         store, inside = fs.FileSystem.from_uri(path)
         digest = hashlib.md5()
         with store.open_input_stream(inside) as stream:

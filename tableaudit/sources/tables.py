@@ -15,6 +15,7 @@ from ..spec import AuditParams
 
 
 # Names under which Python and the JVM know the same encoding.
+SURPLUS = "_surplus"
 _JVM_ENCODINGS = {"iso8859-1": "ISO-8859-1", "ascii": "US-ASCII"}
 
 
@@ -28,12 +29,12 @@ def null_tokens(params: AuditParams) -> list[str]:
     return sorted({*params.null_tokens, *defaults.PANDAS_NULL_TOKENS})
 
 
-def apply_null_tokens(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
-    """Whole, unstripped cells equal to a token become null."""
+def apply_null_tokens(df: DataFrame, tokens: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Whole, unstripped cells equal to a token become null, but for the columns in ``keep``."""
     return df.select(
         *[
             F.when(~quoted(f.name).isin(*tokens), quoted(f.name)).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
+            if isinstance(f.dataType, T.StringType) and f.name not in keep
             else quoted(f.name)
             for f in df.schema
         ]
@@ -44,15 +45,22 @@ def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
     params: AuditParams = AuditParams(),
-    multiline: bool = True,
+    multiline: bool = False,
     schema: T.StructType | None = None,
+    surplus: str = "raise",
 ) -> DataFrame:
     """A delimited text table in which every column is a string.
 
-    Nothing is inferred.  ``multiline`` reads quoted line breaks, for which
-    Spark takes each file as one split; give many files, or turn it off when
-    no cell contains a line break, and large files are split.
+    Nothing is inferred.  Large files are split; ``multiline`` also reads quoted
+    line breaks, for which Spark takes each file as one split, so give many
+    files.  A row with fewer cells than columns is filled up with nulls.  A row
+    with more raises an error when it is read, or, with ``surplus="keep"``, keeps
+    its first surplus cell in a column ``_surplus``, which is null in all others
+    and which the conformance report lists as unexpected.  An empty surplus cell
+    holds nothing and counts as none.
     """
+    if surplus not in ("raise", "keep"):
+        raise ValueError("surplus must be 'raise' or 'keep'")
     reader = (
         spark.read.option("header", params.header)
         .option("sep", params.delimiter)
@@ -62,13 +70,24 @@ def read_delimited(
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
     )
-    if schema is not None:
-        text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-        reader = reader.schema(text).option("enforceSchema", False)
-    df = reader.csv(path if isinstance(path, str) else list(path))
-    if not params.header and schema is None:
-        df = df.toDF(*[str(i) for i in range(len(df.columns))])
-    return apply_null_tokens(df, null_tokens(params))
+    paths = path if isinstance(path, str) else list(path)
+    if schema is None:
+        names = reader.csv(paths).columns
+        if not params.header:
+            names = [str(i) for i in range(len(names))]
+    else:
+        names = schema.fieldNames()
+        found = reader.csv(paths).columns if params.header else names
+        if found[: len(names)] != names[: len(found)]:
+            raise ValueError(f"the header {found} does not match the schema {names}")
+    # One column more than the table has: what lands there is surplus.
+    wide = T.StructType([T.StructField(n, T.StringType()) for n in (*names, SURPLUS)])
+    df = reader.schema(wide).csv(paths)
+    if surplus == "raise":
+        excess = F.raise_error(F.lit(f"a row has more than {len(names)} cells")).cast("boolean")
+        df = df.where(F.when(F.col(SURPLUS).isNotNull(), excess).otherwise(F.lit(True))).drop(SURPLUS)
+        return apply_null_tokens(df, null_tokens(params))
+    return apply_null_tokens(df, null_tokens(params), keep=(SURPLUS,))
 
 
 def read_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

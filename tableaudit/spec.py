@@ -49,32 +49,37 @@ class TableSpec:
 
     columns: tuple[ColumnSpec, ...]
     non_feature_patterns: tuple[str, ...] = ()
+    # Role lists as configured: (role, column names).  A column may have several
+    # roles, and need not be declared.
+    role_lists: tuple[tuple[str, tuple[str, ...]], ...] = ()
 
     @classmethod
     def from_mapping(cls, schema: Mapping, roles: Mapping | None = None) -> TableSpec:
         """Build from ``{"columns": [{name, type, ...}]}`` and ``{"id_cols": [...], ...}``.
 
-        Columns that only the role lists name are kept as undeclared planned
-        columns would be: they are added with the type their role implies.
+        The role lists stand beside the declared columns: a name may be in
+        several of them, and in none of the declared columns.
         """
         roles = roles or {}
-        role_of: dict[str, str] = {}
+        listed: dict[str, tuple[str, ...]] = {}
         for role in ROLES:
-            key = "label_col" if role == "label" else f"{role}_cols"
-            listed = roles.get(key) or []
-            for name in [listed] if isinstance(listed, str) else listed:
-                role_of.setdefault(name, role)
+            names = roles.get("label_col" if role == "label" else f"{role}_cols") or ()
+            listed[role] = (names,) if isinstance(names, str) else tuple(n for n in names if n)
         cols = [
             ColumnSpec(
                 c["name"],
                 c.get("type", "string"),
                 bool(c.get("nullable", True)),
                 c.get("max_len"),
-                role_of.get(c["name"]),
+                next((role for role in ROLES if c["name"] in listed[role]), None),
             )
             for c in schema["columns"]
         ]
-        return cls(tuple(cols), tuple(roles.get("non_feature_cols_from_regex") or ()))
+        return cls(
+            tuple(cols),
+            tuple(roles.get("non_feature_cols_from_regex") or ()),
+            tuple((role, names) for role, names in listed.items() if names),
+        )
 
     @property
     def names(self) -> list[str]:
@@ -84,7 +89,18 @@ class TableSpec:
         return next((c for c in self.columns if c.name == name), None)
 
     def with_role(self, *roles: str) -> list[str]:
-        return [c.name for c in self.columns if c.role in roles]
+        """Columns with any of these roles, listed ones first, each once."""
+        listed = [n for role, names in self.role_lists if role in roles for n in names]
+        return list(dict.fromkeys([*listed, *(c.name for c in self.columns if c.role in roles)]))
+
+    def roles_of(self, name: str) -> list[str]:
+        return [role for role in ROLES if name in self.with_role(role)]
+
+    @property
+    def mentioned(self) -> list[str]:
+        """Declared columns, then those that only role lists name."""
+        listed = (n for _, names in self.role_lists for n in names)
+        return list(dict.fromkeys([*self.names, *listed]))
 
     @property
     def key(self) -> str | None:
@@ -177,7 +193,10 @@ class AuditParams:
 
     @classmethod
     def from_mapping(cls, tree: Mapping) -> AuditParams:
-        """Read the nested parameter mapping an audited project keeps in its config."""
+        """Read the nested parameter mapping an audited project keeps in its config.
+
+        The key names are fixed values: they have to match the mapping.
+        """
 
         def at(*path):
             node = tree

@@ -2,15 +2,19 @@
 
 import hashlib
 import math
+import os
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tableaudit import AuditParams
+from tableaudit import AuditParams, ColumnSpec, TableSpec
+from tableaudit.functions.parsing import ISO_PATTERNS
+from tableaudit.operators import cast, leakage, sanity
 from tableaudit.operators import textmodel as model
 from tableaudit.session import shared_folder
 from tableaudit.sources import manifest, reports, tables
+from tableaudit.sources.reports import read_report, write_report
 from tableaudit.spec import LabelRule
 
 
@@ -19,7 +23,7 @@ def test_csv_cells(spark, tmp_path):
     path.write_text(
         'id,name,note\n1,None,"two\nlines"\n2, NA ,"say ""hi"", ok"\nNA,n/a,\n4,"","x"\n5,nan,<NA>\n', encoding="utf-8"
     )
-    df = tables.read_delimited(spark, str(path))
+    df = tables.read_delimited(spark, str(path), multiline=True)
     assert [f.dataType.simpleString() for f in df.schema] == ["string"] * 3
     assert [tuple(r) for r in df.collect()] == [
         ("1", None, "two\nlines"), ("2", " NA ", 'say "hi", ok'), (None, None, None), ("4", None, "x"), ("5", None, None),
@@ -113,7 +117,7 @@ def test_baseline_on_the_toy_table(spark):
 def test_baseline_optimum(spark):
     """The gradient of the penalised loss is zero at the fitted weights."""
     rule = LabelRule("y", ("0", "1"), "1")
-    scored = model.score(model.fit_baseline(toy(spark), "text", rule, tol=1e-9), toy(spark), "text")
+    scored = model.score(model.fit_baseline(toy(spark), "text", rule), toy(spark), "text")
     p = {r["a"]: r["score"] for r in scored.collect()}
     w = {"hi": -(p[0] + p[1]), "hello": 1 - p[2], "goodbye": 1 - p[3]}
     logit = lambda x: math.log(x / (1 - x))
@@ -122,10 +126,82 @@ def test_baseline_optimum(spark):
     assert sum(p.values()) == pytest.approx(2.0, abs=1e-3)
 
 
-def test_too_many_terms_is_an_error(spark):
+def test_training_rows_are_bounded_and_all_are_scored(spark):
     rule = LabelRule("y", ("0", "1"), "1")
-    with pytest.raises(model.VocabularyTooLarge):
-        model.fit_baseline(toy(spark), "text", rule, max_vocabulary=2)
+    many = spark.createDataFrame([(i, f"word{i} text", str(i % 2)) for i in range(400)], "a long, text string, y string")
+    fitted = model.fit_baseline(many, "text", rule, max_iter=5, max_training_rows=100)
+    assert 50 < len(fitted.stages[1].vocabulary) < 160
+    assert model.score(fitted, many, "text").count() == 400
+
+
+def test_optimum_gap_sees_an_unfinished_fit(spark):
+    rule = LabelRule("y", ("0", "1"), "1")
+    done = model.optimum_gap(model.fit_baseline(toy(spark), "text", rule), toy(spark), "a", "text", rule).first()
+    assert (done["n_pos"], done["n_neg"]) == (2, 2) and done["gap"] < 1e-3
+    early = model.fit_baseline(toy(spark), "text", rule, max_iter=1)
+    assert model.optimum_gap(early, toy(spark), "a", "text", rule).first()["gap"] > 1e-2
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_surplus_cells_are_never_lost(spark, tmp_path, multiline):
+    (tmp_path / "t.csv").write_text('a,b\n1,2\n3,4,5\n6\n7,8,\n"x,y",NA\n')
+    path = str(tmp_path / "t.csv")
+    kept = tables.read_delimited(spark, path, multiline=multiline, surplus="keep")
+    got = sorted(tuple(r) for r in kept.select("a", F.coalesce("b", F.lit("null")), F.coalesce("_surplus", F.lit("null"))).collect())
+    assert got == [("1", "2", "null"), ("3", "4", "5"), ("6", "null", "null"), ("7", "8", "null"), ("x,y", "null", "null")]
+    with pytest.raises(Exception, match="more than 2 cells"):
+        tables.read_delimited(spark, path, multiline=multiline).select("a").collect()
+
+
+def test_line_breaks_need_multiline(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n"1\n2",3\n')
+    assert tables.read_delimited(spark, str(tmp_path / "t.csv"), multiline=True).first()["a"] == "1\n2"
+
+
+def test_empty_report_replaces_the_last_one(spark, tmp_path):
+    path, shape = str(tmp_path / "store"), "n long"
+    write_report(spark.createDataFrame([(1,)], shape), path, "one", "run-1")
+    write_report(spark.createDataFrame([(2,)], shape), path, "two", "run-1")
+    write_report(spark.createDataFrame([], shape), path, "one", "run-2")
+    assert read_report(spark, path, "one", shape).collect() == []
+    assert [r["n"] for r in read_report(spark, path, "two", shape).collect()] == [2]
+
+
+def test_written_copies_are_removed(spark, tmp_path):
+    path = str(tmp_path / "copy")
+    assert all(sanity.write_read_back(spark.range(5), path).first())
+    assert not os.path.exists(path)
+
+
+@pytest.fixture
+def new_york(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    yield spark
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_dates_are_utc_in_any_session(new_york):
+    spark = new_york
+    raw = spark.createDataFrame(
+        [("2024-01-01",), ("2024-07-01 12:00:00",), ("2024-03-10T02:30:00+02:00",)], "d string"
+    )
+    spec = TableSpec((ColumnSpec("d", "datetime"),))
+    params = AuditParams(date_formats=ISO_PATTERNS)
+    typed = cast.cast_table(raw, spec, params, cast.decide(raw, spec, params, per_row=True))
+    micros = [r[0] for r in typed.select(F.unix_micros("d")).collect()]
+    assert micros == [1704067200000000, 1719835200000000, 1710030600000000]
+    wall = spark.sql("SELECT TIMESTAMP_NTZ'2025-12-31 23:30:00' AS t, DATE'2026-01-01' AS d, '2025-12-31 23:30:00' AS s")
+    late = leakage.future_dates(wall, ["t", "d", "s"], "2025-12-31 23:15:00", 2025)
+    assert sorted((r["column"], r["future_year_gt"], r["after_now"]) for r in late.collect()) == [("d", 1, 1), ("s", 0, 1), ("t", 0, 1)]
+    here = sanity.fingerprint(wall).first()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sanity.fingerprint(wall).first() == here
+
+
+def test_renamed_columns_do_not_match(spark):
+    a = sanity.fingerprint(spark.createDataFrame([(1, 2)], "a int, b int"))
+    p = sanity.fingerprint(spark.createDataFrame([(1, 2)], "p int, q int"))
+    assert tuple(sanity.compare_fingerprints(a, p).first()) == (True, True, False, True)
 
 
 def test_shared_folder_follows_the_session(spark):

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 from tableaudit import AuditParams, ColumnSpec, TableSpec
-from tableaudit.operators import conform, dedup, roles
+from tableaudit.operators import conform, dedup, leakage, roles
 
 SPEC = TableSpec(
     (
@@ -158,6 +158,26 @@ def test_guard(spark):
     assert roles.guard_report(df, SPEC).first()["status"] == "ok"
 
 
+def test_roles_follow_the_lists(spark):
+    """A column may have two roles, and need not be declared."""
+    spec = TableSpec.from_mapping(
+        {"columns": [{"name": "a"}, {"name": "id"}]},
+        {"id_cols": ["id", "id2"], "cat_cols": ["a", "id"], "tech_cols": ["t"], "label_col": "y"},
+    )
+    df = spark.createDataFrame([("x", "1", "k", "no")], "a string, id string, t string, y string")
+    assert (spec.key, spec.label) == ("id", "y")
+    assert roles.non_features(df.columns, spec) == ["id", "id2", "t", "y"]
+    assert roles.leaked_features(df.columns, spec) == ["id"]
+    assert roles.missing_required(df.columns, spec) == ["id2"]
+    assert leakage.candidates(df, spec) == ["a"]
+    assert roles.guard_status(df, spec)[0] == "fail"
+    got = {r["column"]: (r["role"], r["leaked"], r["missing_required"]) for r in roles.role_report(df, spec).collect()}
+    assert got == {
+        "a": ("cat", False, False), "id": ("id,cat", True, False), "t": ("tech", False, False),
+        "y": ("label", False, False), "id2": ("id", False, True),
+    }
+
+
 def test_specs_from_mappings():
     spec = TableSpec.from_mapping(
         {"columns": [{"name": "k", "type": "string", "nullable": False}, {"name": "v", "type": "float"}]},
