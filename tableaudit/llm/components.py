@@ -17,11 +17,9 @@ def connected(edges: DataFrame) -> DataFrame:
     grow.  It ends when a turn changes nothing.  Edges from a node to itself only
     name the node; an empty table gives an empty result.
     """
-    alone = edges.where("a = b").select(F.col("a").alias("node")).distinct()
-    pairs = staged(
-        edges.where("a != b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(),
-        "edges",
-    )
+    named = staged(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
+    alone = named.where("hi = lo").select(F.col("hi").alias("node"))
+    pairs = named.where("hi != lo")
     state = _state(pairs)
     while state[0]:
         both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(

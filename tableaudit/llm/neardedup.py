@@ -265,7 +265,8 @@ def near_duplicates(
         .select("text_key", "id", "key", F.concat_ws("/", F.hex("root"), "pair.low", "pair.high").alias("task"))
     )
     links = (
-        work.join(tasks, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("raw_key") == F.col("key")))
+        # The chosen texts grow with the input, so they are never broadcast.
+        work.join(tasks.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("raw_key") == F.col("key")))
         .select("task", "text_key", "text")
         .repartition("task")
         .sortWithinPartitions("task", "text_key")
