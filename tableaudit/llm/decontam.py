@@ -68,6 +68,10 @@ def _text_of(words: Column, start: Column, n: Column | int) -> Column:
     return F.array_join(F.slice(words, start + 1, n), " ")
 
 
+def _sized(starts: Column, n: int) -> Column:
+    return F.transform(starts, lambda s: F.struct(s.alias("start"), F.lit(n).alias("n")))
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """Places of benchmark windows: doc_id, text_key, start, n (words), item_id; an item id may be null.
 
@@ -137,13 +141,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int
             )
         )
     )
-    starts = F.when(F.col("n") >= window, F.transform(around, lambda s: F.struct(s.alias("start"), F.lit(window).alias("n"))))
+    starts = F.when(F.col("n") >= window, _sized(around, window))
     starts = F.coalesce(starts, F.array().cast("array<struct<start:int,n:int>>"))
     for n in short:
         own = _grams(F.col("wh"), F.col("n"), n)
-        starts = F.concat(
-            starts, F.transform(places(own, n), lambda s, n=n: F.struct(s.alias("start"), F.lit(n).alias("n")))
-        )
+        starts = F.concat(starts, _sized(places(own, n), n))
     found = again.select(
         "doc_id",
         "text_key",

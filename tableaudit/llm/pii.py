@@ -158,6 +158,12 @@ def _confirmed(text: Column, kind: Kind, proposed: Column) -> Column:
     )
 
 
+def _ranked(spans: Column, place: int) -> Column:
+    return F.transform(
+        spans, lambda m: F.struct(m["start"].alias("start"), F.lit(place).alias("k"), m.alias("m"))
+    )
+
+
 def personal_data(docs: DataFrame, kinds: tuple[Kind, ...] = BASE + ADDED) -> DataFrame:
     """For each document (doc_id, text) its spans: array of (kind, start, end, score).
 
@@ -176,10 +182,7 @@ def personal_data(docs: DataFrame, kinds: tuple[Kind, ...] = BASE + ADDED) -> Da
     )
     ordered = F.array_sort(
         F.concat(
-            *[
-                F.transform(f"c{i}", lambda m, i=i: F.struct(m["start"].alias("start"), F.lit(i).alias("k"), m.alias("m")))
-                for i in range(len(kinds))
-            ]
+            *[_ranked(F.col(f"c{i}"), i) for i in range(len(kinds))]
         )
     )
     return work.select("doc_id", F.transform(ordered, lambda x: x["m"]).cast(SPAN).alias("spans"))
