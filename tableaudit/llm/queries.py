@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableaudit.llm import decontam, exactdedup, langid, licenses, mixing, neardedup, pii, sharding, tokens
+from tableaudit.llm import decontam, exactdedup, langid, licenses, linededup, mixing, neardedup, pii, sharding, tokens
 from tableaudit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,7 +54,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM rows GROUP BY source),
     live AS (SELECT *, 3.0::DOUBLE * source_size / weight AS ratio FROM sizes WHERE source_size > 0),
     levels AS (
-        SELECT ratio,
+        SELECT ratio, source,
                ((SELECT sum(source_size) FROM live)::DOUBLE
                 - coalesce(sum(3.0::DOUBLE * source_size) OVER (ORDER BY ratio, source
                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
@@ -62,7 +62,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM live),
     targets AS (
         SELECT source, source_size, CASE WHEN source_size = 0 THEN 0.0::DOUBLE ELSE
-            least(weight * (SELECT min(level) FROM levels WHERE level <= ratio), 3.0::DOUBLE * source_size) END AS target,
+            least(weight * (SELECT level FROM levels WHERE level <= ratio ORDER BY ratio, source LIMIT 1), 3.0::DOUBLE * source_size) END AS target,
             greatest(ceil(source_size / {mixing.BLOCK_WORDS}.0), 1)::BIGINT AS n_blocks
         FROM sizes),
     plan AS (
@@ -91,6 +91,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+@_query("op4_line_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_digest(linededup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
 @_query(
     "op5_near_duplicates",
     rf"""
@@ -155,12 +160,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM items WHERE len(w) > 0),
     spans AS (
         SELECT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2),
-               lambda i: {{'at': i, 'x': array_to_string(w[i:i + n - 1], ' ')}})) AS s
+               lambda i: {{'place': i, 'x': array_to_string(w[i:i + n - 1], ' ')}})) AS s
         FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
-    found AS (SELECT doc_id, s.at AS at, spans.n, item_id FROM spans JOIN windows ON s.x = windows.x AND spans.n = windows.n),
+    found AS (SELECT doc_id, s.place AS place, spans.n, item_id FROM spans JOIN windows ON s.x = windows.x AND spans.n = windows.n),
     hit AS (
         SELECT doc_id, count(DISTINCT p) AS n_hit
-        FROM (SELECT doc_id, unnest(range(at, at + n)) AS p FROM found) GROUP BY doc_id),
+        FROM (SELECT doc_id, unnest(range(place, place + n)) AS p FROM found) GROUP BY doc_id),
     named AS (
         SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
         FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
