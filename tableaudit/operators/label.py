@@ -36,10 +36,12 @@ def label_summary(df: DataFrame, rule: LabelRule) -> DataFrame:
     ``positive_share`` is over valid rows, ``positive_share_all`` over all rows.
     """
     if rule.column not in df.columns:
+        counts = ("n_rows", "null_count", "valid_count", "invalid_count", "positive_count")
         return small_frame(
             df.sparkSession,
-            [(rule.column, "label column not found")],
-            "column string, status string",
+            [(rule.column, *[None] * (len(counts) + 2), "label column not found")],
+            "column string, " + ", ".join(f"{c} bigint" for c in counts)
+            + ", positive_share double, positive_share_all double, status string",
         )
     null, valid = label_missing(rule), label_valid(rule)
     one = df.agg(

@@ -3,23 +3,23 @@
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.missing import quoted
+from ..functions.missing import is_missing, quoted
 from ..functions.parsing import micros_of
 from ..session import remove_folder, shared_folder, small_frame
 from ..spec import AuditParams, LabelRule, TableSpec
 from .conform import types_match
-from .label import label_summary
+from .label import label_positive, label_summary
 from .missingness import missingness
 
 # Two hexadecimal pieces of a digest, each cut into three numbers of 20 bits.
 PIECES = (1, 16)
 PIECE_DIGITS = 15
+DIGEST = "__row_digest"
 SHIFTS = (40, 20, 0)
 FIGURES = {
     "n_rows": "n_rows_match", "n_cols": "n_cols_match", "header_md5": "header_match",
@@ -59,29 +59,33 @@ def fingerprint(df: DataFrame) -> DataFrame:
     included.  Each task sends one row of sums.  The sums hold for eight
     trillion rows; beyond that Spark raises an overflow error.
     """
-    digest = df.select(row_digest(df).alias("digest")).select(
-        *[
-            F.conv(F.substring("digest", start, PIECE_DIGITS), 16, 10).cast("bigint").alias(f"d{i}")
-            for i, start in enumerate(PIECES)
-        ]
-    )
-    sums = [
-        F.coalesce(F.sum(F.shiftright(f"d{i}", shift).bitwiseAND(F.lit(0xFFFFF))), F.lit(0))
-        for i in range(len(PIECES))
-        for shift in SHIFTS
-    ]
-    header = hashlib.md5("\n".join(df.columns).encode()).hexdigest()
-    totals = digest.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", *[x.cast("string") for x in sums]).alias("content_hash")
-    )
+    totals = df.select(row_digest(df).alias(DIGEST)).agg(*_hash_aggregates())
     return totals.select(
         "n_rows",
         F.lit(len(df.columns)).alias("n_cols"),
-        F.lit(header).alias("header_md5"),
+        F.lit(_header(df)).alias("header_md5"),
         "content_hash",
     )
 
 
+def _header(df: DataFrame) -> str:
+    return hashlib.md5("\n".join(df.columns).encode()).hexdigest()
+
+
+def _hash_aggregates() -> list[Column]:
+    """Row count and content hash, as aggregates over a frame with row digests."""
+    piece = lambda start: F.conv(F.substring(DIGEST, start, PIECE_DIGITS), 16, 10).cast("bigint")
+    sums = [
+        F.coalesce(F.sum(F.shiftright(piece(start), shift).bitwiseAND(F.lit(0xFFFFF))), F.lit(0))
+        for start in PIECES
+        for shift in SHIFTS
+    ]
+    return [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.concat_ws("-", *[x.cast("string") for x in sums]).alias("content_hash"),
+    ]
+
+
 def compare_fingerprints(now: DataFrame, stored: DataFrame) -> DataFrame:
     """One row of flags.  A figure the stored side lacks counts as a match."""
     tagged = now.select(*[F.col(c).cast("string").alias(c) for c in FIGURES]).withColumn(
@@ -140,11 +144,15 @@ def write_read_back(df: DataFrame, path: str | None = None) -> DataFrame:
 
 def copy_matches(df: DataFrame, expected: DataFrame, path: str | None = None) -> DataFrame:
     """The same with the rows that should be read back given apart."""
+    return _copy_flags(df, fingerprint(expected), path)
+
+
+def _copy_flags(df: DataFrame, stored: DataFrame, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or shared_folder(spark, "write-test")
     df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
     try:
-        flags = compare_fingerprints(fingerprint(spark.read.parquet(path)), fingerprint(expected)).first()
+        flags = compare_fingerprints(fingerprint(spark.read.parquet(path)), stored).first()
     finally:
         remove_folder(spark, path)
     return small_frame(
@@ -152,6 +160,14 @@ def copy_matches(df: DataFrame, expected: DataFrame, path: str | None = None) ->
     )
 
 
+def stage_facts(df: DataFrame, label: LabelRule | None = None) -> Row:
+    """One scan, one row: fingerprint, positive labels and missing cells of every column."""
+    aggs = [F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(df.columns)]
+    if label is not None:
+        aggs.append(F.count_if(label_positive(label)).alias("positive_count"))
+    return df.withColumn(DIGEST, row_digest(df)).agg(*_hash_aggregates(), *aggs).first()
+
+
 def sanity_flags(
     after: DataFrame,
     spec: TableSpec,
@@ -163,33 +179,34 @@ def sanity_flags(
 ) -> DataFrame:
     """``(flag, ok)``: every check of the stage comparison that has its input.
 
-    A check without its input holds, as there is nothing it contradicts.
+    A check without its input holds, as there is nothing it contradicts.  The
+    stage is scanned once for all figures, and once more to write the copy; the
+    figures are one row, whatever the size of the table.
     """
-    parts = []
+    spark = after.sparkSession
+    label = params.label if params.label is not None and profiled_share is not None else None
+    facts = stage_facts(after, label)
+    n_rows = facts["n_rows"]
+    print_now = small_frame(
+        spark,
+        [(n_rows, len(after.columns), _header(after), facts["content_hash"])],
+        "n_rows bigint, n_cols int, header_md5 string, content_hash string",
+    )
+    flags: dict[str, bool] = {}
     if stored is not None:
-        parts.append(compare_fingerprints(fingerprint(after), stored))
-    if params.label is not None and profiled_share is not None:
-        parts.append(
-            label_share_match(after, params.label, profiled_share, params.label_share_atol).drop(
-                "positive_share"
-            )
-        )
+        flags |= compare_fingerprints(print_now, stored).first().asDict()
+    if label is not None:
+        share = facts["positive_count"] / n_rows if n_rows else 0.0
+        flags["label_share_match"] = abs(share - profiled_share) <= params.label_share_atol
     if profiled_missing is not None:
-        parts.append(
-            missing_share_close(after, profiled_missing, params.missing_share_atol).drop(
-                "columns_compared"
-            )
+        now = {c: facts[f"m{i}"] / n_rows if n_rows else 0.0 for i, c in enumerate(after.columns)}
+        # One row per column of the profile.
+        flags["missing_share_close"] = all(
+            abs(now.get(r["column"], 0.0) - r["missing_share"]) <= params.missing_share_atol
+            for r in profiled_missing.select("column", "missing_share").collect()
         )
     if write_test:
-        parts.append(write_read_back(after).select(F.col("write_ok").alias("write_clean_ok")))
-    readable = after.agg((F.count(F.lit(1)) >= 0).alias("read_clean_ok"))
-    parts.append(
-        readable.withColumn("schema_types_match", F.lit(types_match(after, spec)))
-    )
-    return reduce(DataFrame.unionByName, [_as_flags(p) for p in parts])
-
-
-def _as_flags(one_row: DataFrame) -> DataFrame:
-    cells = [x for c in one_row.columns for x in (F.lit(c), F.col(c))]
-    return one_row.select(F.stack(F.lit(len(one_row.columns)), *cells).alias("flag", "ok"))
-
+        flags["write_clean_ok"] = all(_copy_flags(after, print_now).first())
+    flags["read_clean_ok"] = n_rows >= 0
+    flags["schema_types_match"] = types_match(after, spec)
+    return small_frame(spark, list(flags.items()), "flag string, ok boolean")

@@ -86,7 +86,7 @@ def fit_baseline(
     df: DataFrame,
     text: str,
     rule: LabelRule,
-    max_iter: int = 200,
+    max_iter: int = 1000,
     tol: float = 1e-9,
     max_training_rows: int = 200_000,
 ) -> PipelineModel:

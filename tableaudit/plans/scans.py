@@ -180,12 +180,25 @@ def csv_ragged_rows(spark, sf_dir):
 MANIFEST_TABLES = ("customer", "orders", "lineitem", "documents", "events")
 
 
-@query("ingest_manifest")
+@query(
+    "ingest_manifest",
+    "SELECT 'suppliers' AS dataset, octet_length(encode(content)) AS file_size_bytes, md5(content) AS md5, "
+    "n_rows, 1 AS n_cols, 'a file per nation' AS reader_options, 'synthetic' AS source_version, "
+    "'run-1' AS run_id FROM (SELECT string_agg(s_suppkey || ',' || s_name || chr(10), '' ORDER BY s_suppkey) "
+    "AS content, count(*) AS n_rows FROM supplier GROUP BY s_nationkey)",
+)
 def ingest_manifest(spark, sf_dir):
-    """One row per file with size, digest, rows and columns.  Paths differ by place: no SQL."""
-    path = f"{sf_dir}/lineitem.parquet"
-    lines = table(spark, sf_dir, "lineitem")
-    return manifest(spark, [path], lines, "lineitem", "synthetic", "run-1").drop("modified_at")
+    """One row per file with size, digest, rows and columns; each nation's suppliers are written as one file."""
+    lines = table(spark, sf_dir, "supplier").select(
+        "s_nationkey", "s_suppkey", F.concat_ws(",", "s_suppkey", "s_name").alias("value")
+    )
+    path = shared_folder(spark, "suppliers")
+    ordered = lines.repartition("s_nationkey").sortWithinPartitions("s_nationkey", "s_suppkey")
+    ordered.drop("s_suppkey").write.partitionBy("s_nationkey").text(path)
+    read = spark.read.text(path).select("value")
+    return manifest(spark, [path], read, "suppliers", "synthetic", "run-1", "a file per nation").drop(
+        "modified_at", "path"
+    )
 
 
 @query(

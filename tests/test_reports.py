@@ -179,7 +179,9 @@ def test_label_summary(spark):
     assert r["status"] == "invalid_label_values"
     assert [x["label"] for x in label.invalid_samples(df, RULE).collect()] == ["a", "b"]
     assert rows(label.class_counts(df, RULE)) == [("No", 2), ("Yes", 1)]
-    assert label.label_summary(df.select(F.lit(1).alias("z")), RULE).first()["status"] == "label column not found"
+    absent = label.label_summary(df.select(F.lit(1).alias("z")), RULE)
+    assert absent.first()["status"] == "label column not found" and absent.first()["n_rows"] is None
+    assert absent.dtypes == label.label_summary(df, RULE).dtypes
     nothing = label.label_summary(df.where("y = 'zzz'"), RULE).first()
     assert (nothing["positive_share"], nothing["status"]) == (0.0, "ok")
 
@@ -252,7 +254,7 @@ def test_stage_flags(spark):
     profiled = missingness.missingness(df)
     flags = sanity.sanity_flags(df, spec, AuditParams(label=RULE), share, profiled, stored, True)
     got = {r["flag"]: r["ok"] for r in flags.collect()}
-    assert len(got) == 8
+    assert len(got) == 9
     assert all(got[k] for k in got)
     fewer = df.where("few > 0")
     off = {r["flag"]: r["ok"] for r in sanity.sanity_flags(fewer, spec, AuditParams(), stored=stored).collect()}
