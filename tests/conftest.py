@@ -1,4 +1,3 @@
-import os
 import sys
 from pathlib import Path
 
@@ -9,8 +8,6 @@ sys.path.insert(0, str(ROOT))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-TESTDATA = Path(os.environ.get("TESTDATA", "/root/testdata"))
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -29,8 +26,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *sort):
-    got = [tuple(r) for r in df.collect()]
-    return sorted(got, key=repr) if not sort else got

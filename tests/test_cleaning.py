@@ -3,7 +3,7 @@
 import unicodedata
 
 import pytest
-from conftest import rows
+from support import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

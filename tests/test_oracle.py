@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import TESTDATA
+from support import TESTDATA
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, rows_of

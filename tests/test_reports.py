@@ -5,7 +5,7 @@ import random
 
 import pandas as pd
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from tableaudit import AuditParams, ColumnSpec, TableSpec

@@ -1,7 +1,7 @@
 """Conformance, duplicates, keys and feature roles."""
 
 import pytest
-from conftest import rows
+from support import rows
 
 from tableaudit import AuditParams, ColumnSpec, TableSpec
 from tableaudit.operators import conform, dedup, leakage, roles
