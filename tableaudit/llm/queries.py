@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableaudit.llm import decontam, exactdedup, langid, licenses, linededup, mixing, neardedup, pii, sharding, tokens
+from tableaudit.llm import (
+    decontam, exactdedup, importance, infill, langid, licenses, linededup, mixing, neardedup, pii, sharding, tokens,
+    toxicity,
+)
 from tableaudit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +203,49 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("row.doc_id").alias("doc_id"), "bytes", "shard")
+
+
+_SHA = f"sha256('{infill.SEED}:' || coalesce(doc_id::VARCHAR, ''))"
+_DRAWS = ", ".join(f"('0x' || substr({_SHA}, {8 * i + 1}, 8))::BIGINT AS h{i + 1}" for i in range(4))
+
+
+@_query(
+    "op11_fill_in_middle",
+    rf"""
+    WITH units AS (
+        SELECT doc_id, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS u, {_DRAWS}
+        FROM documents),
+    cuts AS (
+        SELECT *, len(u)::BIGINT AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS low,
+               greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS high,
+               CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                         OR h3 % 100 >= {infill.CHANGED_PERCENT} THEN 'plain'
+                    WHEN h4 % 100 < {infill.SUFFIX_FIRST_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+        FROM units),
+    parts AS (
+        SELECT *, array_to_string(u[1:low], '') AS p, array_to_string(u[low + 1:high], '') AS m,
+               array_to_string(u[high + 1:], '') AS s
+        FROM cuts)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                  ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM parts
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_digest(infill.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+@_query("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op13_importance")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = importance.resample(docs, target)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
