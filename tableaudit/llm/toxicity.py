@@ -32,7 +32,7 @@ from tableaudit.llm.common import staged
 # Bounds of the training sample and of what is learned from it.
 ROWS_PER_CLASS = 3000
 LEAST_SUPPORT = 4
-LEAST_WEIGHT = 0.7
+LEAST_WEIGHT = 1.2
 # A stem's weight is its log-odds less so many standard errors.
 CAUTION = 2.0
 STEM_LENGTHS = range(3, 9)
@@ -194,23 +194,34 @@ def stem_weight(toxic: float, clean: float, n_toxic: float, n_clean: float) -> f
 def learn_lexicon(counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int) -> Lexicon:
     """Stems from the number of toxic and clean texts that hold each.
 
-    A longer stem is kept only where it tells more than every shorter one.  Words
-    of the seed list stay, unless the labels speak against them.
+    The heaviest stems come first, of equal ones the longest.  Once a stem is kept,
+    longer ones add nothing, and shorter ones are judged by the texts that are left
+    to them.  Words of the seed list stay, unless the labels speak against them.
     """
-    heavy: dict[str, float] = {}
+    kept: dict[str, float] = {}
     for word in SEEDS[INSULT].split():
         toxic, clean = counts.get(word + _WHOLE, (0, 0))
         if clean < LEAST_SUPPORT or (toxic + 0.5) * (n_clean + 1) > (clean + 0.5) * (n_toxic + 1):
-            heavy[word + _WHOLE] = SEED_WEIGHT
-    for stem in sorted(counts, key=lambda s: (len(s), s)):
-        toxic, clean = counts[stem]
-        if toxic < LEAST_SUPPORT:
+            kept[word + _WHOLE] = SEED_WEIGHT
+    known = {s: stem_weight(a, b, n_toxic, n_clean) for s, (a, b) in counts.items() if a >= LEAST_SUPPORT}
+    learned: dict[str, float] = {}
+    taken: dict[str, list[int]] = {}
+    for stem in sorted(known, key=lambda s: (-known[s], -len(s), s)):
+        shorter = [stem[:n] for n in STEM_LENGTHS if n < len(stem)]
+        if known[stem] < LEAST_WEIGHT or any(s in learned for s in shorter):
             continue
-        weight = stem_weight(toxic, clean, n_toxic, n_clean)
-        shorter = max((heavy.get(stem[:n], 0.0) for n in STEM_LENGTHS if n < len(stem)), default=0.0)
-        if weight >= LEAST_WEIGHT and weight > max(shorter, heavy.get(stem, 0.0)):
-            heavy[stem] = weight
-    return Lexicon(heavy)
+        # A text counted under several longer stems is taken off more than once, which errs on the careful side.
+        off = taken.get(stem, [0, 0])
+        toxic, clean = counts[stem][0] - off[0], max(counts[stem][1] - off[1], 0)
+        weight = stem_weight(toxic, clean, n_toxic, n_clean) if toxic >= LEAST_SUPPORT else 0.0
+        if weight < LEAST_WEIGHT:
+            continue
+        learned[stem] = weight
+        for s in shorter:
+            held = taken.setdefault(s, [0, 0])
+            held[0] += toxic
+            held[1] += clean
+    return Lexicon({s: max(kept.get(s, 0.0), learned.get(s, 0.0)) for s in kept | learned})
 
 
 # ---------------------------------------------------------------------- scoring
