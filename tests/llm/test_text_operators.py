@@ -240,7 +240,7 @@ def test_composed_machine_equals_the_row_of_machines():
 def test_lexicon_learns_stems():
     counts = {
         "low": (40, 0), "lowe": (40, 0), "lowei": (12, 0), "lowein ": (9, 0), "the": (50, 100), "rare": (3, 0),
-        "idiot ": (1, 60), "los": (45, 90), "loser ": (20, 0), "lose": (20, 1),
+        "idiot ": (1, 60), "los": (45, 90), "loser ": (20, 0), "lose": (20, 4),
     }
     got = toxicity.learn_lexicon(counts, 50, 100)
     # Of two stems of the same texts the longer, nothing below a kept one, and no short one that only holds a kept one.
