@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
@@ -11,7 +10,6 @@ from pyspark.ml.feature import (
     Normalizer,
     SQLTransformer,
 )
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -22,6 +20,7 @@ from ..functions.text import TOKEN, tokens
 from ..spec import LabelRule
 from .label import label_positive, label_valid
 from .leakage import univariate_auc
+from .logistic import LogisticNewton
 
 # A term is hot when it owns more than one in HOT_PARTS of all (document, term)
 # pairs.  There can be fewer than HOT_PARTS such terms, whatever the data.
@@ -82,30 +81,40 @@ def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
     return weighted.select("doc", "term", "tf", (F.col("w") / length).alias("tfidf"))
 
 
+def training_rows(df: DataFrame, text: str, rule: LabelRule, max_training_rows: int = 200_000) -> DataFrame:
+    """The rows a baseline is fitted on, with all their columns.
+
+    Rows without an allowed label are left out.  Where there are more labelled
+    rows than ``max_training_rows``, a share of them is taken by a hash of text and
+    label, so that about that many are left.
+    """
+    train = df.where(label_valid(rule))
+    labelled = train.count()
+    if labelled <= max_training_rows:
+        return train
+    place = F.pmod(F.xxhash64(quoted(text), label_positive(rule)), F.lit(1 << 40))
+    return train.where(place < F.lit(int(max_training_rows / labelled * (1 << 40))))
+
+
 def fit_baseline(
     df: DataFrame,
     text: str,
     rule: LabelRule,
-    max_iter: int = 1000,
-    tol: float = 1e-9,
+    max_passes: int = 200,
+    tolerance: float = 1e-10,
     max_training_rows: int = 200_000,
 ) -> PipelineModel:
     """TF-IDF and an L2 logistic regression with unit inverse strength, as one pipeline.
 
-    Rows without an allowed label are left out of the fit.  Where there are more
-    labelled rows than ``max_training_rows``, a share of them is taken by a hash of
-    the row, so that about that many are left; this bounds the fit, and nothing
-    else: every term of those rows becomes a feature and all rows are scored.
-    ``tol`` is relative improvement and so has to be small for a converged fit.
+    The fit is on ``training_rows``; the bound limits the fit, and nothing else:
+    every term of those rows becomes a feature and all rows are scored.  It ends
+    with a certified optimum, or after ``max_passes`` passes over the features;
+    ``model.stages[-1].fitted`` has the passes and the certified gap.
     """
-    train = df.where(label_valid(rule)).select(
+    train = training_rows(df, text, rule, max_training_rows).select(
         F.coalesce(quoted(text), F.lit("")).alias("text"),
         label_positive(rule).cast("double").alias("label"),
     )
-    labelled = train.count()
-    if labelled > max_training_rows:
-        place = F.pmod(F.xxhash64("text", "label"), F.lit(1 << 40))
-        train = train.where(place < F.lit(int(max_training_rows / labelled * (1 << 40))))
     tokenizer = SQLTransformer(
         statement=f"SELECT *, regexp_extract_all(lower(text), '{SQL_TOKEN}', 0) AS tokens FROM __THIS__"
     )
@@ -121,15 +130,7 @@ def fit_baseline(
             outputCol="weighted",
         )
         unit = Normalizer(inputCol="weighted", outputCol="features", p=2.0)
-        classifier = LogisticRegression(
-            maxIter=max_iter,
-            tol=tol,
-            regParam=1.0 / max(frequencies.numDocs, 1),
-            elasticNetParam=0.0,
-            standardization=False,
-            featuresCol="features",
-            labelCol="label",
-        )
+        classifier = LogisticNewton(max_passes=max_passes, tolerance=tolerance)
         fitted = Pipeline(stages=[scale, unit, classifier]).fit(vectors)
     finally:
         vectors.unpersist()
@@ -138,12 +139,11 @@ def fit_baseline(
 
 def score(model: PipelineModel, df: DataFrame, text: str) -> DataFrame:
     """The input with ``score``, the probability of the positive class."""
-    extra = ("tokens", "counts", "weighted", "features", "rawPrediction", "prediction")
+    extra = ("tokens", "counts", "weighted", "features", "log_odds")
     ready = df if text == "text" else df.withColumn("text", quoted(text))
     ready = ready.withColumn("text", F.coalesce("text", F.lit("")))
-    scored = model.transform(ready).withColumn("score", vector_to_array("probability")[1])
-    drop = [*extra, "probability"] + ([] if "text" in df.columns else ["text"])
-    return scored.drop(*drop)
+    scored = model.transform(ready)
+    return scored.drop(*extra, *([] if "text" in df.columns else ["text"]))
 
 
 def score_auc(scored: DataFrame, rule: LabelRule, column: str = "score") -> DataFrame:

@@ -129,7 +129,7 @@ def test_baseline_optimum(spark):
 def test_training_rows_are_bounded_and_all_are_scored(spark):
     rule = LabelRule("y", ("0", "1"), "1")
     many = spark.createDataFrame([(i, f"word{i} text", str(i % 2)) for i in range(400)], "a long, text string, y string")
-    fitted = model.fit_baseline(many, "text", rule, max_iter=5, max_training_rows=100)
+    fitted = model.fit_baseline(many, "text", rule, max_training_rows=100)
     assert 50 < len(fitted.stages[1].vocabulary) < 160
     assert model.score(fitted, many, "text").count() == 400
 
@@ -138,7 +138,8 @@ def test_optimum_gap_sees_an_unfinished_fit(spark):
     rule = LabelRule("y", ("0", "1"), "1")
     done = model.optimum_gap(model.fit_baseline(toy(spark), "text", rule), toy(spark), "a", "text", rule).first()
     assert (done["n_pos"], done["n_neg"]) == (2, 2) and done["gap"] < 1e-3
-    early = model.fit_baseline(toy(spark), "text", rule, max_iter=1)
+    early = model.fit_baseline(toy(spark), "text", rule, max_passes=3)
+    assert early.stages[-1].fitted.passes <= 3 and early.stages[-1].fitted.gap > 1e-3
     assert model.optimum_gap(early, toy(spark), "a", "text", rule).first()["gap"] > 1e-2
 
 
