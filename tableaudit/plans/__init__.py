@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import cleaning, conformance, leaks, profiles, scans, stages, texts
+from . import cleaning, conformance, leaks, profiles, scans, stages, texts, thresholds
 from .registry import ORACLES, QUERIES
 
-SECTIONS = (scans, conformance, cleaning, profiles, texts, leaks, stages)
+SECTIONS = (scans, conformance, cleaning, profiles, texts, thresholds, leaks, stages)
 
 __all__ = ["ORACLES", "QUERIES", "SECTIONS"]

@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tableaudit.operators import logistic
+from tableaudit.operators import logistic, thresholds
 from tableaudit.operators import textmodel as model
 from tableaudit.spec import LabelRule
 
@@ -101,3 +101,64 @@ def test_auc_equals_the_evaluator(spark):
     measure = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
     expected = measure.evaluate(scored.withColumn("label", F.col("y").cast("double")))
     assert model.score_auc(scored, RULE).first()["auc"] == pytest.approx(expected, abs=1e-6)
+
+
+# ---------------------------------------------------------------- thresholds
+
+
+def brute_table(rows, rates):
+    kept = [(s, y == "1") for _, s, y in rows if y in ("0", "1")]
+    n, positives = len(kept), sum(p for _, p in kept)
+    out = []
+    for rate in rates:
+        best = (None, 0, 0)
+        for t in {s for s, _ in kept if s is not None and s == s}:
+            hit = [p for s, p in kept if s is not None and s >= t]
+            if len(hit) <= int(np.floor(rate * n)) and len(hit) > best[1]:
+                best = (t, len(hit), sum(hit))
+        t, c, p = best
+        out.append((rate, t, c, p, round(c / n, 6), round(p / c, 6) if c else None, round(p / positives, 6) if positives else None))
+    return out
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 5, 64])
+def test_threshold_table_equals_brute_force(spark, buckets):
+    rng = np.random.default_rng(buckets)
+    values = [None, float("nan"), *np.round(rng.normal(size=40), 1).tolist(), 7.0, 7.0, 7.0]
+    rows = [(i, values[rng.integers(len(values))], ["0", "1", None, "x"][rng.choice(4, p=[0.5, 0.3, 0.1, 0.1])]) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, s double, y string").repartition(5)
+    rates = [0.0, 0.001, 0.02, 0.1, 0.37, 0.9, 1.0, 2.0]
+    got = [tuple(r) for r in thresholds.threshold_table(df, "s", RULE, rates, buckets).orderBy("rate").collect()]
+    assert got == brute_table(rows, rates)
+    curve = thresholds.threshold_curve(df, "s", RULE, buckets)
+    levels = sorted({s for _, s, y in rows if y in ("0", "1") and s is not None and s == s})
+    at = {r["threshold"]: tuple(r) for r in curve.collect()}
+    assert sorted(at) == levels
+    given = {r["threshold"]: tuple(r) for r in thresholds.threshold_metrics(df, "s", RULE, levels).collect()}
+    assert given == at
+
+
+def test_thresholds_without_rows_scores_or_positives(spark):
+    empty = spark.createDataFrame([], "s double, y string")
+    assert [tuple(r) for r in thresholds.threshold_table(empty, "s", RULE, [0.5]).collect()] == [(0.5, None, 0, 0, None, None, None)]
+    assert thresholds.threshold_curve(empty, "s", RULE).count() == 0
+    none = spark.createDataFrame([(None, "0"), (None, "1")], "s double, y string")
+    assert [tuple(r)[:4] for r in thresholds.threshold_table(none, "s", RULE, [1.0]).collect()] == [(1.0, None, 0, 0)]
+    negatives = spark.createDataFrame([(1, "0"), (2, "0")], "s int, y string")
+    assert [tuple(r) for r in thresholds.threshold_table(negatives, "s", RULE, [0.5]).collect()] == [(0.5, 2.0, 1, 0, 0.5, 0.0, None)]
+    assert thresholds.threshold_table(none, "s", RULE, []).count() == 0
+
+
+def test_retain_is_never_null(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (None,), (float("nan"),)], "s double")
+    assert [r["retain"] for r in thresholds.retain(df, "s", 2.0).collect()] == [False, True, False, False]
+    assert [r["retain"] for r in thresholds.retain(df, "s", None).collect()] == [False] * 4
+
+
+def test_no_task_sorts_the_whole_table(spark):
+    df = spark.range(1000).selectExpr("id AS s", "CAST(id % 2 AS STRING) AS y")
+    plan = thresholds.threshold_curve(df, "s", RULE)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window" in line and "Specification" not in line]
+    # Running sums are inside ranges; the one window and exchange without them see a row per range.
+    assert any("range" in w.split("],")[-2] for w in windows)
+    assert plan.count("SinglePartition") == 1
