@@ -11,7 +11,6 @@ so its size is a parameter; both ways feed the same exact totals.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableaudit.llm.common import folded, staged
+from tableaudit.llm.common import staged
 
 BUCKETS = 10000
 SEED = 7
@@ -32,14 +31,15 @@ DRAWN_PERCENT = 25
 HEAD_WORDS, HEAD_PAIRS = 4096, 65536
 # Counters a task keeps while it looks for frequent words and pairs.
 COUNTERS = 1 << 17
-_WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
+# Bytes of words stay, A-Z turn to a-z, all others to spaces.
+_FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 # Texts are coded in groups of about so many bytes; a longer text is a group of its own.
 _GROUP_BYTES = 1 << 20
 _LONGEST = 64
 
 
 def _zero_shifts(longest: int) -> np.ndarray:
-    """Tables [length, byte, value] that carry a CRC over ``length`` more bytes, by its four bytes."""
+    """Tables [length, byte, value], as one row, that carry a CRC over ``length`` more bytes, by its four bytes."""
     step = np.arange(256, dtype=np.uint32)
     for _ in range(8):
         step = np.where(step & 1, (step >> 1) ^ np.uint32(0xEDB88320), step >> 1)
@@ -47,14 +47,14 @@ def _zero_shifts(longest: int) -> np.ndarray:
     tables[0] = np.arange(256, dtype=np.uint32) << (8 * np.arange(4, dtype=np.uint32))[:, None]
     for n in range(1, longest + 1):
         tables[n] = (tables[n - 1] >> 8) ^ step[tables[n - 1] & 255]
-    return tables
+    return tables.ravel()
 
 
 def joined_crc(first: np.ndarray, second: np.ndarray, length: np.ndarray, shifts: np.ndarray) -> np.ndarray:
     """CRC of joined bytes, from the CRC of both and the second's length (within the tables)."""
-    out = second.copy()
+    out, row = second.copy(), (length << 10).astype(np.int32)
     for byte in range(4):
-        out ^= shifts[length, byte, (first >> np.uint32(8 * byte)) & np.uint32(255)]
+        out ^= shifts.take(row + (256 * byte) + ((first >> np.uint32(8 * byte)) & np.uint32(255)).astype(np.int32))
     return out
 
 
@@ -76,22 +76,22 @@ def head_of(words: list[bytes], pairs: list[bytes], buckets: int) -> Head:
 
 
 def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, list[bytes]]]:
-    """(batch, first row, folded texts) of groups of rows with a bounded number of bytes."""
+    """(batch, first row, texts) of groups of rows with a bounded number of bytes; null is empty."""
     for batch in batches:
         part, start, held = [], 0, 0
-        for i, text in enumerate(folded(batch.column(column))):
-            if part and held + len(text) > _GROUP_BYTES:
+        for i, text in enumerate(batch.column(column).cast(pa.binary()).to_pylist()):
+            if part and held + len(text or b"") > _GROUP_BYTES:
                 yield batch, start, part
                 part, start, held = [], i, 0
-            part.append(text)
-            held += len(text)
+            part.append(text or b"")
+            held += len(text or b"")
         if part:
             yield batch, start, part
 
 
 def _coded(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The distinct words, each word's number among them, and each text's number of words."""
-    cut = [_WORDS.findall(t) for t in texts]
+    cut = [t.translate(_FOLD).split() for t in texts]
     coded = pa.array(chain.from_iterable(cut), pa.binary()).dictionary_encode()
     return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), np.array([len(c) for c in cut], np.int64)
 
@@ -120,12 +120,14 @@ def feature_buckets(texts: list[bytes], head: Head, shifts: np.ndarray, buckets:
     same = _neighbours(counts)
     a, b = at[:-1][same], at[1:][same]
     pair = np.empty(len(a), np.int64)
-    keys = np.where((number[a] >= 0) & (number[b] >= 0), number[a] * len(head.words) + number[b], -1)
-    place = np.searchsorted(head.pair_keys, keys)
+    first, second = number[a], number[b]
+    both = np.flatnonzero((first >= 0) & (second >= 0)) if len(head.pair_keys) else np.empty(0, np.int64)
+    keys = first[both] * len(head.words) + second[both]
+    place = np.minimum(np.searchsorted(head.pair_keys, keys), len(head.pair_keys) - 1)
+    hit = head.pair_keys[place] == keys
     frequent = np.zeros(len(a), bool)
-    inside = place < len(head.pair_keys)
-    frequent[inside] = head.pair_keys[place[inside]] == keys[inside]
-    pair[frequent] = head.pair_buckets[place[frequent]]
+    frequent[both[hit]] = True
+    pair[both[hit]] = head.pair_buckets[place[hit]]
     short = ~frequent & (length[b] <= _LONGEST)
     pair[short] = joined_crc(state[a[short]], crc[b[short]], length[b[short]], shifts) % np.uint32(buckets)
     for i in np.flatnonzero(~frequent & ~short):
@@ -140,28 +142,30 @@ def _lighter(seen: Counter, counters: int) -> Counter:
 
 
 def frequent_features(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """(feature, n): words and pairs with a lower bound of their number, over all texts.
+    """(feature, n): words and pairs with a lower bound of their number in all texts; under b"" the number of words.
 
-    A task keeps at most ``counters`` of them, and none that owns more than a
-    ``2 / counters`` share of its features is lost.
+    A task keeps at most ``counters`` counters, and counts what a group of texts
+    holds more than once, so that rare features never push out frequent ones.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen, held = Counter(), 0
         for _, _, texts in _groups(batches, 0):
             words, at, counts = _coded(texts)
-            for i, n in enumerate(np.bincount(at, minlength=len(words)).tolist()):
+            held += len(at)
+            number = np.bincount(at, minlength=len(words))
+            often = np.flatnonzero(number > 1)
+            for i, n in zip(often.tolist(), number[often].tolist(), strict=True):
                 seen[words[i]] += n
             same = _neighbours(counts)
             keys, n = np.unique(at[:-1][same] * len(words) + at[1:][same], return_counts=True)
-            # Pairs seen once in a group are the tail's bulk: they lower nobody's count here.
             often = n > 1
             for key, k in zip(keys[often].tolist(), n[often].tolist(), strict=True):
                 a, b = divmod(key, len(words))
                 seen[b"%b %b" % (words[a], words[b])] += k
             if len(seen) > counters:
                 seen = _lighter(seen, counters)
-        most = seen.most_common(HEAD_WORDS + HEAD_PAIRS)
+        most = [(b"", held), *seen.most_common(counters // 2)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([k for k, _ in most], pa.binary()), pa.array([n for _, n in most], pa.int64())], names=["feature", "n"]
         )
@@ -171,12 +175,18 @@ def frequent_features(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 
 def learn_head(docs: DataFrame, words: int = HEAD_WORDS, pairs: int = HEAD_PAIRS, buckets: int = BUCKETS) -> Head:
-    """The head of ``docs``: at most ``words`` words and ``pairs`` pairs are fetched."""
-    found = frequent_features(docs).withColumn("pair", F.instr(F.col("feature").cast("string"), " ") > 0)
-    top = lambda pair, n: [
-        bytes(r["feature"]) for r in found.where(F.col("pair") == pair).orderBy(F.desc("n"), "feature").limit(n).collect()
-    ]
-    return head_of(top(False, words), top(True, pairs), buckets)
+    """The head of ``docs``: words that make up at least one in ``words`` of all words, and pairs one in ``pairs``.
+
+    There can be no more than ``words`` and ``pairs`` of them, whatever the data, so they are fetched.
+    """
+    found = staged(frequent_features(docs), "frequent")
+    total = found.where(F.length("feature") == 0).agg(F.sum("n")).first()[0] or 0
+    if not total:
+        return head_of([], [], buckets)
+    pair = F.instr(F.col("feature").cast("string"), " ") > 0
+    enough = F.when(pair, F.col("n") * pairs >= total).otherwise(F.col("n") * words >= total)
+    top = [(r["pair"], bytes(r["feature"])) for r in found.where((F.length("feature") > 0) & enough).select(pair.alias("pair"), "feature").collect()]
+    return head_of([f for p, f in top if not p], [f for p, f in top if p], buckets)
 
 
 def bucket_totals(docs: DataFrame, head: Head, buckets: int = BUCKETS) -> np.ndarray:

@@ -197,7 +197,7 @@ def test_ranks_run_through_all_ranges(spark):
 def test_frequent_features_are_found(spark):
     docs = spark.createDataFrame([(i, f"the cat w{i} v{i} the cat") for i in range(3000)], "doc_id long, text string")
     found = {bytes(r["feature"]): r["n"] for r in importance.frequent_features(docs, counters=64).collect()}
-    assert 0 < found[b"the"] <= 6000 and 0 < found[b"the cat"] <= 6000
+    assert 0 < found[b"the"] <= 6000 and 0 < found[b"the cat"] <= 6000 and found[b""] == 18000
 
 
 # ----------------------------------------------------------------------- toxicity
