@@ -45,15 +45,55 @@ def level_counts(
     key than its name.
     """
     tallies = dict(tallies or {})
-    cells = [x for i, c in enumerate(columns) for x in (F.lit(i), quoted(c).cast("string"))]
-    long = df.select(
-        F.stack(F.lit(len(columns)), *cells).alias("slot", "level"),
-        *[expr.cast("bigint").alias(name) for name, expr in tallies.items()],
+    return with_names(_counted(cells(df, columns, tallies), ("slot", "level"), tallies), columns)
+
+
+def cells(
+    df: DataFrame, columns: Sequence[str], tallies: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """``(slot, level, *tallies)``: a row per cell of the columns, read as text."""
+    pairs = [x for i, c in enumerate(columns) for x in (F.lit(i), quoted(c).cast("string"))]
+    return df.select(
+        F.stack(F.lit(len(columns)), *pairs).alias("slot", "level"),
+        *[expr.cast("bigint").alias(name) for name, expr in (tallies or {}).items()],
     )
-    counted = long.groupBy("slot", "level").agg(
+
+
+def _counted(long: DataFrame, keys: Sequence[str], tallies: Mapping[str, Column]) -> DataFrame:
+    return long.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(name).alias(name) for name in tallies]
     )
-    return with_names(counted, columns)
+
+
+def bucket_sums(
+    long: DataFrame, width: int, tallies: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """``(slot, bucket, n, *tallies)`` of cells: sums over all levels whose hash falls into a bucket.
+
+    This is a count-min sketch of one row.  Its size is bounded by the columns
+    times ``width``, and no level is more frequent than its bucket, so a level
+    in a light bucket is proven light without being counted.
+    """
+    marked = long.withColumn("bucket", _bucket(width))
+    return _counted(marked, ("slot", "bucket"), tallies or {})
+
+
+def _bucket(width: int) -> Column:
+    return F.pmod(F.xxhash64("level"), F.lit(width)).cast("int")
+
+
+def counts_within(
+    long: DataFrame, buckets: DataFrame, width: int, tallies: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """``(slot, level, n, *tallies)`` of the levels in the given ``(slot, bucket)`` alone.
+
+    Cells elsewhere are dropped before the shuffle.  The buckets are broadcast:
+    there are at most ``width`` for each column.
+    """
+    kept = long.withColumn("bucket", _bucket(width)).join(
+        F.broadcast(buckets.select("slot", "bucket")), ["slot", "bucket"]
+    )
+    return _counted(kept, ("slot", "level"), tallies or {})
 
 
 @dataclass(frozen=True)

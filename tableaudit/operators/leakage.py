@@ -16,6 +16,9 @@ from ..spec import AuditParams, LabelRule, TableSpec
 from .counts import (
     Numeric,
     area_under_curve,
+    bucket_sums,
+    cells,
+    counts_within,
     fetch_borders,
     level_counts,
     ranged_counts,
@@ -24,6 +27,8 @@ from .counts import (
 from .label import label_negative, label_positive, label_valid
 from .roles import non_features, pattern_hits
 
+# Buckets per column of the search for pure levels.
+LEVEL_BUCKETS = 1 << 16
 FINDING = "check string, column string, detail string, amount double"
 
 
@@ -62,11 +67,15 @@ def pure_levels(
     rule: LabelRule,
     columns: Sequence[str],
     min_support: int = AuditParams.min_support,
+    buckets: int = LEVEL_BUCKETS,
 ) -> DataFrame:
     """``(column, level, support, class_only)``: levels seen with one class only.
 
     Null is a level of its own.  Rows with any other label add no support.
-    All columns share one grouped count.
+    All columns share one grouped count.  Before it, sums by bucket drop the
+    levels whose whole bucket has too little support in either class: of columns
+    with nearly as many levels as rows hardly any are shuffled, as long as the
+    rows are fewer than ``buckets`` times the support.
     """
     columns = [c for c in columns if c != rule.column]
     if not columns:
@@ -76,9 +85,15 @@ def pure_levels(
             "column string, level string, support bigint, class_only string",
         )
     negative = rule.negatives[0] if len(rule.negatives) == 1 else "negative"
-    counts = level_counts(
-        df, columns, {"n_pos": label_positive(rule), "n_neg": label_negative(rule)}
-    )
+    tallies = {"n_pos": label_positive(rule), "n_neg": label_negative(rule)}
+    long = cells(df, columns, tallies)
+    # Below two, every level has enough.
+    if min_support > 1:
+        sums = bucket_sums(long, buckets, tallies)
+        able = sums.where(F.greatest("n_pos", "n_neg") >= min_support)
+        counts = with_names(counts_within(long, able, buckets, tallies), columns)
+    else:
+        counts = level_counts(df, columns, tallies)
     support = F.col("n_pos") + F.col("n_neg")
     pure = (F.col("n_pos") == 0) != (F.col("n_neg") == 0)
     return counts.where((support >= min_support) & pure).select(

@@ -14,6 +14,9 @@ from ..session import small_frame
 from ..spec import AuditParams
 from .counts import (
     Numeric,
+    bucket_sums,
+    cells,
+    counts_within,
     exact_quantiles,
     fetch_borders,
     level_counts,
@@ -22,6 +25,8 @@ from .counts import (
     with_names,
 )
 
+# Buckets per text column, for reports that need only the frequent levels.
+BUCKETS = 1 << 16
 FAMILIES = ("int", "float", "bool", "category", "string", "datetime")
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -37,10 +42,10 @@ def quantile_name(q: float) -> str:
 def overview(df: DataFrame) -> DataFrame:
     """``(family, n_columns, n_rows, n_cols)``, one row per type family."""
     found = [field_family(f) for f in df.schema]
-    cells = [c for f in FAMILIES for c in (F.lit(f), F.lit(found.count(f)))]
+    pairs = [c for f in FAMILIES for c in (F.lit(f), F.lit(found.count(f)))]
     rows = df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(found)).alias("n_cols"))
     return rows.select(
-        F.stack(F.lit(len(FAMILIES)), *cells).alias("family", "n_columns"), "n_rows", "n_cols"
+        F.stack(F.lit(len(FAMILIES)), *pairs).alias("family", "n_columns"), "n_rows", "n_cols"
     )
 
 
@@ -99,7 +104,7 @@ def numeric_profile(
 def _numeric_sketch(df: DataFrame, items: Sequence[Numeric], quantiles) -> DataFrame:
     """One scan; distinct counts and quantiles are estimates."""
     grid = F.array(*[F.lit(float(q)) for q in quantiles])
-    aggs, cells = [F.count(F.lit(1)).alias("count")], []
+    aggs, figures_of = [F.count(F.lit(1)).alias("count")], []
     for i, item in enumerate(items):
         value = item.value.cast("double")
         figures = {
@@ -112,10 +117,10 @@ def _numeric_sketch(df: DataFrame, items: Sequence[Numeric], quantiles) -> DataF
             "quantiles": F.percentile_approx(value, grid),
         }
         aggs += [expr.alias(f"{name}_{i}") for name, expr in figures.items()]
-        cells += [F.lit(item.name), F.lit("int" if item.integral else "float")]
-        cells += [F.col(f"{name}_{i}") for name in figures]
+        figures_of += [F.lit(item.name), F.lit("int" if item.integral else "float")]
+        figures_of += [F.col(f"{name}_{i}") for name in figures]
     long = df.agg(*aggs).select(
-        "count", F.stack(F.lit(len(items)), *cells).alias("column", "type", *figures)
+        "count", F.stack(F.lit(len(items)), *figures_of).alias("column", "type", *figures)
     )
     return long.select(
         "column",
@@ -224,6 +229,79 @@ def categorical_profile(
     )
 
 
+def rare_shares(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    rare_level: float = AuditParams.rare_level,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """``(column, n_valid, frequent_levels, rare_share)``, with only the frequent levels shuffled.
+
+    A level that is not rare owns ``rare_level`` of its column, and so does its
+    bucket; there are at most ``1 / rare_level`` such buckets, whatever the
+    number of levels.  The rare share is what the frequent levels leave.
+    """
+    columns = list(columns) if columns is not None else columns_of(df, "string", "category")
+    long = cells(df, columns).where("level != ''")
+    sums = bucket_sums(long, buckets)
+    valid = sums.groupBy("slot").agg(F.sum("n").alias("n_valid"))
+    heavy = sums.join(F.broadcast(valid), "slot").where(F.col("n") / F.col("n_valid") >= rare_level)
+    frequent = (
+        counts_within(long, heavy, buckets)
+        .join(F.broadcast(valid), "slot")
+        .where(F.col("n") / F.col("n_valid") >= rare_level)
+        .groupBy("slot")
+        .agg(F.sum("n").alias("n_frequent"), F.count(F.lit(1)).alias("frequent_levels"))
+    )
+    names = small_frame(df.sparkSession, list(enumerate(columns)), "slot int, column string")
+    zero = F.lit(0).cast("bigint")
+    rare = F.col("n_valid") - F.coalesce("n_frequent", zero)
+    # One row per column.
+    return (
+        names.join(F.broadcast(valid), "slot", "left")
+        .join(F.broadcast(frequent), "slot", "left")
+        .select(
+            "column",
+            F.coalesce("n_valid", zero).alias("n_valid"),
+            F.coalesce("frequent_levels", zero).alias("frequent_levels"),
+            share(rare, F.col("n_valid"), 0.0).alias("rare_share"),
+        )
+    )
+
+
+def top_levels_pruned(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    top_k: int = AuditParams.top_k,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """``top_levels`` by bucket sums: levels proven out of the top are never shuffled.
+
+    The levels of the heaviest buckets are counted first.  Their ``top_k``-th count
+    is one that every level of the top reaches, so buckets below it are left out.
+    Pays where a few levels stand above a long tail; in a column of nearly equal
+    counts the bound is low and all levels are counted, as in ``top_levels``.
+    """
+    columns = list(columns) if columns is not None else columns_of(df, "string", "category")
+    long = cells(df, columns).where("level != ''")
+    sums = bucket_sums(long, buckets)
+    valid = sums.groupBy("slot").agg(F.sum("n").alias("n_valid"))
+    by_weight = W.partitionBy("slot").orderBy(F.col("n").desc(), "bucket")
+    heaviest = sums.withColumn("place", F.row_number().over(by_weight)).where(F.col("place") <= 2 * top_k)
+    by_count = W.partitionBy("slot").orderBy(F.col("n").desc(), "level")
+    first = counts_within(long, heaviest, buckets).withColumn("place", F.row_number().over(by_count))
+    bound = first.where(F.col("place") == top_k).select("slot", F.col("n").alias("least"))
+    reach = sums.join(F.broadcast(bound), "slot", "left").where(F.col("n") >= F.coalesce("least", F.lit(0)))
+    ranked = counts_within(long, reach, buckets).withColumn("position", F.row_number().over(by_count))
+    named = with_names(
+        ranked.where(F.col("position") <= top_k)
+        .join(F.broadcast(valid), "slot")
+        .select("slot", "position", "level", "n", share(F.col("n"), F.col("n_valid")).alias("share")),
+        columns,
+    )
+    return named.select("column", "position", "level", "n", "share")
+
+
 def _per_column(df: DataFrame, columns: Sequence[str], figures, schema_names) -> DataFrame:
     """One aggregate over all columns, turned into one row per column."""
     exprs, cells = [], []

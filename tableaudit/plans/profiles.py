@@ -228,6 +228,31 @@ def rare_levels(spark, sf_dir):
     return wide.drop("top_levels")
 
 
+_RARE_COLUMNS = ("customer_name", "segment", "order_date", "total")
+
+
+@query(
+    "rare_shares",
+    f"""WITH {SCANNED_SQL}, levels AS ({levels_sql('scanned', _RARE_COLUMNS)}),
+sized AS (SELECT *, sum(n) OVER (PARTITION BY "column") AS n_valid FROM levels)
+SELECT "column", CAST(max(n_valid) AS BIGINT) AS n_valid, count(*) FILTER (n / n_valid >= 0.01) AS frequent_levels,
+  round(sum(CASE WHEN n / n_valid < 0.01 THEN n ELSE 0 END) / max(n_valid), 6) AS rare_share
+FROM sized GROUP BY "column\"""",
+)
+def rare_shares(spark, sf_dir):
+    """Rare share of columns with few and with nearly unique levels; only frequent levels are shuffled."""
+    return prof.rare_shares(scanned_orders(spark, sf_dir), _RARE_COLUMNS)
+
+
+@query(
+    "top_levels_pruned",
+    f"WITH {SCANNED_SQL}, levels AS ({levels_sql('scanned', ('quantity', 'order_date', 'total'))}) " + top_sql(5),
+)
+def top_levels_pruned(spark, sf_dir):
+    """Top levels of columns whose tail is left out before the shuffle."""
+    return prof.top_levels_pruned(scanned_orders(spark, sf_dir), ["quantity", "order_date", "total"], 5)
+
+
 @query(
     "datetime_profile",
     "SELECT 'ts' AS \"column\", 'datetime' AS type, count(*) AS count, "

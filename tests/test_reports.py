@@ -135,6 +135,57 @@ def test_top_levels_and_rare_share(spark):
     assert [t["level"] for t in r["top_levels"]] == ["a", "b"]
 
 
+def long_tail(spark, n=6000):
+    """Near-unique, hot with a tail, few levels, and gaps; the label follows some of them."""
+    return spark.range(n, numPartitions=5).selectExpr(
+        "concat('id-', id) AS near_unique",
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN 'warm' ELSE concat('t', id) END AS tail",
+        "concat('l', id % 4) AS few",
+        "CASE WHEN id % 5 = 0 THEN NULL WHEN id % 5 = 1 THEN '' ELSE concat('g', id % 40) END AS gaps",
+        "CASE WHEN id % 11 = 0 THEN 'maybe' WHEN id % 3 = 0 THEN 'Yes' ELSE 'No' END AS y",
+    )
+
+
+@pytest.mark.parametrize("buckets", [1, 16, 1 << 16])
+def test_pruned_reports_equal_the_full_ones(spark, buckets):
+    df, columns = long_tail(spark), ["near_unique", "tail", "few", "gaps"]
+    for k in (1, 3, 10):
+        full = rows(profile.top_levels(df, columns, k))
+        assert rows(profile.top_levels_pruned(df, columns, k, buckets)) == full
+    for rare in (0.0001, 0.01, 0.3):
+        wide = {r["column"]: r["rare_share"] for r in profile.categorical_profile(df, columns, 3, rare).collect()}
+        assert {r["column"]: r["rare_share"] for r in profile.rare_shares(df, columns, rare, buckets).collect()} == wide
+    for support in (1, 2, 5, 500):
+        counted = counts.level_counts(df, columns, {"p": F.col("y") == "Yes", "q": F.col("y") == "No"}).collect()
+        want = sorted(
+            (r["column"], r["level"], r["p"] + r["q"], "Yes" if r["p"] else "No")
+            for r in counted if r["p"] + r["q"] >= support and (r["p"] == 0) != (r["q"] == 0) and r["level"] is not None
+        )
+        got = [r for r in rows(leakage.pure_levels(df, RULE, columns, support, buckets)) if r[1] is not None]
+        assert sorted(got) == want
+
+
+def test_hardly_any_level_of_a_near_unique_column_is_shuffled(spark):
+    df = long_tail(spark)
+    tallies = {"n_pos": F.col("y") == "Yes", "n_neg": F.col("y") == "No"}
+    long = counts.cells(df, ["near_unique"], tallies)
+    width = leakage.LEVEL_BUCKETS
+    able = counts.bucket_sums(long, width, tallies).where(F.greatest("n_pos", "n_neg") >= 3)
+    assert counts.counts_within(long, able, width, tallies).count() < 600 < counts.level_counts(df, ["near_unique"]).count() / 9
+    sums = counts.bucket_sums(long, profile.BUCKETS)
+    assert counts.counts_within(long, sums.where("n >= 60"), profile.BUCKETS).count() == 0
+    plan = leakage.pure_levels(df, RULE, ["near_unique"], 5)._jdf.queryExecution().executedPlan().toString()
+    # The light buckets go before the levels are exchanged.
+    assert plan.index("hashpartitioning(slot") < plan.index("BroadcastHashJoin")
+
+
+def test_pruned_reports_of_empty_and_missing_columns(spark):
+    df = spark.createDataFrame([(None, ""), ("", None)], "a string, b string")
+    assert profile.top_levels_pruned(df, ["a", "b"]).count() == 0
+    assert [tuple(r) for r in profile.rare_shares(df, ["a", "b"]).orderBy("column").collect()] == [("a", 0, 0, 0.0), ("b", 0, 0, 0.0)]
+    assert profile.rare_shares(df.limit(0), ["a"]).first()["n_valid"] == 0
+
+
 def test_profile_table_covers_every_family(spark):
     df = spark.createDataFrame([("a", 1, 0.5, True), ("b", 2, None, None)], "s string, i int, f double, b boolean")
     df = df.withColumn("d", F.to_timestamp(F.lit("2020-01-02 03:04:05")))
