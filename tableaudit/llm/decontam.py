@@ -13,14 +13,14 @@ lengths that occur, a document's fingerprints are all its k-grams of that length
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableaudit.llm.common import WORD, fold_ascii, staged
 
 WINDOW, GRAM = 10, 5
-# Fixed value: WORD for texts whose capitals are not folded yet.
-ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 NON_ASCII = r"[^\x00-\x7F]"
 
 
@@ -31,10 +31,6 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(fold, F.lit(WORD), F.lit(0))
 
 
-def count_words(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(ANY_WORD)).cast("long")
-
-
 def _grams(hashes: Column, n: Column, gram: int) -> Column:
     """Hash of the ``gram`` words from each place on, from an array of word hashes of length n."""
     at = lambda i, k: F.get(hashes, i + k)
@@ -72,12 +68,19 @@ def _sized(starts: Column, n: int) -> Column:
     return F.transform(starts, lambda s: F.struct(s.alias("start"), F.lit(n).alias("n")))
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Places of benchmark windows: doc_id, text_key, start, n (words), item_id; an item id may be null.
+@dataclass(frozen=True)
+class Index:
+    """A benchmark's windows as text with their items, its fingerprints, and the lengths of its short items."""
 
-    (doc_id, text_key) names a document's text: equal rows have equal hits, which
-    are listed once.
-    """
+    windows: DataFrame
+    prints: DataFrame
+    short: tuple[int, ...]
+    window: int
+    gram: int
+
+
+def index(benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Index:
+    """The index of items (item_id, text); an item id may be null."""
     if not 1 <= gram <= window:
         raise ValueError("gram must be between 1 and window")
     items = staged(
@@ -87,31 +90,46 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int
         ).where("n > 0"),
         "items",
     )
-    short = sorted(r[0] for r in items.where(F.col("n") < window).select("n").distinct().collect())
+    # Lengths below the window: fewer than ten numbers.
+    short = tuple(sorted(r[0] for r in items.where(F.col("n") < window).select("n").distinct().collect()))
     prints = F.concat(
         _winnowed(F.col("grams"), F.col("n"), window, gram),
         *[F.when(F.col("n") == n, _grams(F.col("wh"), F.col("n"), n)).otherwise(F.array().cast("array<long>")) for n in short],
     )
-    item_prints = items.select(F.explode(prints).alias("print")).distinct()
     start = F.explode(F.sequence(F.lit(0), F.greatest(F.col("n") - window, F.lit(0)))).alias("start")
-    width = F.least(F.col("n"), F.lit(window))
-    windows = items.select("item_id", "words", width.alias("n"), start).select(
+    windows = items.select("item_id", "words", F.least(F.col("n"), F.lit(window)).alias("n"), start).select(
         "item_id", _text_of(F.col("words"), F.col("start"), F.col("n")).alias("window")
     )
+    return Index(windows.distinct(), items.select(F.explode(prints).alias("print")).distinct(), short, window, gram)
 
-    keyed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
-        F.col("text").cast("string").alias("text"),
-    )
-    hashed = _hashed(keyed.select("doc_id", "text_key", words_of(F.col("text")).alias("words")), gram)
-    doc_prints = F.concat(
-        _winnowed(F.col("grams"), F.col("n"), window, gram),
-        *[F.array_distinct(_grams(F.col("wh"), F.col("n"), n)) for n in short],
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+
+
+def document_prints(docs: DataFrame, known: Index) -> DataFrame:
+    """doc_id, text_key, n_words and the fingerprints of each row, from one scan of the texts."""
+    rows = _hashed(_keyed(docs).select("doc_id", "text_key", words_of(F.col("text")).alias("words")), known.gram)
+    prints = F.concat(
+        _winnowed(F.col("grams"), F.col("n"), known.window, known.gram),
+        *[F.array_distinct(_grams(F.col("wh"), F.col("n"), n)) for n in known.short],
     )
+    return rows.select("doc_id", "text_key", F.col("n").cast("long").alias("n_words"), prints.alias("prints"))
+
+
+def hits(docs: DataFrame, known: Index, printed: DataFrame | None = None) -> DataFrame:
+    """Places of benchmark windows: doc_id, text_key, start, n (words) and the window's text.
+
+    (doc_id, text_key) names a document's text: equal rows have equal hits, which
+    are listed once.  ``printed`` is the result of ``document_prints`` where it is
+    at hand.
+    """
+    window, gram = known.window, known.gram
+    printed = document_prints(docs, known) if printed is None else printed
     shared = staged(
-        hashed.select("doc_id", "text_key", F.explode(doc_prints).alias("print"))
-        .join(item_prints, "print")
+        printed.select("doc_id", "text_key", F.explode("prints").alias("print"))
+        .join(known.prints, "print")
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set("print").alias("prints")),
         "shared-prints",
@@ -119,31 +137,34 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int
 
     # The documents that share a fingerprint, once per text, with the places of what they share.
     again = (
-        keyed.join(
+        _keyed(docs).join(
             shared.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "prints"),
             F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")),
         )
         .select("doc_id", "text_key", "prints", words_of(F.col("text")).alias("words"))
     )
     again = _hashed(again, gram)
-    known = lambda grams, i: F.array_contains("prints", F.get(grams, i))
+    shares = lambda grams, i: F.array_contains("prints", F.get(grams, i))
     places = lambda grams, n: F.filter(
         F.when(F.col("n") >= n, F.sequence(F.lit(0), F.col("n") - n)).otherwise(F.array().cast("array<int>")),
-        lambda i: known(grams, i),
+        lambda i: shares(grams, i),
     )
-    around = F.array_distinct(
-        F.flatten(
-            F.transform(
-                places(F.col("grams"), gram),
-                lambda p: F.sequence(
-                    F.greatest(p - (window - gram), F.lit(0)), F.least(p, F.col("n") - window)
+    # Windows that begin between a shared gram's place and the next shared gram's reach: each start once.
+    at = places(F.col("grams"), gram)
+    around = F.flatten(
+        F.transform(
+            at,
+            lambda p, i: F.when(
+                F.least(p, F.col("n") - window) >= F.greatest(p - (window - gram), F.get(at, i - 1) + 1, F.lit(0)),
+                F.sequence(
+                    F.greatest(p - (window - gram), F.get(at, i - 1) + 1, F.lit(0)), F.least(p, F.col("n") - window)
                 ),
-            )
+            ).otherwise(F.array().cast("array<int>")),
         )
     )
     starts = F.when(F.col("n") >= window, _sized(around, window))
     starts = F.coalesce(starts, F.array().cast("array<struct<start:int,n:int>>"))
-    for n in short:
+    for n in known.short:
         own = _grams(F.col("wh"), F.col("n"), n)
         starts = F.concat(starts, _sized(places(own, n), n))
     found = again.select(
@@ -159,7 +180,17 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int
             )
         ).alias("at"),
     ).select("doc_id", "text_key", "at.start", "at.n", "at.window").distinct()
-    return found.join(windows.distinct(), "window").select("doc_id", "text_key", "start", "n", "item_id")
+    return found.join(known.windows.select("window").distinct(), "window", "left_semi")
+
+
+def _covered(spans: Column) -> Column:
+    """How many words lie in any of the spans (start, n), in one walk over them by start."""
+    step = lambda held, s: F.struct(
+        F.greatest(held["end"], s["start"] + s["n"]).alias("end"),
+        (held["n"] + F.greatest(s["start"] + s["n"] - F.greatest(held["end"], s["start"]), F.lit(0))).alias("n"),
+    )
+    none = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
+    return F.aggregate(F.array_sort(spans), none, step, lambda held: held["n"].cast("long"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -171,23 +202,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     words; repeated rows give repeated results; an empty table on either side
     gives no hits.  Other columns are not read.
     """
-    found = staged(hits(docs, benchmark, window, gram), "hits")
-    spans = (
-        found.select("doc_id", "text_key", "start", "n").distinct()
-        .groupBy("doc_id", "text_key")
-        .agg(F.collect_list(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("runs"))
-        .select("doc_id", "text_key", F.size(F.array_distinct(F.flatten("runs"))).cast("long").alias("n_hit"))
+    known = index(benchmark, window, gram)
+    printed = staged(document_prints(docs, known), "prints")
+    found = staged(hits(docs, known, printed), "hits")
+    spans = found.groupBy("doc_id", "text_key").agg(_covered(F.collect_set(F.struct("start", "n"))).alias("n_hit"))
+    named = (
+        found.select("doc_id", "text_key", "window").distinct().join(known.windows, "window")
+        .groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     )
-    named = found.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     marks = spans.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "n_hit").join(
         named, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("text_key"))
     ).select("d", "k", "n_hit", "items")
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
-        count_words(F.col("text")).alias("n_words"),
-    )
-    return rows.join(
+    return printed.select("doc_id", "text_key", "n_words").join(
         marks, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left"
     ).select(
         "doc_id",
@@ -200,7 +226,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark window, with all their columns."""
-    bad = hits(docs, benchmark, window, gram).select("doc_id", "text_key").distinct()
+    bad = hits(docs, index(benchmark, window, gram)).select("doc_id", "text_key").distinct()
     bad = bad.select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
