@@ -34,6 +34,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/tableaudit/{purpose}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written once to the shared folder and read again; for small results that are read more than once."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this package has made, on whatever file system it is."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

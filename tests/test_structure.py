@@ -4,6 +4,8 @@ import pytest
 from support import rows
 
 from tableaudit import AuditParams, ColumnSpec, TableSpec
+from pyspark.sql import functions as F
+
 from tableaudit.operators import conform, dedup, leakage, roles
 
 SPEC = TableSpec(
@@ -199,3 +201,63 @@ def test_specs_from_mappings():
     assert params.date_formats == ("%d.%m.%Y",) and params.date_order_pairs == (("x", "z"),)
     assert params.label.positive == "b" and params.label.negatives == ("a",)
     assert params.label_share_atol == 1e-6
+
+
+def wide_rows(spark):
+    """Copies, keys with differing texts, nulls that change places, signed zeros and NaN."""
+    data = [
+        (i % 40, f"text {i % 90}", None if i % 7 else "x", "x" if i % 7 else None, [0.0, -0.0, float("nan"), 1.5][i % 4])
+        for i in range(900)
+    ] + [(None, None, None, None, None)] * 3
+    return spark.createDataFrame(data, "id int, text string, a string, b string, z double").repartition(7)
+
+
+def shared_digest(df):
+    """Far too short a digest: different rows share it."""
+    return [F.pmod(F.xxhash64(*df.columns), F.lit(5)), F.lit(0).cast("bigint")]
+
+
+@pytest.mark.parametrize("digest", [dedup.row_digest, shared_digest])
+def test_digests_give_the_counts_of_the_rows(spark, digest):
+    df = wide_rows(spark)
+    distinct = dedup.distinct_rows(df)
+    n, groups = distinct.count(), distinct.where("__copies > 1").count()
+    assert rows(dedup.duplicate_counts(df, digest)) == [(903, n, 903 - n, groups)]
+    for most in (10, 10**6):
+        kept = dedup.drop_exact_duplicates(df, digest, most)
+        assert kept.columns == df.columns and kept.count() == n
+        assert rows(kept.select("id", "text", "a", "b")) == rows(df.dropDuplicates().select("id", "text", "a", "b"))
+    want = dedup._key_figures(distinct.select(F.col("id").alias("key"), "__copies", F.lit(False).alias("mixed"))).first()
+    got = dedup.dedup_summary(df, "id", digest=digest).first()
+    for name in ("n_rows_raw", "n_rows_clean", "key_conflict_groups", "key_conflict_rows", "key_null_count"):
+        assert got[name] == want[name]
+    assert got["duplicates_exact_groups"] == groups and got["n_cols"] == 5
+
+
+def test_a_shared_digest_is_seen(spark):
+    df = wide_rows(spark)
+    assert not dedup.digest_counts(df).where("mixed").count()
+    assert dedup.digest_counts(df, "id", shared_digest).where("mixed").count()
+    assert not dedup.drop_exact_duplicates(df.limit(0)).count()
+    assert dedup.dedup_summary(df.limit(0), "id").first()["n_rows_raw"] == 0
+    plain = spark.range(5).withColumn("t", F.lit("a"))
+    assert dedup.drop_exact_duplicates(plain).count() == 5
+
+
+def exchanged(df):
+    """What crosses the exchanges of a plan, by the formatted plan."""
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    parts = [p for p in text.split("\n\n") if ") Exchange" in p.split("\n")[0]]
+    assert parts
+    return " ".join(next(line for line in p.split("\n") if line.startswith("Input")) for p in parts)
+
+
+def test_no_text_crosses_an_exchange_of_the_counts(spark):
+    df = wide_rows(spark).coalesce(3)
+    for plan in (dedup._key_figures(dedup.digest_counts(df, "id")), dedup.digest_counts(df)):
+        moved = exchanged(plan.select("*"))
+        assert "__digest_0" in moved
+    import re
+    source = spark.createDataFrame([(1, "a", "b")], "id int, text string, a string")
+    moved = exchanged(dedup._key_figures(dedup.digest_counts(source, "id")))
+    assert not re.search(r"\b(text|a)#", moved) and "key#" in moved
