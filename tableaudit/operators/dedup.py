@@ -50,8 +50,8 @@ def row_digest(df: DataFrame) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *cells) for seed in range(2)]
 
 
-def _second_digest(df: DataFrame) -> Column:
-    """MD5 of the cells as text, each with its length, so that cells cannot run together."""
+def text_digest(df: DataFrame) -> Column:
+    """MD5 of the cells as text, each with its length, so that cells cannot run together; null is a value of its own."""
     cells = []
     for field in df.schema:
         value = quoted(field.name)
@@ -59,7 +59,7 @@ def _second_digest(df: DataFrame) -> Column:
             value = value + F.lit(0.0)  # a negative zero equals zero
         text = value.cast("string")
         cells += [F.coalesce(F.length(text).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(text, F.lit(""))]
-    return F.unhex(F.md5(F.concat(F.lit(""), *cells)))
+    return F.md5(F.concat(F.lit(""), *cells))
 
 
 def digest_counts(
@@ -71,7 +71,7 @@ def digest_counts(
     """
     keys = [quoted(key).alias("key")] if key else []
     marked = df.select(
-        *keys, *[d.alias(n) for d, n in zip(digest(df), DIGEST, strict=True)], _second_digest(df).alias("__check")
+        *keys, *[d.alias(n) for d, n in zip(digest(df), DIGEST, strict=True)], F.unhex(text_digest(df)).alias("__check")
     )
     return marked.groupBy(*(["key"] if key else []), *DIGEST).agg(
         F.count(F.lit(1)).alias(COPIES), (F.min("__check") != F.max("__check")).alias("mixed")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from ..operators import sanity
+from ..operators import differences, sanity
 from ..operators.cast import cast_table
 from ..operators.label import label_summary
 from ..operators.missingness import missingness
@@ -183,3 +184,61 @@ def sanity_flags(spark, sf_dir):
         stored=sanity.fingerprint(typed),
         write_test=True,
     )
+
+
+# A later version of the orders: prices corrected, a status lost, rows dropped and rows repeated.
+_LATER_SQL = """later0 AS (SELECT * REPLACE (
+    CASE WHEN o_orderkey % 97 = 3 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+    CASE WHEN o_orderkey % 101 = 9 THEN NULL ELSE o_orderstatus END AS o_orderstatus)
+  FROM orders WHERE o_orderkey % 89 <> 5),
+later AS (SELECT * FROM later0 UNION ALL SELECT * FROM later0 WHERE o_orderkey % 83 = 7
+  UNION ALL SELECT * FROM later0 WHERE o_orderkey % 166 = 7)"""
+_EXCESS_SQL = """excess AS (
+  SELECT 'left' AS side, *, count(*) AS copies FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM later) GROUP BY ALL
+  UNION ALL
+  SELECT 'right' AS side, *, count(*) AS copies FROM (SELECT * FROM later EXCEPT ALL SELECT * FROM orders) GROUP BY ALL)"""
+
+
+def _later_orders(spark, sf_dir):
+    orders, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    later = orders.where(key % 89 != 5).withColumns(
+        {
+            "o_totalprice": F.when(key % 97 == 3, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+            "o_orderstatus": F.when(key % 101 != 9, F.col("o_orderstatus")),
+        }
+    )
+    return later.union(later.where(key % 83 == 7)).union(later.where(key % 166 == 7))
+
+
+@query(
+    "stage_differences",
+    f"WITH {_LATER_SQL}, {_EXCESS_SQL} SELECT side, o_orderkey, o_orderstatus, o_totalprice, copies FROM excess",
+)
+def stage_differences(spark, sf_dir):
+    """Every row that one version of the orders holds more often than the other."""
+    shown = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    return differences.stage_differences(table(spark, sf_dir, "orders"), _later_orders(spark, sf_dir), shown)
+
+
+@query(
+    "stage_difference_counts",
+    f"""WITH {_LATER_SQL}, {_EXCESS_SQL}
+SELECT side, count(*) AS rows, CAST(sum(copies) AS BIGINT) AS copies FROM excess GROUP BY side""",
+)
+def stage_difference_counts(spark, sf_dir):
+    return differences.difference_counts(table(spark, sf_dir, "orders"), _later_orders(spark, sf_dir))
+
+
+@query(
+    "stage_differences_after_cast",
+    f"""WITH {CAST_SQL}, a AS (SELECT c_order_id AS order_id, c_segment AS segment FROM typed),
+b AS (SELECT order_id, segment FROM typed)
+SELECT 'left' AS side, order_id, segment, count(*) AS copies FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY ALL
+UNION ALL
+SELECT 'right', order_id, segment, count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY ALL""",
+)
+def stage_differences_after_cast(spark, sf_dir):
+    """The rows whose segment the cast wrote in its canonical form."""
+    raw, columns = scanned_orders(spark, sf_dir), ["order_id", "segment"]
+    plain = cast_table(raw, ORDERS_SPEC, replace(ORDERS_PARAMS, canonical_cases={})).select(*columns)
+    return differences.stage_differences(plain, cast_table(raw, ORDERS_SPEC, ORDERS_PARAMS).select(*columns))
