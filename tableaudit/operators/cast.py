@@ -21,6 +21,7 @@ from ..functions.parsing import (
 from ..functions.text import NON_ASCII, normalize
 from ..session import small_frame
 from ..spec import AuditParams, ColumnSpec, TableSpec
+from .dateformats import chosen_formats
 
 CASTED = ("int", "float", "datetime", "bool")
 EUROPEAN_THOUSANDS = r"\.[0-9]{3}(,|\z)"
@@ -56,6 +57,9 @@ def decide(
     * which date format is the first that fits any cell.
 
     With ``per_row`` dates are tried format by format for every cell instead.
+    Without declared formats the format is inferred from all cells; a column in
+    which day and month may be either way round is read in ISO forms alone, unless
+    ``params.day_first`` says which comes first.
     """
     present = _string_columns(df, spec)
     looked_at = [c for c in present if _questions(c, params, per_row)]
@@ -78,10 +82,12 @@ def decide(
     row = look(looked_at, False)
     again = [c for c in looked_at if row[f"{c.name} unicode"]]
     row.update(look(again, True) if again else {})
+    dates = [c.name for c in present if c.type == "datetime"]
+    inferred = {} if params.date_formats or per_row else chosen_formats(df, dates, params.day_first)
     rules = {}
     for col in present:
         fitting = [f for f in params.date_formats if row.get(f"{col.name} {f}")]
-        fallback = params.date_formats[-1] if params.date_formats else None
+        fallback = params.date_formats[-1] if params.date_formats else inferred.get(col.name)
         rules[col.name] = ColumnRule(
             bool(row[f"{col.name} unicode"]),
             bool(row.get(f"{col.name} dots")),

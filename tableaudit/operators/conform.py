@@ -10,6 +10,7 @@ from ..functions.missing import field_family, is_missing, quoted
 from ..functions.parsing import float_probe, int_probe, parse_datetime_any
 from ..session import small_frame
 from ..spec import AuditParams, ColumnSpec, TableSpec
+from .dateformats import chosen_formats
 
 PROBED = ("int", "float", "datetime")
 
@@ -50,8 +51,13 @@ def require_critical(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df
 
 
-def parses(df: DataFrame, col: ColumnSpec, params: AuditParams) -> Column | None:
-    """Does a non-null cell read as its declared type?  None: every cell passes."""
+def parses(
+    df: DataFrame, col: ColumnSpec, params: AuditParams, inferred: dict[str, str] | None = None
+) -> Column | None:
+    """Does a non-null cell read as its declared type?  None: every cell passes.
+
+    ``inferred`` has the date formats of columns where none is declared.
+    """
     dtype = df.schema[col.name].dataType
     if not isinstance(dtype, T.StringType):
         return None
@@ -61,7 +67,8 @@ def parses(df: DataFrame, col: ColumnSpec, params: AuditParams) -> Column | None
     if col.type == "float":
         return float_probe(value)
     if col.type == "datetime":
-        return parse_datetime_any(value, params.date_formats).isNotNull()
+        guessed = (inferred or {}).get(col.name)
+        return parse_datetime_any(value, params.date_formats or (guessed and [guessed])).isNotNull()
     return None
 
 
@@ -70,9 +77,12 @@ def _probe(df: DataFrame, spec: TableSpec, params: AuditParams) -> DataFrame:
     present = [c for c in spec.columns if c.name in df.columns]
     if not present:
         raise CriticalColumnsMissing("none of the declared columns is present")
+    texts = [c.name for c in present if isinstance(df.schema[c.name].dataType, T.StringType)]
+    dates = [c.name for c in present if c.type == "datetime" and c.name in texts]
+    inferred = {} if params.date_formats else chosen_formats(df, dates, params.day_first)
     aggs, cells = [F.count(F.lit(1)).alias("n_rows")], []
     for i, col in enumerate(present):
-        ok = parses(df, col, params)
+        ok = parses(df, col, params, inferred)
         bad = F.lit(0).cast("bigint")
         if ok is not None:
             bad = F.count_if(quoted(col.name).isNotNull() & ~F.coalesce(ok, F.lit(False)))

@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize
+from ..operators import dateformats
 from ..operators.cast import cast_log as log_of_cast
 from ..operators.cast import cast_table, decide, text_hygiene
 from ..spec import AuditParams, ColumnSpec, TableSpec
@@ -20,6 +21,7 @@ from .data import (
     scanned_orders,
     sql_double,
     sql_long,
+    table,
 )
 from .registry import query
 
@@ -235,3 +237,61 @@ def cast_whole_table(spark, sf_dir):
     return typed.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd")).select(
         *RAW_COLUMNS
     )
+
+
+# Dates as other exports write them: one column per habit.
+_WRITTEN = ("order_date", "american", "early", "stamp", "named", "priority")
+_WRITTEN_SQL = """written AS (SELECT
+  CASE day(o_orderdate) WHEN 14 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 15 THEN '2020-13-40'
+       ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
+  strftime(o_orderdate, '%m/%d/%Y') AS american,
+  CASE WHEN day(o_orderdate) <= 12 THEN strftime(o_orderdate, '%d.%m.%Y') END AS early,
+  strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS stamp,
+  strftime(o_orderdate, '%d %b %Y') AS named,
+  o_orderpriority AS priority FROM orders)"""
+_SIGNS = {"Y": "[0-9]{4}", "n": "[0-9]{1,2}", "a": "[A-Za-z]{2,}", ".": "[.]"}
+_FORMATS_SQL = "formats AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{''.join(_SIGNS.get(c, c) for c in shape)}', {len(formats)}, {k}, '{fmt}')"
+    for shape, formats in dateformats.SHAPES.items()
+    for k, fmt in enumerate(formats)
+) + ") AS f(pattern, options, k, format))"
+
+# The SQL engine wants each format as a constant.
+_PARSED_SQL = "CASE format " + " ".join(
+    f"WHEN '{f}' THEN try_strptime(cell, '{f}')" for formats in dateformats.SHAPES.values() for f in formats
+) + " END"
+
+
+@query(
+    "date_formats",
+    f"""WITH {_WRITTEN_SQL}, long AS (UNPIVOT written ON {", ".join(_WRITTEN)} INTO NAME "column" VALUE cell),
+sizes AS (SELECT "column", count(*) AS present FROM long GROUP BY "column"), {_FORMATS_SQL},
+each AS (SELECT "column", cell, count(*) AS n FROM long GROUP BY ALL),
+tried AS (SELECT "column", cell, n, pattern, k, options, format, {_PARSED_SQL} IS NOT NULL AS fits
+  FROM each JOIN formats ON regexp_full_match(cell, pattern)),
+paired AS (SELECT *, fits AND count(*) FILTER (fits) OVER (PARTITION BY "column", cell, pattern) = 1 AS alone FROM tried),
+totals AS (SELECT "column", pattern, k, options, format, sum(n) FILTER (fits) AS cells, bool_or(alone) AS some_alone
+  FROM paired GROUP BY ALL),
+judged AS (SELECT *, bool_or(some_alone AND k = 0) OVER w AS first_alone, bool_or(some_alone AND k = 1) OVER w AS second_alone
+  FROM totals WINDOW w AS (PARTITION BY "column", pattern))
+SELECT "column", format, CAST(cells AS BIGINT) AS cells, round(cells / present, 6) AS share,
+  options = 2 AND first_alone = second_alone AS ambiguous
+FROM judged JOIN sizes USING ("column")
+WHERE cells > 0 AND (options = 1 OR first_alone = second_alone OR some_alone)""",
+)
+def date_formats(spark, sf_dir):
+    """The formats found in differently written date columns."""
+    day = F.dayofmonth("o_orderdate")
+    as_written = lambda pattern: F.date_format("o_orderdate", pattern)
+    written = table(spark, sf_dir, "orders").select(
+        F.when(day == 14, as_written("dd/MM/yyyy"))
+        .when(day == 15, F.lit("2020-13-40"))
+        .otherwise(as_written("yyyy-MM-dd"))
+        .alias("order_date"),
+        as_written("MM/dd/yyyy").alias("american"),
+        F.when(day <= 12, as_written("dd.MM.yyyy")).alias("early"),
+        as_written("yyyy-MM-dd HH:mm:ss").alias("stamp"),
+        as_written("dd MMM yyyy").alias("named"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+    return dateformats.date_formats(written, _WRITTEN)

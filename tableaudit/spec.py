@@ -165,6 +165,7 @@ class AuditParams:
     thousand_sep_policy: str = "homogeneous"
     decimal_sep: str = "."
     date_formats: tuple[str, ...] = defaults.DATE_FORMATS
+    day_first: bool | None = None
     bool_maps: Mapping[str, Mapping[str, bool]] = field(default_factory=dict)
     canonical_cases: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
     # keys
