@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,12 +18,16 @@ from ..functions.parsing import (
     to_double,
     to_long,
 )
-from ..functions.text import NON_ASCII, normalize
+from ..functions.text import NON_ASCII, normalize, strip
 from ..session import small_frame
+from ..sources.tables import write_table
 from ..spec import AuditParams, ColumnSpec, TableSpec
 from .dateformats import chosen_formats
+from .maps import is_large, look_up
 
 CASTED = ("int", "float", "datetime", "bool")
+# Columns that a joined map adds for the time of the cast.
+MAPPED = "__mapped "
 EUROPEAN_THOUSANDS = r"\.[0-9]{3}(,|\z)"
 
 
@@ -130,13 +134,27 @@ def unify_separators(clean: Column, rule: ColumnRule, params: AuditParams) -> Co
     return clean
 
 
+def with_maps(
+    df: DataFrame, spec: TableSpec, params: AuditParams, rules: dict[str, ColumnRule]
+) -> DataFrame:
+    """``df`` with a column of looked-up values for each column whose map is too large for a literal."""
+    out = df
+    for col in _string_columns(df, spec):
+        clean = normalize(quoted(col.name), rules.get(col.name, ColumnRule()).unicode_form)
+        if col.type == "bool" and is_large(params.bool_maps.get(col.name)):
+            out = look_up(out, clean, params.bool_maps[col.name], MAPPED + col.name, "boolean")
+        elif col.type == "category" and is_large(params.canonical_cases.get(col.name)):
+            out = look_up(out, F.lower(strip(clean)), params.canonical_cases[col.name], MAPPED + col.name)
+    return out
+
+
 def cast_plan(
     df: DataFrame,
     spec: TableSpec,
     params: AuditParams = AuditParams(),
     rules: dict[str, ColumnRule] | None = None,
 ) -> list[CastColumn]:
-    """Expressions for every declared column that is present."""
+    """Expressions for every declared column that is present; ``df`` comes from ``with_maps``."""
     if rules is None:
         rules = decide(df, spec, params)
     planned = []
@@ -159,6 +177,9 @@ def cast_plan(
                 if rule.date_format
                 else parse_datetime_any(clean, params.date_formats)
             )
+        elif MAPPED + col.name in df.columns:
+            value = quoted(MAPPED + col.name)
+            result = value if col.type == "bool" else F.coalesce(value, clean)
         elif col.type == "bool" and params.bool_maps.get(col.name):
             result = to_bool(clean, params.bool_maps[col.name])
         elif col.type == "category" and params.canonical_cases.get(col.name):
@@ -182,7 +203,9 @@ def cast_table(
     rules: dict[str, ColumnRule] | None = None,
 ) -> DataFrame:
     """The table in its declared types; undeclared columns pass through unchanged."""
-    results = {c.spec.name: c for c in cast_plan(df, spec, params, rules)}
+    rules = decide(df, spec, params) if rules is None else rules
+    mapped = with_maps(df, spec, params, rules)
+    results = {c.spec.name: c for c in cast_plan(mapped, spec, params, rules)}
     out = []
     for name in df.columns:
         if name in results:
@@ -190,7 +213,7 @@ def cast_table(
             out.append(results[name].result.alias(name, metadata=meta))
         else:
             out.append(quoted(name))
-    return df.select(*out)
+    return mapped.select(*out)
 
 
 def _changed(before: Column, after: Column) -> Column:
@@ -210,12 +233,21 @@ def cast_log(
     ordinary aggregate rather than accumulator metrics, which a re-run stage
     would add twice.
     """
-    plan = cast_plan(df, spec, params, rules)
+    rules = decide(df, spec, params) if rules is None else rules
+    mapped = with_maps(df, spec, params, rules)
+    aggs, cells = _log_figures(df, cast_plan(mapped, spec, params, rules), params)
+    return _log_rows(mapped.agg(*aggs), cells, params)
+
+
+def _log_figures(
+    df: DataFrame, plan: list[CastColumn], params: AuditParams
+) -> tuple[list[Column], list[Column]]:
+    """The aggregates of a cast log, and the cells that turn their one row into a row per column."""
     aggs, cells = [], []
     for i, c in enumerate(plan):
         string = isinstance(df.schema[c.spec.name].dataType, T.StringType)
-        zero = F.lit(0).cast("bigint")
-        canonical = c.spec.type == "category" and params.canonical_cases.get(c.spec.name)
+        zero = F.sum(F.lit(0).cast("bigint"))
+        canonical = c.spec.type == "category" and params.canonical_cases.get(c.spec.name) is not None
         converted = c.spec.type in CASTED
         invalid = F.count_if(c.unified.isNotNull() & c.result.isNull()) if converted else zero
         aggs += [
@@ -229,10 +261,14 @@ def cast_log(
             F.lit(df.schema[c.spec.name].dataType.simpleString()),
             F.lit(c.spec.type),
             F.lit(converted),
-            *[F.col(f"{p}{i}") for p in "ntcv"],
+            *[F.coalesce(F.col(f"{p}{i}"), F.lit(0).cast("bigint")) for p in "ntcv"],
         ]
-    long = df.agg(*aggs).select(
-        F.stack(F.lit(len(plan)), *cells).alias(
+    return aggs, cells
+
+
+def _log_rows(figures: DataFrame, cells: list[Column], params: AuditParams) -> DataFrame:
+    long = figures.select(
+        F.stack(F.lit(len(cells) // 8), *cells).alias(
             "column", "from_type", "to_type", "converted",
             "checked", "trimmed", "case_normalized", "invalid_to_null",
         )
@@ -251,6 +287,49 @@ def cast_log(
     )
 
 
+def cast_and_write(
+    df: DataFrame,
+    spec: TableSpec,
+    path: str,
+    params: AuditParams = AuditParams(),
+    rules: dict[str, ColumnRule] | None = None,
+) -> DataFrame:
+    """Cast the table, write it to ``path`` (replacing what is there) and return its cast log, from one scan.
+
+    The figures of the log are observed by the tasks that write.  Should Spark run
+    some of them again, after a loss, and count their rows twice, the number of
+    observed rows is not that of the written ones; the log is then taken by
+    ``cast_log`` in a scan of its own.  Either way it is the log of the written rows.
+    """
+    rules = decide(df, spec, params) if rules is None else rules
+    mapped = with_maps(df, spec, params, rules)
+    plan = cast_plan(mapped, spec, params, rules)
+    parts = ("raw", "clean", "unified", "result")
+    declared = {c.spec.name for c in plan}
+    wide = mapped.select(
+        *[quoted(c) for c in df.columns if c not in declared],
+        *[getattr(c, p).alias(f"__{p}{i}") for i, c in enumerate(plan) for p in parts],
+    )
+    held = [CastColumn(c.spec, *[F.col(f"__{p}{i}") for p in parts]) for i, c in enumerate(plan)]
+    aggs, cells = _log_figures(df, held, params)
+    seen = Observation()
+    observed = wide.observe(seen, F.count(F.lit(1)).alias("n_rows"), *aggs)
+    results = {c.spec.name: c for c in held}
+    out = observed.select(
+        *[
+            results[c].result.alias(c, metadata=results[c].spec.spark_field().metadata) if c in results else quoted(c)
+            for c in df.columns
+        ]
+    )
+    write_table(out, path)
+    figures = seen.get
+    if figures["n_rows"] != df.sparkSession.read.schema(out.schema).parquet(path).count():
+        return cast_log(df, spec, params, rules)
+    names = [f"{p}{i}" for i in range(len(plan)) for p in "ntcv"]
+    schema = ", ".join(f"{n} bigint" for n in names)
+    return _log_rows(small_frame(df.sparkSession, [tuple(figures[n] for n in names)], schema), cells, params)
+
+
 def text_hygiene(
     df: DataFrame, columns: Sequence[str], unicode_form: bool = True
 ) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize
 from ..operators import dateformats
 from ..operators.cast import cast_log as log_of_cast
-from ..operators.cast import cast_table, decide, text_hygiene
+from ..operators.cast import cast_and_write, cast_table, decide, text_hygiene
+from ..session import shared_folder
+from ..sources.tables import read_table
 from ..spec import AuditParams, ColumnSpec, TableSpec
 from .data import (
     CANONICAL_SQL,
@@ -212,6 +214,44 @@ def cast_log(spark, sf_dir):
     return log_of_cast(scanned_orders(spark, sf_dir), ORDERS_SPEC, ORDERS_PARAMS)
 
 
+@query("cast_log_of_write", _log_sql())
+def cast_log_of_write(spark, sf_dir):
+    """The same log, observed while the cast table is written."""
+    raw = scanned_orders(spark, sf_dir)
+    return cast_and_write(raw, ORDERS_SPEC, shared_folder(spark, "cast"), ORDERS_PARAMS)
+
+
+@query(
+    "cast_written",
+    f"WITH {CAST_SQL} SELECT order_id, segment, total, quantity, "
+    "strftime(order_date, '%Y-%m-%d') AS order_date, express, balance FROM typed",
+)
+def cast_written(spark, sf_dir):
+    """What that write left on disk."""
+    path = shared_folder(spark, "cast")
+    cast_and_write(scanned_orders(spark, sf_dir), ORDERS_SPEC, path, ORDERS_PARAMS)
+    typed = read_table(spark, path).withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd"))
+    return typed.select("order_id", "segment", "total", "quantity", "order_date", "express", "balance")
+
+
+@query(
+    "map_tables",
+    f"""WITH {CLEAN_SQL}, names AS (SELECT DISTINCT lower(c_name) AS k, replace(c_name, '#', ' no. ') AS v FROM customer),
+flags AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_nationkey % 2 = 0 AS v FROM customer)
+SELECT coalesce(names.v, customer_name) AS customer_name, flags.v AS quantity, count(*) AS n
+FROM clean LEFT JOIN names ON lower(customer_name) = names.k LEFT JOIN flags ON quantity = flags.k GROUP BY ALL""",
+)
+def map_tables(spark, sf_dir):
+    """Case and truth values looked up in tables, an entry for each customer."""
+    customer = table(spark, sf_dir, "customer")
+    names = customer.select(F.lower("c_name").alias("k"), F.replace("c_name", F.lit("#"), F.lit(" no. ")).alias("v"))
+    flags = customer.select(F.col("c_custkey").cast("string").alias("k"), (F.col("c_nationkey") % 2 == 0).alias("v"))
+    spec = TableSpec((ColumnSpec("customer_name", "category"), ColumnSpec("quantity", "bool")))
+    params = replace(ORDERS_PARAMS, canonical_cases={"customer_name": names}, bool_maps={"quantity": flags})
+    typed = cast_table(scanned_orders(spark, sf_dir).select("customer_name", "quantity"), spec, params)
+    return typed.groupBy("customer_name", "quantity").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "text_hygiene",
     f"WITH {CLEAN_SQL} SELECT 'customer_name' AS \"column\", "

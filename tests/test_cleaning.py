@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tableaudit import AuditParams, ColumnSpec, TableSpec
 from tableaudit.functions import parsing, text
-from tableaudit.operators import cast
+from tableaudit.operators import cast, maps
 
 
 def one(name, kind, **more):
@@ -191,3 +191,86 @@ def test_python_runs_only_where_unicode_needs_it(spark):
     assert plan.count("ArrowEvalPython") == 1
     plain = cast.cast_table(df.select("a"), spec, AuditParams())
     assert "EvalPython" not in plain._jdf.queryExecution().executedPlan().toString()
+
+
+# ------------------------------------------------------------ one pass, large maps
+
+WIDE = TableSpec(
+    (
+        ColumnSpec("id", "int"), ColumnSpec("g", "category"), ColumnSpec("b", "bool"), ColumnSpec("d", "datetime"),
+        ColumnSpec("absent", "float"), ColumnSpec("f", "float"),
+    )
+)
+WIDE_PARAMS = AuditParams(canonical_cases={"g": {"male": "Male"}}, bool_maps={"b": {"Yes": True, "No": False}})
+
+
+def wide(spark, n=500):
+    return spark.range(n, numPartitions=4).selectExpr(
+        "CASE WHEN id % 9 = 0 THEN 'x' ELSE CAST(id AS STRING) END AS id",
+        "element_at(array('male', ' MALE', 'é ', NULL), CAST(id % 4 AS INT) + 1) AS g",
+        "element_at(array('Yes', 'No ', 'maybe'), CAST(id % 3 AS INT) + 1) AS b",
+        "CASE WHEN id % 5 = 0 THEN 'n' ELSE '2020-01-02' END AS d",
+        "CAST(id AS DOUBLE) AS f", "concat('e', id) AS extra",
+    )
+
+
+def test_written_cast_and_its_log(spark, tmp_path):
+    df, path = wide(spark), str(tmp_path / "out")
+    for _ in range(2):  # a second run replaces the first
+        log = cast.cast_and_write(df, WIDE, path, WIDE_PARAMS)
+        assert rows(log) == rows(cast.cast_log(df, WIDE, WIDE_PARAMS))
+        back = spark.read.parquet(path)
+        assert back.columns == df.columns
+        assert rows(back) == rows(cast.cast_table(df, WIDE, WIDE_PARAMS))
+    empty = cast.cast_and_write(df.limit(0), WIDE, path, WIDE_PARAMS)
+    assert rows(empty) == rows(cast.cast_log(df.limit(0), WIDE, WIDE_PARAMS)) and not spark.read.parquet(path).count()
+
+
+def test_cast_and_log_read_the_source_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = wide(spark)
+    rules = cast.decide(source, WIDE, WIDE_PARAMS)
+    df = source.mapInArrow(counted, source.schema)
+    cast.cast_and_write(df, WIDE, str(tmp_path / "once"), WIDE_PARAMS, rules)
+    assert read.value == 500
+
+
+def test_log_of_a_write_that_was_counted_twice(spark, tmp_path, monkeypatch):
+    df = wide(spark)
+    want = rows(cast.cast_log(df, WIDE, WIDE_PARAMS))
+    original = cast.Observation
+    monkeypatch.setattr(cast, "Observation", type("Twice", (original,), {"get": property(lambda self: {k: 2 * v for k, v in original.get.fget(self).items()})}))
+    assert rows(cast.cast_and_write(df, WIDE, str(tmp_path / "twice"), WIDE_PARAMS)) == want
+
+
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_large_maps_equal_literals(spark, monkeypatch, limit):
+    monkeypatch.setattr(maps, "MOST_BROADCAST_BYTES", limit)
+    cells = [None, "", "K5", " k7 ", "nothing", "K99999"] * 20 + ["HOT"] * 400 + [f"k{i}" for i in range(0, 100000, 997)]
+    df = spark.createDataFrame([(c, c) for c in cells], "g string, b string").repartition(4)
+    names = {f"k{i}": f"Value {i}" for i in range(100_000)} | {"hot": "Hot"}
+    flags = {f"K{i}": i % 2 == 0 for i in range(100_000)} | {"HOT": True}
+    spec = TableSpec((ColumnSpec("g", "category"), ColumnSpec("b", "bool")))
+    params = AuditParams(canonical_cases={"g": names}, bool_maps={"b": flags})
+    clean = [c if c is None else c.strip() for c in cells]
+    want = sorted(((names.get((c or "").lower(), c), flags.get(c)) for c in clean), key=repr)
+    assert sorted((tuple(r) for r in cast.cast_table(df, spec, params).collect()), key=repr) == want
+    log = {r["column"]: r for r in cast.cast_log(df, spec, params).collect()}
+    assert log["g"]["case_normalized"] == sum(c is not None and names.get(c.lower(), c) != c for c in clean)
+    assert log["b"]["invalid_to_null"] == sum(c is not None and c not in flags for c in clean)
+
+
+def test_map_with_two_values_for_a_key(spark):
+    df = spark.createDataFrame([("a",)], "g string")
+    twice = spark.createDataFrame([("a", "A"), ("a", "B"), (None, "x"), ("b", "B"), ("b", "B")], "key string, value string")
+    params = AuditParams(canonical_cases={"g": twice})
+    with pytest.raises(ValueError, match=r"\['a'\]"):
+        cast.cast_table(df, one("g", "category"), params)
+    fine = AuditParams(canonical_cases={"g": twice.where("key = 'b' or key is null")})
+    assert cast.cast_table(df, one("g", "category"), fine).first()["g"] == "a"
