@@ -36,6 +36,8 @@ SEED = "mix-1"
 # Sources up to this number, with about 100 bytes each, are broadcast.
 MOST_BROADCAST = 20_000
 REPEATS = 64
+# Blocks that an output shard holds, unless a number of shards is given.
+SHARD_BLOCKS = 16
 
 
 def _hash(*parts: Column) -> Column:
@@ -90,44 +92,61 @@ def source_targets(
     )
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value written, and computed, a single time, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _log_factorial(n: Column) -> Column:
     """ln n! by Stirling's series, shifted by 8 to be exact to 1e-12 for all n >= 0."""
-    z = n.cast("double") + 9.0
-    shift = F.ln((z - 1) * (z - 2) * (z - 3) * (z - 4)) + F.ln((z - 5) * (z - 6) * (z - 7) * (z - 8))
-    series = 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z)
-    return (z - 0.5) * F.ln(z) - z + 0.9189385332046727 + series - shift
+
+    def series(z: Column) -> Column:
+        shift = F.ln((z - 1) * (z - 2) * (z - 3) * (z - 4)) + F.ln((z - 5) * (z - 6) * (z - 7) * (z - 8))
+        tail = 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z)
+        return (z - 0.5) * F.ln(z) - z + 0.9189385332046727 + tail - shift
+
+    return _once(n.cast("double") + 9.0, series)
 
 
 def _draw(uniform: Column, colour: Column, others: Column, drawn: Column) -> Column:
     """How many of ``colour`` balls are among ``drawn`` of ``colour + others``: hypergeometric, by inversion.
 
-    Probabilities are summed over twelve standard deviations around the mean; what
-    lies outside is below 1e-30.
+    Probabilities are summed over twelve standard deviations around the mean, each
+    from the one before; what lies outside is below 1e-30.
     """
-    total = colour + others
+    share = colour / F.greatest(colour + others, F.lit(1))
+    mean, spread = drawn * share, 12 * F.sqrt(drawn * share * (1 - share)) + 12
     low = F.greatest(F.lit(0).cast("long"), drawn - others)
-    high = F.least(colour, drawn)
-    share = colour / F.greatest(total, F.lit(1))
-    mean = drawn * share
-    spread = 12 * F.sqrt(drawn * share * (1 - share)) + 12
-    first = F.greatest(low, F.floor(mean - spread).cast("long"))
-    last = F.least(high, F.ceil(mean + spread).cast("long"))
+    ends = F.struct(
+        F.greatest(low, F.floor(mean - spread).cast("long")).alias("first"),
+        F.least(F.least(colour, drawn), F.ceil(mean + spread).cast("long")).alias("last"),
+        uniform.alias("uniform"),
+    )
 
     def log_p(k: Column) -> Column:
-        return (
-            _log_factorial(colour) - _log_factorial(k) - _log_factorial(colour - k)
-            + _log_factorial(others) - _log_factorial(drawn - k) - _log_factorial(others - drawn + k)
-            - _log_factorial(total) + _log_factorial(drawn) + _log_factorial(total - drawn)
+        parts = F.array(
+            colour, others, drawn, colour + others - drawn,
+            k, colour - k, drawn - k, others - drawn + k, colour + others,
         )
+        # Four factorials above the line, five below.
+        logs = F.transform(parts, lambda n, i: F.when(i < 4, _log_factorial(n)).otherwise(-_log_factorial(n)))
+        return F.aggregate(logs, F.lit(0.0), lambda s, x: s + x)
+
+    def invert(e: Column) -> Column:
+        # The chance of k + 1 over that of k.
+        ratio = lambda k: (colour - k) * (drawn - k) / ((k + 1) * (others - drawn + k + 1))
+        start = F.struct(F.lit(0.0).alias("sum"), F.exp(log_p(e["first"])).alias("p"), e["first"].alias("k"))
+        step = F.aggregate(
+            F.sequence(e["first"], e["last"]),
+            start,
+            lambda s, k: F.when(
+                s["sum"] <= e["uniform"],
+                F.struct((s["sum"] + s["p"]).alias("sum"), (s["p"] * ratio(k)).alias("p"), k.alias("k")),
+            ).otherwise(s),
+        )
+        return F.when(e["last"] > e["first"], step["k"]).otherwise(e["first"])
 
-    step = F.aggregate(
-        F.sequence(first, last),
-        F.struct(F.lit(0.0).alias("p"), first.alias("k")),
-        lambda s, k: F.when(
-            s["p"] <= uniform, F.struct((s["p"] + F.exp(log_p(k))).alias("p"), k.alias("k"))
-        ).otherwise(s),
-    )
-    return F.when(last > first, step["k"]).otherwise(first)
+    return _once(ends, invert)
 
 
 def _uniform(*parts: Column) -> Column:
@@ -153,18 +172,18 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str = SEED) -> DataFrame:
         empty = F.array().cast(T.ArrayType(item))
 
         def deal(state: Column, x: Column) -> Column:
-            colour = x["quota"]
-            others = state["rest"] - colour
+            colour, others = x["quota"], state["rest"] - x["quota"]
             u = _uniform(F.lit(seed), F.lit(str(level)), state["shard"].cast("string"), x["source"])
-            left = _draw(u, colour, others, state["wanted"])
-            return F.struct(
-                others.alias("rest"),
-                (state["wanted"] - left).alias("wanted"),
-                state["shard"].alias("shard"),
-                F.concat(state["left"], F.array(F.struct(x["source"].alias("source"), left.alias("quota")))).alias("left"),
-                F.concat(
-                    state["right"], F.array(F.struct(x["source"].alias("source"), (colour - left).alias("quota")))
-                ).alias("right"),
+            part = lambda n: F.array(F.struct(x["source"].alias("source"), n.alias("quota")))
+            return _once(
+                _draw(u, colour, others, state["wanted"]),
+                lambda left: F.struct(
+                    others.alias("rest"),
+                    (state["wanted"] - left).alias("wanted"),
+                    state["shard"].alias("shard"),
+                    F.concat(state["left"], part(left)).alias("left"),
+                    F.concat(state["right"], part(colour - left)).alias("right"),
+                ),
             )
 
         dealt = F.aggregate(
@@ -183,7 +202,8 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str = SEED) -> DataFrame:
                 F.col("dealt.right").alias("urn"),
             ),
         )
-        nodes = split.select(F.explode(children).alias("child")).select("child.*").where("width > 0")
+        # Written level by level: a few rows each, and the plan stays as small as one level.
+        nodes = staged(split.select(F.explode(children).alias("child")).select("child.*").where("width > 0"), "tree")
     leaves = nodes.select("shard", F.explode("urn").alias("x")).select("shard", "x.source", "x.quota")
     run = Window.partitionBy("source").orderBy("shard")
     return leaves.withColumn("last", F.sum("quota").over(run)).select(
@@ -211,7 +231,7 @@ def mix(
     weights: tuple[float, ...] = WEIGHTS,
     most: float = MOST_COPIES,
     block_words: int = BLOCK_WORDS,
-    shards: int = 8,
+    shards: int | None = None,
     seed: str = SEED,
     size: Callable[[Column], Column] = text_size,
     place: bool = True,
@@ -222,6 +242,7 @@ def mix(
     source_size, target, copies and, with ``place``, ``shards``, an array of one
     (shard, position) per copy.  Rows without words are never taken; a null
     source is a source like any other and a null id is hashed as an empty one.
+    Without ``shards`` their number follows the blocks of the mix.
     Equal rows may stand anywhere in the order of their block.  An empty table
     gives an empty result.
     """
@@ -259,6 +280,10 @@ def mix(
     )
     extra = blocks.select("source", "block", "before", "rank")
     if place:
+        quotas = staged(quotas, "quotas")
+        if shards is None:
+            units = quotas.agg(F.sum("quota")).first()[0] or 0
+            shards = max(1, -(-units // SHARD_BLOCKS))
         cuts = (
             split_quotas(quotas.select("source", "quota"), shards, seed)
             .where("last > first")
@@ -291,15 +316,22 @@ def mix(
 
 
 def mixed_rows(mixed: DataFrame) -> DataFrame:
-    """The mix itself: ``row`` once per copy, with its ``shard`` and ``position``, shard by shard in the shuffled order."""
+    """The mix itself: ``row`` once per copy, with its ``shard`` and ``position``, shard by shard in the shuffled order.
+
+    Tasks are ranges of (shard, position), so a large shard is not one task.
+    """
     each = mixed.select("row", F.explode("shards").alias("at")).select("row", "at.shard", "at.position")
-    return each.repartition("shard").sortWithinPartitions("shard", "position")
+    return each.repartitionByRange("shard", "position").sortWithinPartitions("shard", "position")
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:
-    """How many words of each document the mix takes.  Texts are measured first, so they are not moved."""
+    """How many words of each document the mix takes, by the copies placed in its shards.
+
+    Texts are measured first, so they are not moved.
+    """
     sized = docs.select("doc_id", "source", text_size(F.col("text")).alias("text"))
-    return mix(sized, size=lambda n: n, place=False).select(
+    placed = F.size(F.filter("shards", lambda at: at["shard"].isNotNull() & at["position"].isNotNull()))
+    return mix(sized, size=lambda n: n).select(
         F.col("row.doc_id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"),
-        (F.col("size") * F.col("copies")).alias("taken"),
+        (F.col("size") * placed).alias("taken"),
     )
