@@ -18,6 +18,7 @@ from .data import (
     ORDERS_PARAMS,
     RAW_COLUMNS,
     SCANNED_SQL,
+    TOKENS,
     raw_orders,
     scanned_orders,
     table,
@@ -48,6 +49,21 @@ def csv_scan_null_tokens(spark, sf_dir):
     return missingness(df).select("column", "n_rows", "missing_count", "missing_share")
 
 
+_NOTED = ("doc_id", "lang", "text")
+
+
+@query(
+    "csv_scan_quoted_breaks",
+    "SELECT "
+    + ", ".join(f"CASE WHEN CAST({c} AS VARCHAR) IN ({TOKENS}) THEN NULL ELSE CAST({c} AS VARCHAR) END AS {c}" for c in _NOTED)
+    + " FROM documents",
+)
+def csv_scan_quoted_breaks(spark, sf_dir):
+    """Whole texts, with their line breaks and quotes, from delimited files that are split."""
+    path = write_delimited(table(spark, sf_dir, "documents").select(*_NOTED), shared_folder(spark, "documents-csv"))
+    return read_delimited(spark, path, ORDERS_PARAMS, multiline="split")
+
+
 @query(
     "csv_scan_rows",
     f"WITH {SCANNED_SQL} SELECT segment, total, quantity, order_date, count(*) AS n "

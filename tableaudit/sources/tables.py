@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from .. import defaults
 from ..functions.missing import quoted
 from ..spec import AuditParams
+from .quoted import read_records
 
 
 # Names under which Python and the JVM know the same encoding.
@@ -45,15 +46,16 @@ def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
     params: AuditParams = AuditParams(),
-    multiline: bool = False,
+    multiline: bool | str = False,
     schema: T.StructType | None = None,
     surplus: str = "raise",
 ) -> DataFrame:
     """A delimited text table in which every column is a string.
 
-    Nothing is inferred.  Large files are split; ``multiline`` also reads quoted
-    line breaks, for which Spark takes each file as one split, so give many
-    files.  A row with fewer cells than columns is filled up with nulls.  A row
+    Nothing is inferred.  Large files are split.  ``multiline="split"`` also reads
+    quoted line breaks and still splits files; ``multiline=True`` leaves them to
+    Spark, which takes each file as one split, for encodings and ways of quoting
+    that the other does not know.  A row with fewer cells than columns is filled up with nulls.  A row
     with more raises an error when it is read, or, with ``surplus="keep"``, keeps
     its first surplus cell in a column ``_surplus``, which is null in all others
     and which the conformance report lists as unexpected.  An empty surplus cell
@@ -61,13 +63,15 @@ def read_delimited(
     """
     if surplus not in ("raise", "keep"):
         raise ValueError("surplus must be 'raise' or 'keep'")
+    if multiline not in (True, False, "split"):
+        raise ValueError("multiline must be True, False or 'split'")
     reader = (
         spark.read.option("header", params.header)
         .option("sep", params.delimiter)
         .option("encoding", jvm_encoding(params.encoding))
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multiline)
+        .option("multiLine", bool(multiline))
         .option("mode", "PERMISSIVE")
     )
     paths = path if isinstance(path, str) else list(path)
@@ -82,7 +86,12 @@ def read_delimited(
             raise ValueError(f"the header {found} does not match the schema {names}")
     # One column more than the table has: what lands there is surplus.
     wide = T.StructType([T.StructField(n, T.StringType()) for n in (*names, SURPLUS)])
-    df = reader.schema(wide).csv(paths)
+    if multiline == "split":
+        options = {"sep": params.delimiter, "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+        files = [paths] if isinstance(paths, str) else paths
+        df = read_records(spark, files, wide, options, params.header, jvm_encoding(params.encoding))
+    else:
+        df = reader.schema(wide).csv(paths)
     if surplus == "raise":
         excess = F.raise_error(F.lit(f"a row has more than {len(names)} cells")).cast("boolean")
         df = df.where(F.when(F.col(SURPLUS).isNotNull(), excess).otherwise(F.lit(True))).drop(SURPLUS)

@@ -1,8 +1,10 @@
 """Readers, writers, report store, manifest and the text baseline."""
 
+import csv
 import hashlib
 import math
 import os
+import random
 
 import pytest
 from support import rows
@@ -215,3 +217,70 @@ def test_null_tokens_hit_whole_cells_only(spark):
     df = spark.createDataFrame([("NA", 1), ("NAN", 2), (" NA", 3), ("null", 4)], "s string, n int")
     got = tables.apply_null_tokens(df, tables.null_tokens(AuditParams())).where(F.col("s").isNull())
     assert [r["n"] for r in got.collect()] == [1, 4]
+
+
+# ------------------------------------------------------- quoted breaks, in parallel
+
+QUOTED = {
+    "breaks": 'id,note\n1,"a\nb"\n2,"""q"" x,\n\n,y"\n3,plain\n4,"",\n5,"end"\n',
+    "crlf": 'id,note\r\n1,"a\r\nb\nc"\r\n2,x\r\n\r\n3,"\r\n"\r\n4,"z"',
+    "long cell": 'id,note\n1,"' + "line, with \"\"quotes\"\"\n" * 9 + '"\n2,é\n3,"x\ny"\n',
+    "closes and opens": 'id,note\n1,"a\nb","c\n' + "mid\n" * 4 + 'd"\n"2\n","x"\n3,"y',
+    "header breaks": '"i\nd","no""te"\n1,2\n"3\n",4\n',
+    "nothing": "id,note\n",
+    "bom": "\ufeffid,note\n1,\"a\nb\"\n",
+}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 8, 13, 40, 1 << 20])
+def test_quoted_breaks_at_every_split_point(spark, tmp_path, size):
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for name, text in QUOTED.items():
+        path = tmp_path / f"{name}.csv"
+        path.write_bytes(text.encode())
+        args = {"schema": tables.T.StructType([tables.T.StructField(c, tables.T.StringType()) for c in ("a", "b", "c")])} if name == "closes and opens" else {}
+        if args:
+            path.write_bytes(text.replace("id,note", "a,b,c").encode())
+        want = rows(tables.read_delimited(spark, str(path), multiline=True, **args))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        try:
+            got = tables.read_delimited(spark, str(path), multiline="split", **args)
+            assert rows(got) == want, name
+            if size < 9 and len(text) > 30:
+                assert got.rdd.getNumPartitions() > 3
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_quoted_breaks_in_random_files(spark, tmp_path):
+    rng = random.Random(11)
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cells = ["", "a", "x\ny", '"', '""\n', "\n\n", ",", "\r\n", " é ", "NA", 'q"\n"z']
+    for turn in range(6):
+        folder = tmp_path / f"t{turn}"
+        folder.mkdir()
+        for part in range(3):
+            lines = [["k", "v"]] + [[f"{part}-{i}", rng.choice(cells)] for i in range(rng.randrange(12))]
+            with open(folder / f"{part}.csv", "w", newline="") as f:
+                csv.writer(f, lineterminator="\n").writerows(lines)
+        want = rows(tables.read_delimited(spark, str(folder), multiline=True))
+        for size in (4, 17):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            try:
+                assert rows(tables.read_delimited(spark, str(folder), multiline="split")) == want
+            finally:
+                spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_quoted_breaks_with_options(spark, tmp_path):
+    path = tmp_path / "in.txt"
+    path.write_bytes('é;"-\nü"\n2;b;c\n'.encode("latin-1"))
+    params = AuditParams(delimiter=";", header=False, encoding="latin-1", null_tokens=("-",))
+    got = tables.read_delimited(spark, str(path), params, multiline="split", surplus="keep")
+    assert rows(got) == rows(tables.read_delimited(spark, str(path), params, multiline=True, surplus="keep"))
+    with pytest.raises(Exception, match="more than"):
+        tables.read_delimited(spark, str(path), params, multiline="split").collect()
+    with pytest.raises(ValueError, match="UTF-16"):
+        tables.read_delimited(spark, str(path), AuditParams(encoding="utf-16", header=False), multiline="split", schema=got.schema)
+    with pytest.raises(ValueError):
+        tables.read_delimited(spark, str(path), multiline="yes")
