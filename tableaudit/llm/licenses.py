@@ -165,6 +165,9 @@ def scan_words(words: list[bytes], index: Index, least_share: float) -> list[tup
         end = start + len(template.words)
         if votes < index.votes[number]:
             continue
+        # Every mandatory word needs a place inside the text.
+        if start + template.mandatory[0] < 0 or start + template.mandatory[-1] >= len(words):
+            continue
         if any(words[start + i] != template.words[i] for i in template.mandatory):
             continue
         held = sum(0 <= i < len(words) and words[i] == template.words[i - start] for i in range(start, end))
