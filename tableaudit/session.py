@@ -17,6 +17,8 @@ def pin_settings(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new path under the folder the cluster names in ``spark.checkpoint.dir``.
 
+    All paths of a Spark application are in one folder, which ``clean_up`` removes.
+
     Where that setting is absent it is a folder of the default file system, and
     set for this session.  On a cluster that file system must be a shared one: a
     local folder would be another one on every machine.
@@ -31,7 +33,22 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         else:
             base = f"{default.rstrip('/')}/tmp/tableaudit-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tableaudit/{purpose}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark, base)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession, base: str) -> str:
+    return f"{base.rstrip('/')}/tableaudit/{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove everything this application has written to the shared folder.
+
+    To be called when the results made so far have been read or written elsewhere:
+    DataFrames that this package returned may read those files.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        remove_folder(spark, _own_folder(spark, base))
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:

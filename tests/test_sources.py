@@ -14,7 +14,7 @@ from tableaudit import AuditParams, ColumnSpec, TableSpec
 from tableaudit.functions.parsing import ISO_PATTERNS
 from tableaudit.operators import cast, leakage, sanity
 from tableaudit.operators import textmodel as model
-from tableaudit.session import shared_folder
+from tableaudit.session import clean_up, shared_folder
 from tableaudit.sources import manifest, reports, tables
 from tableaudit.sources.reports import read_report, write_report
 from tableaudit.spec import LabelRule
@@ -219,6 +219,21 @@ def test_null_tokens_hit_whole_cells_only(spark):
     assert [r["n"] for r in got.collect()] == [1, 4]
 
 
+def test_clean_up_removes_what_this_application_wrote(spark, tmp_path):
+    kept = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
+    try:
+        other = tmp_path / "shared" / "tableaudit" / "another-application"
+        other.mkdir(parents=True)
+        path = tables.write_table(spark.range(3), shared_folder(spark, "t"))
+        assert spark.read.parquet(path).count() == 3 and os.path.exists(path)
+        clean_up(spark)
+        assert not os.path.exists(path) and other.exists()
+        clean_up(spark)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", kept)
+
+
 # ------------------------------------------------------- quoted breaks, in parallel
 
 QUOTED = {
