@@ -5,6 +5,7 @@ import hashlib
 import math
 import os
 import random
+from pathlib import Path
 
 import pytest
 from support import rows
@@ -219,19 +220,14 @@ def test_null_tokens_hit_whole_cells_only(spark):
     assert [r["n"] for r in got.collect()] == [1, 4]
 
 
-def test_clean_up_removes_what_this_application_wrote(spark, tmp_path):
-    kept = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-    try:
-        other = tmp_path / "shared" / "tableaudit" / "another-application"
-        other.mkdir(parents=True)
-        path = tables.write_table(spark.range(3), shared_folder(spark, "t"))
-        assert spark.read.parquet(path).count() == 3 and os.path.exists(path)
-        clean_up(spark)
-        assert not os.path.exists(path) and other.exists()
-        clean_up(spark)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", kept)
+def test_clean_up_removes_what_this_application_wrote(spark):
+    path = tables.write_table(spark.range(3), shared_folder(spark, "t"))
+    other = Path(path).parents[1] / "another-application"
+    other.mkdir()
+    assert spark.read.parquet(path).count() == 3 and os.path.exists(path)
+    clean_up(spark)
+    assert not os.path.exists(path) and other.exists()
+    clean_up(spark)
 
 
 # ------------------------------------------------------- quoted breaks, in parallel
