@@ -127,8 +127,9 @@ def hits(docs: DataFrame, known: Index, printed: DataFrame | None = None) -> Dat
     """
     window, gram = known.window, known.gram
     printed = document_prints(docs, known) if printed is None else printed
+    # With a plain explode Spark would test the array's size first, by computing it once more for each word.
     shared = staged(
-        printed.select("doc_id", "text_key", F.explode("prints").alias("print"))
+        printed.select("doc_id", "text_key", F.explode_outer("prints").alias("print"))
         .join(known.prints, "print")
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set("print").alias("prints")),

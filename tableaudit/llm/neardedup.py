@@ -290,9 +290,11 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, tables: int = TABLES
+) -> DataFrame:
     """``docs`` with all its columns, one row of each group of near duplicates; texts without words all stay."""
-    marked = staged(near_duplicates(docs, percent, shingle), "near-duplicates")
+    marked = staged(near_duplicates(docs, percent, shingle, tables), "near-duplicates")
     keys = ["doc_id", "raw_key"]
     dropped = marked.where("not first_of").select(*keys).distinct()
     again = marked.where("first_of and component is not null").groupBy(*keys).count().where("count > 1").select(*keys)
