@@ -11,6 +11,9 @@ from tableaudit.llm.queries import tokenizer_path
 
 # A document whose language is less certain than this is rejected, as is one without letters.
 LEAST_SCORE = 0.5
+# Near duplicates share this share of their five-word shingles; with so many tables
+# a pair at the threshold is missed with probability 9e-5.
+NEAR_PERCENT, NEAR_TABLES = 80, 14
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +25,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates."""
-    return neardedup.one_of_each(docs)
+    return neardedup.one_of_each(docs, NEAR_PERCENT, tables=NEAR_TABLES)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
