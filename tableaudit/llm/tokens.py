@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -23,34 +24,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tableaudit.llm.common import folded
 from tableaudit.session import shared_folder
 
 END_ID = 1
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
-_KNOWN = 600_000
-# Pieces the tokenizer's own pre-tokenizer would cut from a chunk of these
-# characters only, whose normal form is themselves.
-_PLAIN = re.compile(r"[!-~ß-öø-ÿ]+\Z")
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+# What a worker keeps of pieces seen before: bytes of each of two generations, and the longest piece kept.
+KEPT_BYTES, KEPT_PIECE = 36 << 20, 64
+# Bytes that one kept entry costs beside its own.
+_ENTRY = 200
+# Up to so many ranges their totals are broadcast (12 bytes each).
+MOST_RANGES = 1_000_000
+_SPACE = re.compile(r"[\t-\r ]+")
+# Texts of these characters only are their own normal form once in lower case, and the
+# tokenizer's own pre-tokenizer cuts them into these pieces.
+_PLAIN = re.compile(r"[\t-\r -~ß-öø-ÿ]*\Z")
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß-öø-ÿ]+")
 
 
 class Encoder:
-    """Ids of texts, by way of their chunks between white space.
+    """Ids of texts, by way of their pieces.
 
-    The tokenizer drops white space and never joins across it, so a chunk's ids
-    do not depend on its neighbours and are kept for the next time, up to a bound.
-    Lower-casing ASCII first changes nothing, as the tokenizer lower-cases.
+    The tokenizer drops white space and never joins across it, nor across the
+    pieces it cuts first, so a piece's ids do not depend on its neighbours and are
+    kept for the next time, up to a bound on bytes.  Chunks between white space
+    that hold other characters than those of plain texts go through the tokenizer
+    as they are, and so does a whole text in which one of the added tokens may stand.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # What is used again moves to the younger generation.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.kept = 0
         # Byte-level vocabularies show printable bytes as themselves and the others, in order, from 0x100 on.
         shown = {b: chr(b) for b in (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100))}
         hidden = [b for b in range(0x100) if b not in shown]
@@ -58,29 +69,37 @@ class Encoder:
         self.shown = shown
 
     def _piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            letters = piece.encode().decode("latin-1").translate(self.shown)
-            ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
-            known = self.pieces[piece] = np.array(ids, "<u4").tobytes()
-        return known
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        text = chunk.decode()
-        if _PLAIN.match(text):
-            return b"".join(map(self._piece, _PIECE.findall(text)))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, text: bytes) -> bytes:
-        """The ids of a folded text, as little-endian 32-bit numbers."""
-        if len(self.chunks) + len(self.pieces) > _KNOWN:
-            self.chunks, self.pieces = {}, {}
-        known, out = self.chunks, []
-        for chunk in text.split():
-            ids = known.get(chunk)
-            if ids is None:
-                ids = known[chunk] = self._chunk(chunk)
-            out.append(ids)
+        """The ids of a piece that is not among the younger ones."""
+        ids = self.old.get(piece)
+        if ids is None:
+            # Printable ASCII is shown as itself.
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.shown)
+            ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        if len(piece) <= KEPT_PIECE:
+            if self.kept > KEPT_BYTES:
+                self.old, self.young, self.kept = self.young, {}, 0
+            self.young[piece] = ids
+            self.kept += len(piece) + len(ids) + _ENTRY
+        return ids
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _plain(self, low: str) -> bytes:
+        return b"".join([self.young.get(p) or self._piece(p) for p in _PIECE.findall(low)])
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text, as little-endian 32-bit numbers."""
+        low = text.lower()
+        if any(token in low for token in self.added):
+            return self._whole(text)
+        if _PLAIN.match(low):
+            return self._plain(low)
+        # Cut where the tokenizer does, at white space of every kind that is in the text.
+        out = []
+        for chunk in _SPACE.split(text):
+            low = chunk.lower()
+            out.append(self._plain(low) if _PLAIN.match(low) else self._whole(chunk))
         return b"".join(out)
 
 
@@ -121,7 +140,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                coded = [encoder.encode(t) + tail for t in folded(part.column(2))]
+                coded = [encoder.encode(t or "") + tail for t in part.column(2).to_pylist()]
                 sizes = np.array([len(c) // 4 for c in coded], np.int64)
                 offsets = np.concatenate([[0], np.cumsum(sizes)])
                 values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
@@ -153,6 +172,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     totals = rows.groupBy("range_id").agg(F.sum("n_tokens").alias("held"))
     before = F.sum("held").over(Window.orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1))
     starts = totals.select("range_id", F.coalesce(before, F.lit(0).cast("long")).alias("before"))
+    # One row per range: far fewer than documents, and without this the ids would be shuffled to meet them.
+    if totals.count() <= MOST_RANGES:
+        starts = F.broadcast(starts)
     return rows.join(starts, "range_id").select(
         "doc_id", (F.col("before") + F.col("range_start")).alias("start"), "n_tokens", "ids"
     )
