@@ -7,9 +7,10 @@ under the shards that are still too large, and reads off where each branch first
 fits.  Rows are looked up by the prefix at a round's depth, an equality join
 against the directory.
 
-Rows with the same hash (copies of one row) share all 60 bits.  Below them a
-second hash goes on, over the row's place in its input split, so that even a row
-repeated over a third of the table is spread.
+Rows with the same hash (copies of one row) share all 60 bits.  Where such rows
+alone are more than a shard holds, they are written out once with a second hash,
+over their place, and split on its bits; so even a row repeated over a third of
+the table is spread, and every later look sees the same places.
 """
 
 from __future__ import annotations
@@ -30,10 +31,14 @@ def _md5_bits(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def _bits(depth: int | Column) -> Column:
-    """The first ``depth`` bits of (h, h2) as text of 0 and 1."""
-    both = F.concat(F.lpad(F.bin("h"), BITS, "0"), F.lpad(F.bin("h2"), BITS, "0"))
-    return F.substring(both, F.lit(1), F.lit(depth) if isinstance(depth, int) else depth)
+def _cell(depth: int) -> Column:
+    """The first ``depth`` of the 60 bits, as a number."""
+    return F.shiftright("bits", BITS - depth)
+
+
+def _name(bits: Column, depth: Column | int) -> Column:
+    """The first ``depth`` bits as text of 0 and 1."""
+    return F.substring(F.lpad(F.bin(bits), BITS, "0"), F.lit(1), F.lit(depth) if isinstance(depth, int) else depth)
 
 
 def row_bytes(text: Column) -> Column:
@@ -56,60 +61,86 @@ def shards(
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         size(F.col("text")).alias("bytes"),
-        _md5_bits(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text"))).alias("h"),
-        _md5_bits(F.monotonically_increasing_id().cast("string")).alias("h2"),
+        F.lit(0).cast("long").alias("base"),
+        _md5_bits(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text"))).alias("bits"),
+    )
+    rounds, heavy = directory(rows.select("base", "bits", "bytes"), limit_bytes, round_bits)
+    facts = ["row", "bytes"]
+    if heavy.isEmpty():
+        return _looked_up(rows, rounds).select(*facts, _name(F.col("bits"), F.col("depth")).alias("shard"))
+    # Copies that are too many for one shard; each such hash holds more than a shard's bytes.
+    heavy = heavy.select(F.col("cell").alias("heavy"))
+    rest = rows.join(heavy, F.col("bits") == F.col("heavy"), "left_anti")
+    copies = rows.join(heavy, F.col("bits") == F.col("heavy"), "left_semi")
+    copies = staged(
+        copies.select("row", "bytes", F.col("bits").alias("base"), _md5_bits(F.monotonically_increasing_id().cast("string")).alias("bits")),
+        "copies",
+    )
+    below, _ = directory(copies.select("base", "bits", "bytes"), limit_bytes, round_bits, last=True)
+    return _looked_up(rest, rounds).select(*facts, _name(F.col("bits"), F.col("depth")).alias("shard")).unionAll(
+        _looked_up(copies, below).select(
+            *facts, F.concat(_name(F.col("base"), BITS), _name(F.col("bits"), F.col("depth"))).alias("shard")
+        )
     )
-    leaves = directory(rows.select("bytes", "h", "h2"), limit_bytes, round_bits)
-    shard = F.lit(None).cast("string")
-    for number, (depth, found) in enumerate(leaves):
-        cells = found.select(F.col("cell").alias(f"cell{number}"), F.col("shard").alias(f"shard{number}"))
-        rows = rows.join(cells, _bits(depth) == F.col(f"cell{number}"), "left")
-        shard = F.coalesce(shard, F.col(f"shard{number}"))
-    return rows.select("row", "bytes", shard.alias("shard"))
 
 
-def directory(sizes: DataFrame, limit_bytes: int, round_bits: int = ROUND_BITS) -> list[tuple[int, DataFrame]]:
-    """For each round its depth, and the directory (cell, shard): the shard of the rows with that prefix.
+def _looked_up(rows: DataFrame, rounds: list[tuple[int, DataFrame]]) -> DataFrame:
+    """The rows with the depth of their shard."""
+    depth = F.lit(None).cast("int")
+    for number, (below, found) in enumerate(rounds):
+        cells = found.select(
+            F.col("base").alias(f"base{number}"), F.col("cell").alias(f"cell{number}"), F.col("depth").alias(f"depth{number}")
+        )
+        at = (F.col("base") == F.col(f"base{number}")) & (_cell(below) == F.col(f"cell{number}"))
+        rows = rows.join(cells, at, "left")
+        depth = F.coalesce(depth, F.col(f"depth{number}"))
+    return rows.withColumn("depth", depth)
 
-    ``sizes`` has (bytes, h, h2).  The first round goes four bits deeper than equal
-    shards would need, the others ``round_bits`` deeper than the last.
+
+def directory(
+    sizes: DataFrame, limit_bytes: int, round_bits: int = ROUND_BITS, last: bool = False
+) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
+    """For each round its depth and the directory (base, cell, depth): the shard's depth of the rows with that prefix.
+
+    ``sizes`` has (base, bits, bytes); every base is a tree of its own.  The first
+    round goes four bits deeper than equal shards would need, the others
+    ``round_bits`` deeper than the last.  The second result holds the cells that are
+    too large with all bits; with ``last`` they are shards all the same.
     """
     if limit_bytes < 1:
         raise ValueError("limit_bytes must be positive")
     total = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    depth, bottom = 0, 2 * BITS
+    depth = 0
     below = max(0, (-(-total // limit_bytes) - 1).bit_length()) + 4
     rounds: list[tuple[int, DataFrame]] = []
     open_cells = None
     while True:
-        below = min(below, bottom)
-        cells = sizes.select("bytes", _bits(below).alias("cell"), _bits(depth).alias("top"))
+        below = min(below, BITS)
+        cells = sizes.select("base", "bytes", _cell(below).alias("cell"), _cell(depth).alias("top"))
         if open_cells is not None:
-            cells = cells.join(open_cells, "top", "left_semi")
-        cells = staged(cells.groupBy("cell").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")), "cells")
-        # Every cell counts for each of its prefixes from the open depth on.
-        nodes = (
-            cells.select(F.explode(F.sequence(F.lit(depth), F.lit(below))).alias("depth"), "cell", "bytes", "n")
-            .select("depth", F.expr("substring(cell, 1, depth)").alias("prefix"), "bytes", "n")
-            .groupBy("depth", "prefix")
-            .agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
+            cells = cells.join(open_cells, ["base", "top"], "left_semi")
+        cells = staged(
+            cells.groupBy("base", "cell").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")), "cells"
         )
-        fits = (F.col("bytes") <= limit_bytes) | (F.col("n") == 1) | (F.col("depth") == bottom)
-        fitting = nodes.where(fits).select("depth", "prefix")
+        # Every cell counts for each of its prefixes from the open depth on.
+        each = cells.select("base", "cell", "bytes", "n", F.explode(F.sequence(F.lit(depth), F.lit(below))).alias("depth"))
+        each = each.withColumn("prefix", F.expr(f"shiftright(cell, {below} - depth)"))
+        nodes = each.groupBy("base", "depth", "prefix").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
+        fits = (F.col("bytes") <= limit_bytes) | (F.col("n") == 1)
+        if last:
+            fits = fits | (F.col("depth") == BITS)
+        fitting = nodes.where(fits).select("base", "depth", "prefix")
         # A cell's shard is its shortest prefix that fits: those above it are too large.
-        each = cells.select("cell", F.explode(F.sequence(F.lit(depth), F.lit(below))).alias("depth")).select(
-            "cell", "depth", F.expr("substring(cell, 1, depth)").alias("prefix")
-        )
         found = staged(
-            each.join(fitting, ["depth", "prefix"]).groupBy("cell").agg(F.min_by("prefix", "depth").alias("shard")),
+            each.join(fitting, ["base", "depth", "prefix"]).groupBy("base", "cell").agg(F.min("depth").alias("depth")),
             "directory",
         )
         rounds.append((below, found))
         open_cells = staged(
-            cells.join(found, "cell", "left_anti").select(F.col("cell").alias("top")), "open-cells"
+            cells.join(found, ["base", "cell"], "left_anti").select("base", F.col("cell").alias("top")), "open-cells"
         )
-        if below == bottom or open_cells.isEmpty():
-            return rounds
+        if below == BITS or open_cells.isEmpty():
+            return rounds, open_cells.select("base", F.col("top").alias("cell"))
         depth, below = below, below + round_bits
 
 
