@@ -138,6 +138,21 @@ def test_license_places(docs, texts):
         assert labels <= set(row["labels"].split(",")) and 0 <= row["score"] <= 1
 
 
+def test_license_notices_cut_after_each_word(spark):
+    for template in licenses.TEMPLATES:
+        # Whatever words are the rarest: all equal, and each word of the template rarest in turn.
+        for rare in ({}, *({w: -1 for w in template.words[i : i + 5]} for i in range(len(template.words)))):
+            index = licenses.build_index((template,), {b"": 10, **{w: 5 for w in template.words}, **{w: 0 for w in rare}})
+            for n in range(len(template.words) + 1):
+                for cut in (template.words[:n], template.words[n:]):
+                    found = licenses.scan_words(list(cut), index, 0.8)
+                    whole = all(0 <= at < n for at in template.mandatory) if cut == template.words[:n] else n <= template.mandatory[0]
+                    assert not found or whole
+    rows = [(i, " ".join(w.decode() for w in licenses.TEMPLATES[3].words[:i])) for i in range(28)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert licenses.license_digest(licenses.scan_licenses(frame)).count() == 28
+
+
 def test_license_notice_with_changed_words(spark):
     mit = licenses.NOTICES[0][1].split()
     mit[15] = "thing"
@@ -311,6 +326,98 @@ def test_lines_match_brute_force(spark, docs):
     assert sum(found[900000 + i] for i in range(12)) == 11
 
 
+def grams(line):
+    return {line[i : i + 7] for i in range(len(line) - 6)} or {line}
+
+
+def alike(a, b, percent=80):
+    shared = len(grams(a) & grams(b))
+    return 100 * shared >= percent * (len(grams(a)) + len(grams(b)) - shared)
+
+
+def line_roots(lines):
+    root = {x: x for x in lines}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(lines):
+        for b in lines[:i]:
+            if find(a) != find(b) and alike(a, b):
+                root[find(a)] = find(b)
+    groups = defaultdict(set)
+    for x in lines:
+        groups[find(x)].add(x)
+    return {frozenset(g) for g in groups.values() if len(g) > 1}
+
+
+def found_groups(spark, lines, **options):
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    names = {hashlib.md5(x.encode()).digest(): x for x in lines}
+    groups = defaultdict(set)
+    for r in linededup.line_groups(docs, **options).collect():
+        groups[r["root"]].add(names[bytes(r["node"])])
+    return {frozenset(g) for g in groups.values()}
+
+
+def changed(rng, line, n):
+    at = list(line)
+    for i in rng.choice(len(at), n, replace=False):
+        at[i] = chr(97 + int(rng.integers(26)))
+    return "".join(at)
+
+
+@pytest.mark.parametrize("part_lines", [2000, 7])
+def test_chains_and_families_of_lines_lose_no_link(spark, part_lines):
+    rng = np.random.default_rng(8)
+    base = "".join(chr(97 + int(c)) for c in rng.integers(0, 26, 120))
+    chain = [base]
+    for _ in range(40):  # each is like the one before, and the ends are not alike
+        chain.append(changed(rng, chain[-1], 1))
+    family = [f"order {i * 7919 % 1000:03d} was placed by customer {i} and shipped within the next two working days" for i in range(60)]
+    apart = ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, 80)) for _ in range(40)]
+    short = ["abc", "abd", "é", "ab", "abcdefg", "abcdefgh"]
+    lines = sorted({*chain, *family, *apart, *short})
+    assert found_groups(spark, lines, part_lines=part_lines) == line_roots(lines)
+
+
+def test_small_and_large_groups_are_searched_alike():
+    rng = np.random.default_rng(9)
+    base = "".join(chr(97 + int(c)) for c in rng.integers(0, 26, 100))
+    lines = [changed(rng, base, int(k)) for k in rng.integers(0, 6, 60)] + ["x", "xy", "été" * 30]
+    parts = lambda roots: {frozenset(i for i, r in enumerate(roots) if r == q) for q in roots}
+    large = parts(linededup.line_components(lines, 7, 80))
+    kept, linededup._ARRAYS = linededup._ARRAYS, 10**9
+    try:
+        assert parts(linededup.line_components(lines, 7, 80)) == large
+    finally:
+        linededup._ARRAYS = kept
+
+
+def test_recall_of_line_bands():
+    rng = np.random.default_rng(10)
+    for low, high, least in ((0.8, 0.85, 0.998), (0.9, 1.0, 1.0)):
+        pairs = []
+        while len(pairs) < 1500:
+            a = "".join(chr(97 + int(c)) for c in rng.integers(0, 26, int(rng.integers(60, 160))))
+            b = changed(rng, a, int(rng.integers(1, 4)))
+            shared = len(grams(a) & grams(b))
+            if low <= shared / (len(grams(a)) + len(grams(b)) - shared) <= high:
+                pairs.append((a, b))
+        one = linededup.band_keys([a for a, _ in pairs], 7, 16, 4)
+        two = linededup.band_keys([b for _, b in pairs], 7, 16, 4)
+        assert (one == two).any(axis=1).mean() >= least
+
+
+def test_normal_lines_and_signatures_of_odd_lines():
+    assert linededup.normal_line("\t A  B\r\r c\x0b É \r".encode()) == "a b c\x0b É".encode()
+    assert linededup.normal_line(b" \t\r ") == b""
+    keys = linededup.band_keys(["", "a", "ab", "x" * 7, "x" * 5000, "\U0001f600" * 8, "a\x00b"], 7, 16, 4)
+    assert keys.shape == (7, 16) and (keys[3] == keys[4]).all() and len({tuple(k) for k in keys.tolist()}) == 6
+
+
 # 5 ---------------------------------------------------------------------------
 
 
@@ -436,7 +543,8 @@ def test_ids_are_the_tokenizers(spark, docs, texts, tmp_path):
 
     plain = Tokenizer.from_file(queries.tokenizer_path())
     odd = ["Don't I'LL '90s x's''t", "Überße ÉÀ œuf ’s", "a\xa0b c\x1cd \x85e", "é K̇ İ ΣΣ 中文",
-           "123 4.5 a1b2 _x_ <b> $$ ªºµ ×÷", "", None]
+           "123 4.5 a1b2 _x_ <b> $$ ªºµ ×÷", "", None, "hello <|endoftext|> world", "a<|startoftext|>b<|endoftext|>",
+           "x<|ENDOFTEXT|>y Ünd", "İ <|endoftext|>É", "<|endoftext", "y" * 70 + " " + "Yé" * 50]
     some = texts | {10**6 + i: t for i, t in enumerate(odd)}
     frame = spark.createDataFrame(list(some.items()), "doc_id long, text string").repartition(5)
     path = str(tmp_path / "orc")
@@ -505,3 +613,22 @@ def test_shards_fit_and_split_only_when_needed(spark, docs):
     for s in names:  # what was split did not fit
         if s:
             assert sum(held[x] for x in names if x.startswith(s[:-1])) > limit
+
+
+def test_every_copy_has_its_shard_when_splits_change(spark, tmp_path):
+    rows = [(7, "the same row " * 20)] * 3000 + [(i, f"text {i} " * 9) for i in range(300)] + [(None, None)] * 5
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "t"))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        sharded = sharding.shards(spark.read.parquet(str(tmp_path / "t")), 20_000)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    found = sharded.select("row.doc_id", "bytes", "shard").collect()
+    assert len(found) == len(rows) and all(r["shard"] is not None for r in found)
+    held = defaultdict(int)
+    for r in found:
+        held[r["shard"]] += r["bytes"]
+    assert max(held.values()) <= 20_000
+    names = sorted(held)
+    assert not any(b.startswith(a) for a, b in zip(names, names[1:]))
