@@ -223,11 +223,12 @@ def test_null_tokens_hit_whole_cells_only(spark):
 def test_clean_up_removes_what_this_application_wrote(spark):
     path = tables.write_table(spark.range(3), shared_folder(spark, "t"))
     other = Path(path).parents[1] / "another-application"
-    other.mkdir()
+    other.mkdir(exist_ok=True)
     assert spark.read.parquet(path).count() == 3 and os.path.exists(path)
     clean_up(spark)
     assert not os.path.exists(path) and other.exists()
     clean_up(spark)
+    other.rmdir()
 
 
 # ------------------------------------------------------- quoted breaks, in parallel
