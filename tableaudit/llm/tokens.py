@@ -30,7 +30,7 @@ END_ID = 1
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
 # What a worker keeps of pieces seen before: bytes of each of two generations, and the longest piece kept.
-KEPT_BYTES, KEPT_PIECE = 36 << 20, 64
+KEPT_BYTES, KEPT_PIECE = 64 << 20, 64
 # Bytes that one kept entry costs beside its own.
 _ENTRY = 200
 # Up to so many ranges their totals are broadcast (12 bytes each).
@@ -39,7 +39,7 @@ _SPACE = re.compile(r"[\t-\r ]+")
 # Texts of these characters only are their own normal form once in lower case, and the
 # tokenizer's own pre-tokenizer cuts them into these pieces.
 _PLAIN = re.compile(r"[\t-\r -~ß-öø-ÿ]*\Z")
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\s0-9a-zß-öø-ÿ]+")
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s0-9a-zß-öø-ÿ]+")
 
 
 class Encoder:
@@ -69,7 +69,9 @@ class Encoder:
         self.shown = shown
 
     def _piece(self, piece: str) -> bytes:
-        """The ids of a piece that is not among the younger ones."""
+        """The ids of a piece, which is kept."""
+        if known := self.young.get(piece):
+            return known
         ids = self.old.get(piece)
         if ids is None:
             # Printable ASCII is shown as itself.
@@ -86,7 +88,9 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _plain(self, low: str) -> bytes:
-        return b"".join([self.young.get(p) or self._piece(p) for p in _PIECE.findall(low)])
+        # The younger generation may change within a text; a piece missed for that is found by the other way.
+        known = self.young.get
+        return b"".join([known(p) or self._piece(p) for p in _PIECE.findall(low)])
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, as little-endian 32-bit numbers."""
