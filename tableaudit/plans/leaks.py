@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators import leakage as leak
 from ..operators import roles
 from ..operators.missingness import missingness
-from ..session import small_frame
 from ..spec import TableSpec
 from .data import (
     DOCS_PARAMS,
