@@ -15,7 +15,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate, islice
+from itertools import islice
 
 import pyarrow as pa
 import zstandard
