@@ -67,7 +67,7 @@ def shards(
     rounds, heavy = directory(rows.select("base", "bits", "bytes"), limit_bytes, round_bits)
     facts = ["row", "bytes"]
     if heavy.isEmpty():
-        return _looked_up(rows, rounds).select(*facts, _name(F.col("bits"), F.col("depth")).alias("shard"))
+        return _looked_up(rows, rounds, False).select(*facts, _name(F.col("bits"), F.col("depth")).alias("shard"))
     # Copies that are too many for one shard; each such hash holds more than a shard's bytes.
     heavy = heavy.select(F.col("cell").alias("heavy"))
     rest = rows.join(heavy, F.col("bits") == F.col("heavy"), "left_anti")
@@ -77,21 +77,22 @@ def shards(
         "copies",
     )
     below, _ = directory(copies.select("base", "bits", "bytes"), limit_bytes, round_bits, last=True)
-    return _looked_up(rest, rounds).select(*facts, _name(F.col("bits"), F.col("depth")).alias("shard")).unionAll(
-        _looked_up(copies, below).select(
+    return _looked_up(rest, rounds, False).select(*facts, _name(F.col("bits"), F.col("depth")).alias("shard")).unionAll(
+        _looked_up(copies, below, True).select(
             *facts, F.concat(_name(F.col("base"), BITS), _name(F.col("bits"), F.col("depth"))).alias("shard")
         )
     )
 
 
-def _looked_up(rows: DataFrame, rounds: list[tuple[int, DataFrame]]) -> DataFrame:
-    """The rows with the depth of their shard."""
+def _looked_up(rows: DataFrame, rounds: list[tuple[int, DataFrame]], many: bool) -> DataFrame:
+    """The rows with the depth of their shard; without ``many`` bases the cell alone is the key."""
     depth = F.lit(None).cast("int")
     for number, (below, found) in enumerate(rounds):
-        cells = found.select(
-            F.col("base").alias(f"base{number}"), F.col("cell").alias(f"cell{number}"), F.col("depth").alias(f"depth{number}")
-        )
-        at = (F.col("base") == F.col(f"base{number}")) & (_cell(below) == F.col(f"cell{number}"))
+        names = ["base", "cell", "depth"] if many else ["cell", "depth"]
+        cells = found.select(*[F.col(c).alias(f"{c}{number}") for c in names])
+        at = _cell(below) == F.col(f"cell{number}")
+        if many:
+            at = at & (F.col("base") == F.col(f"base{number}"))
         rows = rows.join(cells, at, "left")
         depth = F.coalesce(depth, F.col(f"depth{number}"))
     return rows.withColumn("depth", depth)
