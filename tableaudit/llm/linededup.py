@@ -78,7 +78,8 @@ def band_keys(lines: list[str], n: int, bands: int, rows: int) -> np.ndarray:
     owner, hashes = shingle_hashes(lines, n)
     # Line number and leading 44 bits of the hash in one sorted number.
     low = np.uint64(44)
-    mixed = np.unique((owner.astype(np.uint64) << low) | (hashes >> np.uint64(20)))
+    # (Repeats do no harm here, and sorting is far cheaper than np.unique.)
+    mixed = np.sort((owner.astype(np.uint64) << low) | (hashes >> np.uint64(20)))
     numbers = np.arange(len(lines), dtype=np.uint64)
     starts = np.searchsorted(mixed, numbers << low)
     ends = np.append(starts[1:], len(mixed))
