@@ -30,7 +30,7 @@ END_ID = 1
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
 # What a worker keeps of pieces seen before: bytes of each of two generations, and the longest piece kept.
-KEPT_BYTES, KEPT_PIECE = 64 << 20, 64
+KEPT_BYTES, KEPT_PIECE = 36 << 20, 64
 # Bytes that one kept entry costs beside its own.
 _ENTRY = 200
 # Up to so many ranges their totals are broadcast (12 bytes each).
@@ -156,6 +156,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                     schema=schema,
                 )
                 start += int(offsets[-1])
+        # Workers outlive tasks: between them only the younger generation is kept.
+        encoder.old = {}
 
     (
         ordered.mapInArrow(encode, "doc_id long, range_id int, range_start long, n_tokens long, ids array<int>")
