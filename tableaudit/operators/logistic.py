@@ -1,20 +1,22 @@
 """Logistic regression by trust-region Newton steps, with a certificate of the optimum.
 
-The training rows become blocks of sparse rows that stay cached on the executors.
-Every pass over them is one job whose sums are added up a tree: gradients need one
-pass, and so does each product of the Hessian with a direction, which is all that
-the inner conjugate gradients ask for.  No matrix of terms by terms is ever built.
-
-For ``f(w, b) = |w|^2 / 2 + strength * sum(log loss)`` any weights give a feasible
-point of the dual problem, and the difference of both objectives bounds how far
-``f`` is from its minimum.  The fit stops when that bound is small, and reports it.
+For ``f(w, b) = |w|^2 / 2 + strength * sum(log loss)`` every point that the steps reach
+is a sum of the training rows, ``w = X' u``.  So the driver keeps ``u``, a number per
+row, and never a number per feature: the solver only asks for ``X X' v``.  The entries
+of ``X`` lie in blocks of whole columns that stay cached on the executors, and such a
+product is one job, a pass, whose sums are added up a tree.  No matrix of rows by rows or
+of columns by columns is ever built.  The weights are summed by column once at the end.
+
+Any ``u`` gives a feasible point of the dual problem, and the difference of both
+objectives bounds how far ``f`` is from its minimum.  The fit stops when that bound is
+small, and reports it.
 """
 
 from __future__ import annotations
 
 import operator
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,209 +25,240 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 4096
+from ..session import staged
+
 BLOCK_CELLS = 1 << 20
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Weights and intercept, the passes used, the objective, and the bound on its distance from the minimum."""
+    """Dual numbers by row and intercept, the passes used, the objective, and the bound on its distance from the minimum."""
 
-    weights: np.ndarray
+    dual: np.ndarray
     intercept: float
     passes: int
     objective: float
     gap: float
+    weights: np.ndarray | None = None
 
 
-def sparse_blocks(df: DataFrame, features: str, label: str) -> RDD:
-    """Cached blocks ``(labels, rows, columns, values)`` of a sparse vector column."""
+@dataclass(frozen=True)
+class Blocks:
+    """Training rows: their numbers in order, labels, entries ``(row, column, value)`` and cached column blocks."""
+
+    numbers: np.ndarray
+    labels: np.ndarray
+    entries: DataFrame
+    cells: RDD
+
+    def weights(self, dual: np.ndarray) -> DataFrame:
+        """``(column, n, weight)``: rows with an entry, and the sum of the dual numbers times the entries."""
+        rows = pa.table({"row": self.numbers, "dual": dual})
+        duals = self.entries.sparkSession.createDataFrame(rows)
+        # A number per training row: the driver holds them anyway.
+        return self.entries.join(F.broadcast(duals), "row").groupBy("column").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("value") * F.col("dual")).alias("weight")
+        )
+
+    def release(self) -> None:
+        self.cells.unpersist()
+
+
+def numbered(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows with a number ``row``, written once so that a recomputed task finds the same numbers."""
+    return staged(df.withColumn("row", F.monotonically_increasing_id()), purpose)
+
+
+def column_blocks(rows: DataFrame, entries: DataFrame) -> Blocks:
+    """Blocks of the written ``entries`` (row, column, value) of the written ``rows`` (row, label)."""
+    known = rows.select("row", F.col("label").cast("double").alias("label")).toArrow().sort_by("row")
+    numbers, labels = (known.column(name).to_numpy() for name in ("row", "label"))
+    sent = rows.sparkSession.sparkContext.broadcast(numbers)
+    most = BLOCK_CELLS
+
+    def block(part: pa.Table) -> pa.RecordBatch:
+        codes = part.column("column").combine_chunks().dictionary_encode().indices.to_numpy()
+        places = np.searchsorted(sent.value, part.column("row").to_numpy()).astype(np.int32)
+        arrays = (codes.astype(np.int32), places, part.column("value").to_numpy())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x.tobytes()], pa.binary()) for x in arrays], names=["columns", "rows", "values"]
+        )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
-            labels, columns, values = batch.columns
-            start = 0
-            while start < batch.num_rows:
-                # Rows up to the bound on rows or on cells, one at least.
-                ends = columns.offsets.to_numpy()[start + 1 : start + BLOCK_ROWS + 1] - columns.offsets[start].as_py()
-                n = max(int(np.searchsorted(ends, BLOCK_CELLS, "right")), 1)
-                part = columns.slice(start, n)
-                sizes = np.diff(part.offsets.to_numpy())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([labels.slice(start, n).to_numpy().tobytes()], pa.binary()),
-                        pa.array([np.repeat(np.arange(n, dtype=np.int32), sizes).tobytes()], pa.binary()),
-                        pa.array([part.flatten().to_numpy().tobytes()], pa.binary()),
-                        pa.array([values.slice(start, n).flatten().to_numpy().tobytes()], pa.binary()),
-                    ],
-                    names=["labels", "rows", "columns", "values"],
-                )
-                start += n
-
-    vector = F.unwrap_udt(F.col(features))
-    blocks = df.select(
-        F.col(label).cast("double").alias("label"), vector["indices"].alias("columns"), vector["values"].alias("values")
-    ).mapInArrow(pack, "labels binary, rows binary, columns binary, values binary")
+            held.append(batch)
+            n += batch.num_rows
+            if n < most:
+                continue
+            # Whole columns only: the last one may go on in the next batch.
+            part = pa.Table.from_batches(held)
+            codes = part.column("column").combine_chunks().dictionary_encode().indices.to_numpy()
+            end = int(np.searchsorted(codes, codes[-1]))
+            if end:
+                yield block(part.slice(0, end))
+            held, n = part.slice(end).to_batches(), part.num_rows - end
+        if n:
+            yield block(pa.Table.from_batches(held))
 
     def unpack(row):
-        kinds = (np.float64, np.int32, np.int32, np.float64)
+        kinds = (np.int32, np.int32, np.float64)
         return tuple(np.frombuffer(cell, kind) for cell, kind in zip(row, kinds, strict=True))
 
-    return blocks.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
+    # No column holds more entries than there are training rows.
+    dealt = entries.select("column", "row", "value").repartition("column").sortWithinPartitions("column")
+    packed = dealt.mapInArrow(pack, "columns binary, rows binary, values binary")
+    return Blocks(numbers, labels, entries, packed.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def sparse_blocks(df: DataFrame, features: str, label: str) -> Blocks:
+    """Cached blocks of a sparse vector column."""
+    vector = F.unwrap_udt(F.col(features))
+    rows = numbered(
+        df.select(F.col(label).alias("label"), vector["indices"].alias("columns"), vector["values"].alias("values")),
+        "training-rows",
+    )
+    pairs = rows.select("row", F.explode(F.arrays_zip("columns", "values")).alias("e"))
+    entries = pairs.select("row", F.col("e.columns").alias("column"), F.col("e.values").alias("value"))
+    return column_blocks(rows, entries)
 
 
 class _Passes:
-    """Sums over all blocks, counting the passes."""
+    """Products with ``X X'``, counting the passes."""
 
-    def __init__(self, blocks: RDD, n_features: int) -> None:
-        self.blocks, self.n, self.used = blocks, n_features, 0
+    def __init__(self, blocks: Blocks) -> None:
+        self.blocks, self.used = blocks.cells, 0
 
-    def total(self, of_block: Callable, *given) -> np.ndarray:
-        """The sum of ``of_block(block, *given)``; what is given reaches each executor once."""
+    def product(self, v: np.ndarray) -> np.ndarray:
+        """``X X' v``; the vector reaches each executor once."""
         self.used += 1
-        sent = self.blocks.context.broadcast(given)
+        sent = self.blocks.context.broadcast(v)
 
         def part(blocks: Iterator) -> Iterator[np.ndarray]:
-            out = None
-            for block in blocks:
-                one = of_block(block, *sent.value)
+            given, out = sent.value, None
+            for columns, rows, values in blocks:
+                sums = np.bincount(columns, weights=values * given[rows])
+                one = np.bincount(rows, weights=values * sums[columns], minlength=len(given))
                 out = one if out is None else out + one
             return iter([] if out is None else [out])
 
         try:
-            return self.blocks.mapPartitions(part).treeReduce(operator.add)
+            return np.zeros(len(v)) + self.blocks.mapPartitions(part).treeAggregate(0.0, operator.add, operator.add)
         finally:
             sent.destroy()
 
-    def slopes(self, x: np.ndarray) -> np.ndarray:
-        """Loss, sums of residuals by class, then residuals times features by class and the curvature's diagonal."""
-        n = self.n
-
-        def of_block(block, x):
-            y, rows, columns, values = block
-            z = np.bincount(rows, weights=values * x[columns], minlength=len(y)) + x[n]
-            signed = np.where(y > 0, z, -z)
-            away = 1 / (1 + np.exp(np.clip(signed, -700, 700)))
-            curve = away * (1 - away)
-            one = y > 0
-            weight = values * away[rows]
-            hit = one[rows]
-            return np.concatenate(
-                [
-                    [np.logaddexp(0, -signed).sum(), away[one].sum(), away[~one].sum(), curve.sum(), one.sum(), (~one).sum()],
-                    np.bincount(columns[hit], weights=weight[hit], minlength=n),
-                    np.bincount(columns[~hit], weights=weight[~hit], minlength=n),
-                    np.bincount(columns, weights=values * values * curve[rows], minlength=n),
-                ]
-            )
-
-        return self.total(of_block, x)
-
-    def curvature(self, x: np.ndarray, v: np.ndarray) -> np.ndarray:
-        """The Hessian of the loss sum times ``v``."""
-        n = self.n
 
-        def of_block(block, x, v):
-            y, rows, columns, values = block
-            z = np.bincount(rows, weights=values * x[columns], minlength=len(y)) + x[n]
-            p = 1 / (1 + np.exp(np.clip(-z, -700, 700)))
-            turned = p * (1 - p) * (np.bincount(rows, weights=values * v[columns], minlength=len(y)) + v[n])
-            return np.append(np.bincount(columns, weights=values * turned[rows], minlength=n), turned.sum())
+@dataclass(frozen=True)
+class _Way:
+    """A direction: numbers by row, their product with ``X X'``, and the part of the intercept."""
 
-        return self.total(of_block, x, v)
+    u: np.ndarray
+    z: np.ndarray
+    b: float
 
-    def entropy(self, x: np.ndarray, by_class: tuple[float, float]) -> float:
-        """The dual's entropy term at the residuals, scaled by class."""
-        n = self.n
+    def __add__(self, other: _Way) -> _Way:
+        return _Way(self.u + other.u, self.z + other.z, self.b + other.b)
 
-        def of_block(block, x, scale):
-            y, rows, columns, values = block
-            z = np.bincount(rows, weights=values * x[columns], minlength=len(y)) + x[n]
-            away = 1 / (1 + np.exp(np.clip(np.where(y > 0, z, -z), -700, 700)))
-            a = np.clip(away * np.where(y > 0, scale[0], scale[1]), 1e-300, 1 - 1e-16)
-            return np.array([-(a * np.log(a) + (1 - a) * np.log1p(-a)).sum()])
+    def __mul__(self, by: float) -> _Way:
+        return _Way(self.u * by, self.z * by, self.b * by)
 
-        return float(self.total(of_block, x, by_class)[0])
+    def dot(self, other: _Way) -> float:
+        """The inner product of the weights and intercepts that both stand for."""
+        return float(self.u @ other.z) + self.b * other.b
 
 
 class _Point:
     """The objective, its gradient and what the certificate needs at one place."""
 
-    def __init__(self, x: np.ndarray, passes: _Passes, strength: float) -> None:
-        n = passes.n
-        sums = passes.slopes(x)
-        self.x, self.strength = x, strength
-        loss, self.away_one, self.away_zero, curve, self.ones, self.zeros = sums[:6]
-        self.one, self.zero, diagonal = sums[6 : 6 + n], sums[6 + n : 6 + 2 * n], sums[6 + 2 * n :]
-        self.value = 0.5 * float(x[:n] @ x[:n]) + strength * float(loss)
-        self.slope = np.append(x[:n] - strength * (self.one - self.zero), -strength * (self.away_one - self.away_zero))
-        # Near the diagonal of the Hessian: a scale for the inner steps.
-        self.scale = np.append(1 + strength * diagonal, max(strength * curve, 1e-12))
+    def __init__(self, x: _Way, signs: np.ndarray, passes: _Passes, strength: float) -> None:
+        self.x, self.signs, self.strength = x, signs, strength
+        signed = signs * (x.z + x.b)
+        self.away = 1 / (1 + np.exp(np.clip(signed, -700, 700)))
+        self.value = 0.5 * float(x.u @ x.z) + strength * float(np.logaddexp(0, -signed).sum())
+        self.curve = strength * self.away * (1 - self.away)
+        pull = strength * signs * self.away
+        self.slope = _Way(x.u - pull, x.z - passes.product(pull), -float(pull.sum()))
+        # The intercept has no penalty and all rows pull at it: a scale of its own for the inner steps.
+        self.scale = max(float(self.curve.sum()), 1e-12)
+
+    def scaled(self, way: _Way) -> _Way:
+        return replace(way, b=way.b / self.scale)
+
+    def norm(self, way: _Way) -> float:
+        return float(np.sqrt(max(float(way.u @ way.z) + self.scale * way.b * way.b, 0.0)))
+
+    def bent(self, way: _Way, passes: _Passes) -> _Way:
+        """The Hessian times a direction."""
+        turned = self.curve * (way.z + way.b)
+        return _Way(way.u + turned, way.z + passes.product(turned), float(turned.sum()))
 
     def gap(self, passes: _Passes) -> float:
         """Objective less the dual objective of the residuals, scaled so that both classes weigh the same."""
-        least = min(self.away_one, self.away_zero)
-        by_class = tuple(least / a if a > 0 else 0.0 for a in (self.away_one, self.away_zero))
-        u = self.strength * (by_class[0] * self.one - by_class[1] * self.zero)
-        return self.value - (self.strength * passes.entropy(self.x, by_class) - 0.5 * float(u @ u))
+        one = self.signs > 0
+        sums = [float(self.away[one].sum()), float(self.away[~one].sum())]
+        scale = [min(sums) / s if s > 0 else 0.0 for s in sums]
+        a = np.clip(self.away * np.where(one, *scale), 1e-300, 1 - 1e-16)
+        u = self.strength * self.signs * a
+        entropy = -float((a * np.log(a) + (1 - a) * np.log1p(-a)).sum())
+        return self.value - (self.strength * entropy - 0.5 * float(u @ passes.product(u)))
 
 
-def _inner(point: _Point, radius: float, passes: _Passes, most: int) -> tuple[np.ndarray, np.ndarray]:
+def _inner(point: _Point, radius: float, passes: _Passes, most: int) -> tuple[_Way, _Way]:
     """A step within the radius by conjugate gradients, and the Hessian times that step."""
-    n, scale = passes.n, point.scale
-    norm = lambda v: float(np.sqrt((v * v * scale).sum()))
-    step, turned = np.zeros(n + 1), np.zeros(n + 1)
-    rest = -point.slope
-    scaled = rest / scale
-    along, size = scaled.copy(), float(rest @ scaled)
+    step = turned = point.slope * 0.0
+    rest = point.slope * -1.0
+    along = point.scaled(rest)
+    size = rest.dot(along)
     # The nearer the optimum, the more exact the step.
-    enough = min(0.1, size**0.25) ** 2 * size
+    enough = min(0.1, max(size, 0.0) ** 0.25) ** 2 * size
     while size > enough and passes.used < most:
-        bent = point.strength * passes.curvature(point.x, along)
-        bent[:n] += along[:n]
-        length = size / float(along @ bent)
-        if norm(step + length * along) >= radius:
+        bent = point.bent(along, passes)
+        length = size / along.dot(bent)
+        if point.norm(step + along * length) >= radius:
             # To the border and no further.
-            a, b, c = norm(along) ** 2, 2 * float((step * scale) @ along), norm(step) ** 2 - radius**2
+            a, c = point.norm(along) ** 2, point.norm(step) ** 2 - radius**2
+            b = 2 * (float(step.u @ along.z) + point.scale * step.b * along.b)
             length = (-b + np.sqrt(b * b - 4 * a * c)) / (2 * a)
-            return step + length * along, turned + length * bent
-        step, turned, rest = step + length * along, turned + length * bent, rest - length * bent
-        scaled = rest / scale
-        size, before = float(rest @ scaled), size
-        along = scaled + size / before * along
+            return step + along * length, turned + bent * length
+        step, turned, rest = step + along * length, turned + bent * length, rest + bent * -length
+        scaled = point.scaled(rest)
+        size, before = rest.dot(scaled), size
+        along = scaled + along * (size / before)
     return step, turned
 
 
-def fit_blocks(
-    blocks: RDD, n_features: int, strength: float = 1.0, max_passes: int = 200, tolerance: float = 1e-10
-) -> Fit:
+def fit_rows(blocks: Blocks, strength: float = 1.0, max_passes: int = 200, tolerance: float = 1e-10) -> Fit:
     """Minimise the penalised log loss; the intercept carries no penalty.
 
     Ends when the certified gap is at most ``tolerance`` of the objective (of 1, if
     that is less), or after ``max_passes`` passes.  Both classes must be there.
     """
-    passes = _Passes(blocks, n_features)
-    point = _Point(np.zeros(n_features + 1), passes, strength)
-    if not (point.ones and point.zeros):
+    if not len(blocks.labels):
+        raise ValueError("there are no training rows")
+    signs = np.where(blocks.labels > 0, 1.0, -1.0)
+    if abs(signs.sum()) == len(signs):
         raise ValueError("the training rows need both classes")
-    radius, gap = float(np.sqrt((point.slope**2 / point.scale).sum())), float("inf")
+    passes = _Passes(blocks)
+    none = np.zeros(len(signs))
+    point = _Point(_Way(none, none, 0.0), signs, passes, strength)
+    radius, gap = point.norm(point.scaled(point.slope)), float("inf")
     while passes.used < max_passes:
         bound = tolerance * max(1.0, point.value)
         # The squared slope is a cheap sign that the certificate is worth a pass.
-        if 0.5 * float(point.slope @ point.slope) <= bound:
+        if 0.5 * point.slope.dot(point.slope) <= bound:
             gap = point.gap(passes)
             if gap <= bound:
                 break
         step, turned = _inner(point, radius, passes, max_passes - 2)
-        hoped = -float(point.slope @ step) - 0.5 * float(step @ turned)
+        hoped = -point.slope.dot(step) - 0.5 * step.dot(turned)
         if hoped <= 0 or passes.used >= max_passes:
             break
-        trial = _Point(point.x + step, passes, strength)
+        trial = _Point(point.x + step, signs, passes, strength)
         share = (point.value - trial.value) / hoped
-        size = float(np.sqrt((step * step * point.scale).sum()))
+        size = point.norm(step)
         # Below the rounding of the objective the share says nothing; the slope does.
         fine = hoped < 1e-12 * max(1.0, abs(point.value))
-        better = share > 1e-4 or (fine and np.linalg.norm(trial.slope) < np.linalg.norm(point.slope))
+        better = share > 1e-4 or (fine and trial.slope.dot(trial.slope) < point.slope.dot(point.slope))
         if not better:
             radius = 0.25 * size
             if fine:
@@ -238,11 +271,21 @@ def fit_blocks(
         point = trial
     if gap == float("inf") or passes.used < max_passes:
         gap = point.gap(passes)
-    return Fit(point.x[:-1], float(point.x[-1]), passes.used, point.value, max(gap, 0.0))
+    return Fit(point.x.u, point.x.b, passes.used, point.value, max(gap, 0.0))
+
+
+def fit_blocks(
+    blocks: Blocks, n_features: int, strength: float = 1.0, max_passes: int = 200, tolerance: float = 1e-10
+) -> Fit:
+    """``fit_rows`` with the weights of features that are numbered from 0 to ``n_features``, fetched."""
+    fit = fit_rows(blocks, strength, max_passes, tolerance)
+    found, weights = blocks.weights(fit.dual).toArrow(), np.zeros(n_features)
+    weights[found.column("column").to_numpy()] = found.column("weight").to_numpy()
+    return replace(fit, weights=weights)
 
 
 class LogisticModel(Model):
-    """Adds ``log_odds`` and ``score``; ``fit`` says how good the weights are."""
+    """Adds ``log_odds`` and ``score``; ``fitted`` says how good the weights are."""
 
     def __init__(self, fit: Fit | None = None, features: str = "features") -> None:
         super().__init__()
@@ -301,5 +344,5 @@ class LogisticNewton(Estimator):
         try:
             fit = fit_blocks(blocks, sizes, self.strength, self.max_passes, self.tolerance)
         finally:
-            blocks.unpersist()
+            blocks.release()
         return LogisticModel(fit, self.features)

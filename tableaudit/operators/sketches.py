@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.missing import share
-from ..session import small_frame
+from ..session import path_exists, small_frame
 from ..sources.manifest import list_files
 from .counts import Numeric
 from .profile import columns_of, quantile_name
@@ -64,8 +64,7 @@ def file_sketches(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 def stored_sketches(spark: SparkSession, store: str) -> DataFrame:
     """What the store holds; an absent store is an empty one."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
-    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    if not path_exists(spark, store):
         return small_frame(spark, [], SCHEMA)
     return spark.read.schema(SCHEMA).parquet(store)
 

@@ -2,25 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (
-    IDF,
-    CountVectorizer,
-    ElementwiseProduct,
-    Normalizer,
-    SQLTransformer,
-)
-from pyspark.ml.linalg import Vectors
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.missing import quoted
 from ..functions.text import TOKEN, tokens
+from ..session import staged
 from ..spec import LabelRule
 from .label import label_positive, label_valid
 from .leakage import univariate_auc
-from .logistic import LogisticNewton
+from .logistic import Fit, column_blocks, fit_rows, numbered
 
 # A term is hot when it owns more than one in HOT_PARTS of all (document, term)
 # pairs.  There can be fewer than HOT_PARTS such terms, whatever the data.
@@ -96,6 +90,63 @@ def training_rows(df: DataFrame, text: str, rule: LabelRule, max_training_rows:
     return train.where(place < F.lit(int(max_training_rows / labelled * (1 << 40))))
 
 
+class Vocabulary:
+    """The terms of a fit, in a table that is never fetched."""
+
+    def __init__(self, terms: DataFrame) -> None:
+        self.terms = terms
+
+    def __len__(self) -> int:
+        return self.terms.count()
+
+
+class TermLogOdds(Model):
+    """Adds ``log_odds``, summed over the tokens of each text from a written table ``(term, n, idf, weight)``."""
+
+    def __init__(self, terms: DataFrame, intercept: float, tokens: str = "tokens") -> None:
+        super().__init__()
+        self.terms, self.intercept, self.tokens = terms, intercept, tokens
+
+    @property
+    def vocabulary(self) -> Vocabulary:
+        return Vocabulary(self.terms)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        # What a text scores depends on its tokens alone, so they are its key here.
+        keyed = dataset.withColumn("tokens_key", F.unhex(F.sha2(F.to_json(self.tokens), 256)))
+        words = keyed.select(F.col("tokens_key").alias("doc"), F.explode(self.tokens).alias("term"))
+        # Copies of a text multiply all its counts alike, and its unit vector stays the same.
+        counts = words.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
+        limit = (self.terms.agg(F.sum("n").alias("pairs")).first()["pairs"] or 0) // HOT_PARTS
+        known = self.terms.select("term", "idf", "weight")
+        hot, cold = known.where(self.terms["n"] > limit), known.where(self.terms["n"] <= limit)
+        marked = counts.join(F.broadcast(hot), "term", "left")
+        found = marked.where("idf IS NOT NULL").unionByName(
+            marked.where("idf IS NULL").drop("idf", "weight").join(cold, "term")
+        )
+        w = F.col("tf") * F.col("idf")
+        sums = found.groupBy(F.col("doc").alias("tokens_key")).agg(
+            F.sum(w * F.col("weight")).alias("pull"), F.sqrt(F.sum(w * w)).alias("length")
+        )
+        log_odds = F.coalesce(F.col("pull") / F.col("length"), F.lit(0.0)) + F.lit(self.intercept)
+        return keyed.join(sums, "tokens_key", "left").select(*dataset.columns, log_odds.alias("log_odds"))
+
+
+class LogisticCurve(Model):
+    """Adds ``score`` from ``log_odds``; ``fitted`` says how good the weights are."""
+
+    def __init__(self, fit: Fit) -> None:
+        super().__init__()
+        self.fitted = fit
+
+    @property
+    def intercept(self) -> float:
+        return self.fitted.intercept
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("log_odds"))))
+
+
 def fit_baseline(
     df: DataFrame,
     text: str,
@@ -107,43 +158,44 @@ def fit_baseline(
     """TF-IDF and an L2 logistic regression with unit inverse strength, as one pipeline.
 
     The fit is on ``training_rows``; the bound limits the fit, and nothing else:
-    every term of those rows becomes a feature and all rows are scored.  It ends
-    with a certified optimum, or after ``max_passes`` passes over the features;
-    ``model.stages[-1].fitted`` has the passes and the certified gap.
+    every term of those rows becomes a feature and all rows are scored.  The driver
+    holds numbers by training row; terms and their weights stay in a table in the
+    shared folder.  It ends with a certified optimum, or after ``max_passes`` passes
+    over the features; ``model.stages[-1].fitted`` has the passes and the certified gap.
     """
-    train = training_rows(df, text, rule, max_training_rows).select(
-        F.coalesce(quoted(text), F.lit("")).alias("text"),
-        label_positive(rule).cast("double").alias("label"),
+    rows = numbered(
+        training_rows(df, text, rule, max_training_rows).select(
+            F.coalesce(quoted(text), F.lit("")).alias("text"), label_positive(rule).cast("double").alias("label")
+        ),
+        "training-rows",
     )
-    tokenizer = SQLTransformer(
-        statement=f"SELECT *, regexp_extract_all(lower(text), '{SQL_TOKEN}', 0) AS tokens FROM __THIS__"
+    features = tf_idf(rows, "row", "text")
+    entries = staged(
+        features.select(F.col("doc").alias("row"), F.col("term").alias("column"), F.col("tfidf").alias("value")),
+        "training-entries",
     )
-    counter = CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=(1 << 31) - 1)
-    counted = Pipeline(stages=[tokenizer, counter]).fit(train)
-    # Texts are tokenized once more here; the vectors serve every later step.
-    vectors = counted.transform(train).select("counts", "label").persist()
+    blocks = column_blocks(rows, entries)
     try:
-        frequencies = IDF(inputCol="counts", outputCol="idf").fit(vectors)
-        scale = ElementwiseProduct(
-            scalingVec=Vectors.dense(frequencies.idf.toArray() + 1.0),
-            inputCol="counts",
-            outputCol="weighted",
-        )
-        unit = Normalizer(inputCol="weighted", outputCol="features", p=2.0)
-        classifier = LogisticNewton(max_passes=max_passes, tolerance=tolerance)
-        fitted = Pipeline(stages=[scale, unit, classifier]).fit(vectors)
+        fit = fit_rows(blocks, max_passes=max_passes, tolerance=tolerance)
     finally:
-        vectors.unpersist()
-    return PipelineModel(stages=[*counted.stages, *fitted.stages])
+        blocks.release()
+    weights = blocks.weights(fit.dual).select(
+        F.col("column").alias("term"), "n", smooth_idf(F.col("n"), len(blocks.labels)).alias("idf"), "weight"
+    )
+    tokenizer = SQLTransformer(
+        statement=f"SELECT *, regexp_extract_all(lower(text), '{SQL_TOKEN}', 0) AS tokens FROM __THIS__"
+    )
+    return PipelineModel(
+        stages=[tokenizer, TermLogOdds(staged(weights, "term-weights"), fit.intercept), LogisticCurve(fit)]
+    )
 
 
 def score(model: PipelineModel, df: DataFrame, text: str) -> DataFrame:
     """The input with ``score``, the probability of the positive class."""
-    extra = ("tokens", "counts", "weighted", "features", "log_odds")
     ready = df if text == "text" else df.withColumn("text", quoted(text))
     ready = ready.withColumn("text", F.coalesce("text", F.lit("")))
     scored = model.transform(ready)
-    return scored.drop(*extra, *([] if "text" in df.columns else ["text"]))
+    return scored.drop("tokens", "log_odds", *([] if "text" in df.columns else ["text"]))
 
 
 def score_auc(scored: DataFrame, rule: LabelRule, column: str = "score") -> DataFrame:

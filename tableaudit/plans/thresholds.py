@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import textmodel, thresholds
+from ..operators import thresholds
+from ..session import staged
 from .data import DOCS_PARAMS, LINES_PARAMS, LINES_SQL, labelled_documents, lines_with_orders
 from .registry import query
-from .texts import fitted_baseline
+from .texts import scored_documents
 
 RATES = (0.01, 0.05, 0.1, 0.25, 0.5, 1.0)
 _DOCS_SQL = """base AS (SELECT n_chars::DOUBLE AS score, toxic = 1 AS pos
@@ -83,6 +84,6 @@ def retain_flags(spark, sf_dir):
 @query("text_model_thresholds")
 def text_model_thresholds(spark, sf_dir):
     """Contact budgets on the score of the text model."""
-    scored = textmodel.score(fitted_baseline(spark, sf_dir), labelled_documents(spark, sf_dir), "text")
-    table = thresholds.threshold_table(scored.select("toxic", "score"), "score", DOCS_PARAMS.label, RATES)
+    scored = staged(scored_documents(spark, sf_dir).select("toxic", "score"), "scores")
+    table = thresholds.threshold_table(scored, "score", DOCS_PARAMS.label, RATES)
     return table.withColumn("threshold", F.round("threshold", 4))

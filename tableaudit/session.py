@@ -58,6 +58,11 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this package has made, on whatever file system it is."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

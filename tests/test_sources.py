@@ -137,6 +137,23 @@ def test_training_rows_are_bounded_and_all_are_scored(spark):
     assert model.score(fitted, many, "text").count() == 400
 
 
+def test_the_driver_holds_a_number_per_training_row_and_none_per_term(spark):
+    rule = LabelRule("y", ("0", "1"), "1")
+    texts = [" ".join(f"w{i}x{k}" for k in range(60)) + " text" * (i % 3) for i in range(40)]
+    docs = spark.createDataFrame([(i, t, str(i % 2)) for i, t in enumerate([*texts, "", None])], "a long, text string, y string")
+    fitted = model.fit_baseline(docs, "text", rule)
+    fit = fitted.stages[-1].fitted
+    assert len(fit.dual) == 42 and fit.weights is None
+    assert {r["term"]: r["n"] for r in fitted.stages[1].terms.collect()}["text"] == 26
+    assert len(fitted.stages[1].vocabulary) == 40 * 60 + 1
+    # Copies of a text, and texts of no known term.
+    other = [(0, texts[5], "1"), (1, texts[5], "1"), (2, None, "0"), (3, "unseen words", "x")]
+    scored = {r["a"]: r["score"] for r in model.score(fitted, spark.createDataFrame(other, docs.schema), "text").collect()}
+    own = {r["a"]: r["score"] for r in model.score(fitted, docs, "text").collect()}
+    assert scored[0] == pytest.approx(own[5]) and scored[1] == pytest.approx(own[5])
+    assert scored[2] == scored[3] == pytest.approx(1 / (1 + math.exp(-fit.intercept)))
+
+
 def test_optimum_gap_sees_an_unfinished_fit(spark):
     rule = LabelRule("y", ("0", "1"), "1")
     done = model.optimum_gap(model.fit_baseline(toy(spark), "text", rule), toy(spark), "a", "text", rule).first()
