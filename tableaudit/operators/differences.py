@@ -31,10 +31,14 @@ def _number(start: int, digits: int) -> Column:
 
 
 def _digests(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``(sign, digest)`` of all rows, plus one for the left and minus one for the right."""
-    return left.select(F.lit(1).cast("bigint").alias("sign"), text_digest(left).alias("digest")).unionAll(
-        right.select(F.lit(-1).cast("bigint").alias("sign"), text_digest(right).alias("digest"))
+    """``(sign, digest)`` of all rows, plus one for the left and minus one for the right.
+
+    They are read several times, and are written once: a row's digest may cost a join and casts.
+    """
+    both = left.select(F.lit(1).cast("bigint").alias("sign"), F.unhex(text_digest(left)).alias("digest")).unionAll(
+        right.select(F.lit(-1).cast("bigint").alias("sign"), F.unhex(text_digest(right)).alias("digest"))
     )
+    return staged(both, "digests").select("sign", F.lower(F.hex("digest")).alias("digest"))
 
 
 def _prefix(bits: int) -> Column:

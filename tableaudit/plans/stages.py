@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from ..operators import differences, sanity
-from ..operators.cast import cast_table
+from ..operators.cast import cast_table, decide
 from ..operators.label import label_summary
 from ..operators.missingness import missingness
 from ..session import shared_folder
@@ -240,5 +240,7 @@ SELECT 'right', order_id, segment, count(*) FROM (SELECT * FROM b EXCEPT ALL SEL
 def stage_differences_after_cast(spark, sf_dir):
     """The rows whose segment the cast wrote in its canonical form."""
     raw, columns = scanned_orders(spark, sf_dir), ["order_id", "segment"]
-    plain = cast_table(raw, ORDERS_SPEC, replace(ORDERS_PARAMS, canonical_cases={})).select(*columns)
-    return differences.stage_differences(plain, cast_table(raw, ORDERS_SPEC, ORDERS_PARAMS).select(*columns))
+    # Formats and commas do not depend on the canonical cases: one look at the columns serves both casts.
+    rules = decide(raw, ORDERS_SPEC, ORDERS_PARAMS)
+    plain = cast_table(raw, ORDERS_SPEC, replace(ORDERS_PARAMS, canonical_cases={}), rules).select(*columns)
+    return differences.stage_differences(plain, cast_table(raw, ORDERS_SPEC, ORDERS_PARAMS, rules).select(*columns))

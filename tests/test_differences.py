@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from support import rows
 
+from tableaudit import session
 from tableaudit.operators import differences
 
 
@@ -58,3 +59,13 @@ def test_many_differences_need_no_broadcast(spark, monkeypatch):
     assert got.agg(F.sum("copies")).first()[0] == sum(
         r["copies"] for r in differences.difference_counts(left, right).collect()
     )
+
+
+def test_digests_are_computed_once(spark, monkeypatch):
+    """Looks at prefixes and counts read written digests, and do not compute the sides again."""
+    seen = []
+    monkeypatch.setattr(differences, "staged", lambda df, purpose: seen.append(purpose) or session.staged(df, purpose))
+    left = spark.range(100).selectExpr("id", "CAST(id AS STRING) AS v")
+    found = differences.stage_differences(left, left.where("id != 7"))
+    assert [tuple(r) for r in found.collect()] == [("left", 7, "7", 1)]
+    assert seen.count("digests") == 1
