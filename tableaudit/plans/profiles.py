@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import label as lab
 from ..operators import missingness as miss
 from ..operators import profile as prof
 from ..operators import sketches
 from ..operators.cast import cast_table
-from ..session import shared_folder
+from ..session import shared_folder, small_frame
 from ..sources.manifest import list_files
 from ..spec import LabelRule
 from .data import (
@@ -151,23 +152,44 @@ def numeric_profile_sketch(spark, sf_dir):
 
 
 def _checked(found, lines, rank_error, distinct_error):
-    """The exact figures of a profile, and whether its estimates are within their errors."""
+    """The exact figures of a profile, and whether its estimates are within their errors.
+
+    Ranks and distinct values come from one count of the values of each column.
+    """
     estimates = found.collect()  # one row per column
-    checks = []
+    cells = []
     for i, r in enumerate(estimates):
-        value = F.col(r["column"]).cast("double")
-        slack = rank_error + 1.0 / max(r["count"], 1)
-        near = F.lit(True)
-        for q, name in zip(QUANTILES, _NAMES):
-            below, upto = F.count_if(value < r[name]), F.count_if(value <= r[name])
-            near = near & (below / F.count(value) <= q + slack) & (upto / F.count(value) >= q - slack)
-        distinct = F.count_distinct(F.col(r["column"]))
-        checks += [near.alias(f"q{i}"), (F.abs(distinct - r["n_unique"]) <= distinct_error * distinct + 1).alias(f"u{i}")]
-    cells = [x for i, r in enumerate(estimates) for x in (F.lit(r["column"]), F.col(f"u{i}"), F.col(f"q{i}"))]
-    close = lines.agg(*checks).select(
-        F.stack(F.lit(len(estimates)), *cells).alias("column", "n_unique_close", "quantiles_close")
+        value = F.col(r["column"])
+        integral = isinstance(lines.schema[r["column"]].dataType, T.IntegralType)
+        whole = value.cast("bigint") if integral else F.lit(None).cast("bigint")
+        cells += [F.lit(i), whole, F.lit(None).cast("double") if integral else value.cast("double")]
+    long = lines.select(F.stack(F.lit(len(estimates)), *cells).alias("slot", "whole", "fraction"))
+    counts = long.where("whole IS NOT NULL OR fraction IS NOT NULL").groupBy("slot", "whole", "fraction").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    number = F.coalesce(F.col("whole").cast("double"), F.col("fraction"))
+    slots = [(i, r["column"], r["count"], r["n_unique"], [r[name] for name in _NAMES]) for i, r in enumerate(estimates)]
+    # One row per column.
+    grid = small_frame(lines.sparkSession, slots, "slot int, column string, rows bigint, guess bigint, at array<double>")
+    ranks = []
+    for k in range(len(_NAMES)):
+        below, upto = number < F.col("at")[k], number <= F.col("at")[k]
+        ranks += [F.sum(F.when(below, F.col("n"))).alias(f"b{k}"), F.sum(F.when(upto, F.col("n"))).alias(f"u{k}")]
+    sums = counts.join(F.broadcast(grid.select("slot", "at")), "slot").groupBy("slot").agg(
+        F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("total"), *ranks
+    )
+    near = F.lit(True)
+    for k, q in enumerate(QUANTILES):
+        below, upto = (F.coalesce(F.col(f"{x}{k}"), F.lit(0)) / F.nullif(F.col("total"), F.lit(0)) for x in "bu")
+        slack = F.lit(rank_error) + F.lit(1.0) / F.greatest("rows", F.lit(1))
+        near = near & (below <= F.lit(q) + slack) & (upto >= F.lit(q) - slack)
+    distinct = F.coalesce("distinct", F.lit(0))
+    unique = F.abs(distinct - F.col("guess")) <= distinct_error * distinct + 1
+    close = grid.join(F.broadcast(sums), "slot", "left").select(
+        "column", unique.alias("n_unique_close"), near.alias("quantiles_close")
     )
-    return _rounded(found, "mean", "std").join(close, "column").select(
+    figures = small_frame(lines.sparkSession, [tuple(r) for r in estimates], found.schema)
+    return _rounded(figures, "mean", "std").join(close, "column").select(
         "column", "type", "count", "missing_share", "min", "max", "mean", "std", "n_unique_close", "quantiles_close"
     )
 
@@ -187,7 +209,7 @@ def numeric_profile_merged(spark, sf_dir):
     data, store = shared_folder(spark, "deliveries"), shared_folder(spark, "sketches")
     for part in (0, 1):
         delivery = lines.where(F.pmod(F.xxhash64("l_orderkey"), F.lit(2)) == part)
-        delivery.repartition(3).write.mode("append").parquet(data)
+        delivery.write.mode("append").parquet(data)
         sketches.update_sketches(spark, [data], store)
     merged = sketches.merged_profile(sketches.stored_sketches(spark, store), list_files(spark, [data]), QUANTILES)
     return _checked(merged, lines, 0.01, 0.065)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableaudit.operators import profile, sketches
+from tableaudit.plans.profiles import _checked
 from tableaudit.sources.manifest import list_files
 
 GRID = (0.0, 0.05, 0.5, 0.95, 1.0)
@@ -81,3 +82,16 @@ def test_no_files_columns_or_values(spark, tmp_path):
     sketches.update_sketches(spark, [nothing], store)
     r = merged(spark, store, nothing)["none"]
     assert (r["count"], r["n_unique"], r["missing_share"], r["mean"], r["p50"]) == (4, 0, 1.0, None, None)
+
+
+def test_estimates_are_checked_on_one_count_of_the_values(spark):
+    lines = delivery(spark, 400, 7).select("a", "b", "none")
+    found = profile.numeric_profile(lines, ["a", "b", "none"], (0.05, 0.25, 0.5, 0.75, 0.95))
+    checked = _checked(found, lines, 0.001, 0.0)
+    # Rows are not multiplied by the columns whose distinct values are counted.
+    assert "Expand" not in checked._jdf.queryExecution().executedPlan().toString()
+    assert {r["column"]: (r["n_unique_close"], r["quantiles_close"]) for r in checked.collect()} == {
+        "a": (True, True), "b": (True, True), "none": (True, None)
+    }
+    off = found.withColumn("p50", F.col("p95")).withColumn("n_unique", F.col("n_unique") * 2 + 2)
+    assert {tuple(r)[-2:] for r in _checked(off, lines, 0.001, 0.0).collect()} == {(False, False), (False, None)}
