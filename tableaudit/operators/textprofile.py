@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import quoted
 from ..functions.text import search, word_count
-from ..session import small_frame
+from ..session import small_frame, staged
 from ..spec import AuditParams
 from .counts import (
     Numeric,
@@ -74,7 +74,8 @@ def text_lengths(
     names = [item.name for item in items]
     # There are no more distinct lengths than the longest text has characters,
     # however many rows there are, so one range per length will do.
-    counts = ranged_counts(lengths, items, [[], []])
+    # They are read several times, and so written once: counting words is what costs here.
+    counts = staged(ranged_counts(lengths, items, [[], []]), "length-counts")
     ends = small_frame(df.sparkSession, [(n,) for n in names], "column string").join(
         F.broadcast(with_names(weighted_moments(counts), names)), "column", "left"
     )

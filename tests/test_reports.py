@@ -216,6 +216,13 @@ def test_absent_text_column_is_a_warning(spark):
     assert "not found" in textprofile.text_profile(df, "notes").first()["warning"]
 
 
+def test_lengths_are_counted_once(spark):
+    df = spark.createDataFrame([("a b",), (None,), ("c",)], "t string")
+    plan = textprofile.text_lengths(df, "t")._jdf.queryExecution().optimizedPlan().toString()
+    # The figures read written counts, and do not look at the texts again.
+    assert "regexp_replace" not in plan and "Relation" in plan
+
+
 def test_text_lengths_of_an_empty_table(spark):
     df = spark.createDataFrame([], "t string")
     got = {(r["length"], r["metric"]): r["number"] for r in textprofile.text_lengths(df, "t").collect()}
