@@ -18,7 +18,7 @@ from .logistic import Fit, column_blocks, fit_rows, numbered
 
 # A term is hot when it owns more than one in HOT_PARTS of all (document, term)
 # pairs.  There can be fewer than HOT_PARTS such terms, whatever the data.
-HOT_PARTS = 10000
+HOT_PARTS = 200_000
 # The token pattern inside a SQL string literal.
 SQL_TOKEN = TOKEN.replace("\\", "\\\\")
 
@@ -28,7 +28,11 @@ def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
 
     A document is one row, so its repeated terms collapse before the shuffle.
     """
-    words = df.select(quoted(doc).alias("doc"), F.explode(tokens(quoted(text))).alias("term"))
+    return _counted(df.select(quoted(doc).alias("doc"), tokens(quoted(text)).alias("words")))
+
+
+def _counted(listed: DataFrame) -> DataFrame:
+    words = listed.select("doc", F.explode("words").alias("term"))
     return words.where("term IS NOT NULL").groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -59,17 +63,20 @@ def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
     most = F.sum(F.floor((F.length(quoted(text)) + 1) / 3))
     size = df.agg(F.count(F.lit(1)).alias("docs"), most.alias("pairs")).first()
     limit = (size["pairs"] or 0) // HOT_PARTS
-    terms = term_counts(df, doc, text)
+    # Token lists are dealt by document once, and are smaller than the pairs; counts, hot pairs and lengths then stay
+    # where they are.
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    listed = df.select(quoted(doc).alias("doc"), tokens(quoted(text)).alias("words"))
+    terms = _counted(listed.repartition(width, "doc"))
     freq = document_frequency(terms).select(
         "term", "df", smooth_idf(F.col("df"), size["docs"]).alias("idf")
     )
     hot = F.broadcast(freq.where(F.col("df") > limit).select("term", "idf"))
     cold = freq.where(F.col("df") <= limit).select("term", "idf")
     marked = terms.join(hot, "term", "left")
-    weighted = marked.where("idf IS NOT NULL").unionByName(
-        marked.where("idf IS NULL").drop("idf").join(cold, "term")
-    )
-    weighted = weighted.withColumn("w", F.col("tf") * F.col("idf"))
+    rest = marked.where("idf IS NULL").drop("idf").join(cold, "term").repartition(width, "doc")
+    weighted = marked.where("idf IS NOT NULL").unionByName(rest)
+    weighted = weighted.select("doc", "term", "tf", (F.col("tf") * F.col("idf")).alias("w"))
     # One group is the terms of one document, which came from one row.
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("doc")))
     return weighted.select("doc", "term", "tf", (F.col("w") / length).alias("tfidf"))
@@ -103,18 +110,18 @@ class Vocabulary:
 class TermLogOdds(Model):
     """Adds ``log_odds``, summed over the tokens of each text from a written table ``(term, n, idf, weight)``."""
 
-    def __init__(self, terms: DataFrame, intercept: float, tokens: str = "tokens") -> None:
+    def __init__(self, terms: DataFrame, intercept: float, text: str = "text", tokens: str = "tokens") -> None:
         super().__init__()
-        self.terms, self.intercept, self.tokens = terms, intercept, tokens
+        self.terms, self.intercept, self.text, self.tokens = terms, intercept, text, tokens
 
     @property
     def vocabulary(self) -> Vocabulary:
         return Vocabulary(self.terms)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        # What a text scores depends on its tokens alone, so they are its key here.
-        keyed = dataset.withColumn("tokens_key", F.unhex(F.sha2(F.to_json(self.tokens), 256)))
-        words = keyed.select(F.col("tokens_key").alias("doc"), F.explode(self.tokens).alias("term"))
+        # What a text scores depends on nothing else, so it is its own key here; tokens are looked at once.
+        keyed = dataset.withColumn("text_key", F.unhex(F.sha2(self.text, 256)))
+        words = keyed.select(F.col("text_key").alias("doc"), F.explode(self.tokens).alias("term"))
         # Copies of a text multiply all its counts alike, and its unit vector stays the same.
         counts = words.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
         limit = (self.terms.agg(F.sum("n").alias("pairs")).first()["pairs"] or 0) // HOT_PARTS
@@ -125,11 +132,11 @@ class TermLogOdds(Model):
             marked.where("idf IS NULL").drop("idf", "weight").join(cold, "term")
         )
         w = F.col("tf") * F.col("idf")
-        sums = found.groupBy(F.col("doc").alias("tokens_key")).agg(
+        sums = found.groupBy(F.col("doc").alias("text_key")).agg(
             F.sum(w * F.col("weight")).alias("pull"), F.sqrt(F.sum(w * w)).alias("length")
         )
         log_odds = F.coalesce(F.col("pull") / F.col("length"), F.lit(0.0)) + F.lit(self.intercept)
-        return keyed.join(sums, "tokens_key", "left").select(*dataset.columns, log_odds.alias("log_odds"))
+        return keyed.join(sums, "text_key", "left").select(*dataset.columns, log_odds.alias("log_odds"))
 
 
 class LogisticCurve(Model):

@@ -104,6 +104,13 @@ def test_tf_idf_by_hand_with_and_without_hot_terms(spark, monkeypatch):
         assert set(got) == {(1, "the"), (1, "cat"), (2, "the"), (2, "dog")}
 
 
+def test_pairs_stay_where_their_document_was_dealt(spark):
+    plan = model.tf_idf(toy(spark), "a", "text")._jdf.queryExecution().executedPlan().toString()
+    # Lists of tokens are dealt by document; neither the counts nor the lengths shuffle the pairs again.
+    by_doc = [line for line in plan.splitlines() if "Exchange hashpartitioning(doc" in line]
+    assert by_doc and all("REPARTITION" in line for line in by_doc)
+
+
 def test_baseline_on_the_toy_table(spark):
     rule = LabelRule("y", ("0", "1"), "1")
     fitted = model.fit_baseline(toy(spark), "text", rule)
