@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -30,8 +30,10 @@ WORDS_PER_ROW = 150
 MOST_FEATURES = 60_000
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_BATCH_WORDS = 1 << 20
+# Scores (words times languages) held at once, unless one text has more; words whose scores are kept; texts looked at together.
+_BATCH_SCORES = 1 << 19
 _KNOWN_WORDS = 1 << 19
+_BATCH_TEXTS = 2048
 
 
 def words_of(text: str | None) -> list[str]:
@@ -214,9 +216,7 @@ class Tagger:
         self.model, self.known = model, {}
         self.table = np.zeros((1024, len(model.languages)), np.float32)
 
-    def _numbers(self, words: list[str]) -> list[int]:
-        if len(self.known) > _KNOWN_WORDS:
-            self.known = {}
+    def _numbers(self, words: list[str]) -> np.ndarray:
         known = self.known
         for w in words:
             if w not in known:
@@ -224,31 +224,41 @@ class Tagger:
                     self.table = np.concatenate([self.table, np.zeros_like(self.table)])
                 self.table[len(known)] = self.model.scores(w)
                 known[w] = len(known)
-        return [known[w] for w in words]
-
-    def shares(self, texts: list[list[str]]) -> np.ndarray:
-        """Mean marginal of each language, by text; none of them is empty."""
+        return np.array([known[w] for w in words], np.int32)
+
+    def shares(self, texts: Iterable[list[str]]) -> np.ndarray:
+        """Mean marginal of each language, by text; zeros for a text without words.
+
+        Texts may come one by one: of each only the numbers of its words are held.
+        """
+        done, held = [np.zeros((0, len(self.model.languages)))], []
+        for words in texts:
+            if len(self.known) > _KNOWN_WORDS:
+                # The numbers held are of these scores.
+                done.append(self._shares(held))
+                held, self.known = [], {}
+            held.append(self._numbers(words))
+        return np.concatenate([*done, self._shares(held)])
+
+    def _shares(self, texts: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(texts), len(self.model.languages)))
-        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+        order = sorted((i for i, t in enumerate(texts) if len(t)), key=lambda i: -len(texts[i]))
+        most = _BATCH_SCORES // max(1, out.shape[1])
         at = 0
         while at < len(order):
             end, held = at, 0
-            while end < len(order) and (end == at or held + len(texts[order[end]]) <= _BATCH_WORDS):
+            while end < len(order) and (end == at or held + len(texts[order[end]]) <= most):
                 held += len(texts[order[end]])
                 end += 1
             own = order[at:end]
             lengths = np.array([len(texts[i]) for i in own])
             starts = np.cumsum(lengths) - lengths
-            # Scores are gathered text by text, since the table may be renewed between texts.
-            scores = np.concatenate([self.table[n] for n in map(self._gather, (texts[i] for i in own))])
+            scores = self.table[np.concatenate([texts[i] for i in own])]
             marginals = forward_backward(scores, starts, lengths, self.model.transitions)[0]
             out[own] = np.add.reduceat(marginals, starts, axis=0) / lengths[:, None]
             at = end
         return out
 
-    def _gather(self, words: list[str]) -> np.ndarray:
-        return np.array(self._numbers(words))
-
 
 def languages(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): lang_pred, score, second (the next best language), and ``row``.
@@ -260,24 +270,26 @@ def languages(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
     """
     names = list(model.languages)
     text = F.col("text").cast("string").alias("text")
+    # A text that is carried as it is goes to Python and back once.
+    inside = carry and dict(docs.dtypes).get("text") == "string"
     if carry:
-        source = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text)
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+        source = docs.select(row) if inside else docs.select(row, text)
     else:
         source = docs.select(F.col("doc_id").cast("long").alias("row"), text)
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(model)
         for batch in batches:
-            for start in range(0, batch.num_rows, 2048):
-                part = batch.slice(start, 2048)
-                words = [words_of(t) for t in part.column(1).to_pylist()]
-                full = [i for i, w in enumerate(words) if w and names]
-                best, score, second = [UNKNOWN] * len(words), [0.0] * len(words), [None] * len(words)
-                if full:
-                    shares = tagger.shares([words[i] for i in full])
-                    for i, ranks, share in zip(full, np.argsort(-shares, axis=1, kind="stable"), shares, strict=True):
-                        best[i], score[i] = names[ranks[0]], min(1.0, float(share[ranks[0]]))
-                        second[i] = names[ranks[1]] if len(names) > 1 else None
+            for start in range(0, batch.num_rows, _BATCH_TEXTS):
+                part = batch.slice(start, _BATCH_TEXTS)
+                texts = part.column(0).field("text") if inside else part.column(1)
+                best, score, second = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts)
+                shares = tagger.shares(words_of(t.as_py()) if names else [] for t in texts)
+                full = np.flatnonzero(shares.any(axis=1))
+                for i, ranks in zip(full.tolist(), np.argsort(-shares[full], axis=1, kind="stable"), strict=True):
+                    best[i], score[i] = names[ranks[0]], min(1.0, float(shares[i, ranks[0]]))
+                    second[i] = names[ranks[1]] if len(names) > 1 else None
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(second, pa.string())],
                     names=["row", "lang_pred", "score", "second"],

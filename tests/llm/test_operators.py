@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import defaultdict
 from zlib import crc32
 
@@ -535,6 +536,43 @@ def test_switched_words_get_their_own_language():
     assert model.transitions[0, 0] > model.transitions[0, 1]
 
 
+def test_texts_are_tagged_in_little_memory():
+    model = langid.train([("en", ["the", "thing", "with"] * 30), ("fr", ["le", "une", "quoi"] * 30)])
+    texts = [[("the", "quoi", "with", "une")[(i + k) % 4] for k in range(i % 50 * 20)] for i in range(2048)]
+    one = langid.Tagger(model)
+    alone = np.concatenate([one.shares([t]) for t in texts[:60]])
+    assert not alone[0].any() and np.allclose(alone[1:50].sum(axis=1), 1)
+    tagger = langid.Tagger(model)
+    tagger.shares([["the"]])
+    tracemalloc.start()
+    try:
+        found = tagger.shares(iter(texts))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # One million words of two languages: 8 MB of scores, and several arrays of that size at once before.
+    assert sum(map(len, texts)) > 1_000_000 and peak < 32 << 20
+    assert np.allclose(found[:60], alone)
+    # Numbers of words that are known no longer are not used.
+    kept, langid._KNOWN_WORDS = langid._KNOWN_WORDS, 1
+    try:
+        assert np.allclose(langid.Tagger(model).shares(iter(texts[:60])), alone)
+    finally:
+        langid._KNOWN_WORDS = kept
+
+
+def test_a_carried_text_goes_to_python_once(spark):
+    model = langid.train([("en", ["the", "thing", "with"] * 30), ("fr", ["le", "une", "quoi"] * 30)])
+    docs = spark.createDataFrame([(1, "the thing"), (2, None), (3, "une quoi"), (4, "12")], "doc_id long, text string")
+    found = langid.languages(docs, model, carry=True)
+    assert len(found._jdf.queryExecution().analyzed().children().head().output().mkString(",").split(",")) == 1
+    assert {r["row"]["doc_id"]: r["lang_pred"] for r in found.collect()} == {1: "en", 2: "und", 3: "fr", 4: "und"}
+    other = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    assert {r["row"]["doc_id"]: r["lang_pred"] for r in langid.languages(other, model, carry=True).collect()} == {
+        1: "en", 2: "und", 3: "fr", 4: "und",
+    }
+
+
 # 8 ---------------------------------------------------------------------------
 
 
