@@ -11,6 +11,8 @@ from tableaudit.session import shared_folder
 # The two ways in which the operators cut words.
 TOKEN = r"[^\x20\x09-\x0D]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Whether a query's shuffle files are removed when it ends.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -24,9 +26,26 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     This cuts the lineage for results that are read more than once; a lost
     executor costs the tasks it ran, not the steps before.
     """
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, shared_folder(df.sparkSession, purpose))
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """The rows, written to a new folder and read again.
+
+    What was shuffled for them goes as soon as they are written, not when the
+    driver happens to collect its garbage.
+    """
+    spark = df.sparkSession
+    kept = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if kept is None:
+            spark.conf.unset(_CLEAN_UP)
+        else:
+            spark.conf.set(_CLEAN_UP, kept)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fold_ascii(text: Column) -> Column:

@@ -11,8 +11,9 @@ Equal lines are one node from the start.  All lines that meet in a band entry ar
 compared there, on full shingle sets, by a search in breadth: a line just reached
 is compared with every line of the entry not reached yet.  So no pair that the
 bands propose is left out, and an entry gives one link per line, not per pair.
-Entries of the same lines are searched once.  An entry over ``part_lines`` is cut
-into parts, and every pair of parts is searched in a task of its own.  Distributed
+Entries of the same lines are searched once, and many entries of two lines at a
+time.  An entry over ``part_lines`` is cut into parts, and every pair of parts is
+searched in a task of its own.  Distributed
 union-find over the links leaves one line of each component.
 
 Signatures and searches run on Arrow batches with numpy: with columns alone the
@@ -29,22 +30,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableaudit.llm.common import staged
+from tableaudit.llm.common import staged, written
 from tableaudit.llm.components import connected
 from tableaudit.llm.neardedup import _components
+from tableaudit.session import remove_folder, shared_folder
 
 SHINGLE = 7
 PERCENT = 80
 BANDS, ROWS = 16, 4
 PART_LINES = 2000
-# Lines signed at once, and the size of a group from which arrays beat sets.
-_LINES, _ARRAYS = 4096, 16
+# Lines signed at once, pairs compared at once, texts cut at once, and the size of a group from which arrays beat sets.
+_LINES, _PAIRS, _TEXTS, _ARRAYS = 128, 64, 1024, 16
+# Buckets of entries for each partition, and entries that a task holds before it sends them.
+_BUCKETS, _PACKED = 8, 1 << 20
+# Factor of the hash of a shingle, and its inverse modulo 2**64.
+_FACTOR = 0x100000001B3
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
 _FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x20 if c in (0x09, 0x0D) else c for c in range(256))
 
 
 def normal_line(line: bytes) -> bytes:
     """A line for comparison: A-Z folded, runs of spaces, tabs and returns as one space, none at the ends."""
-    return b" ".join([w for w in line.translate(_FOLD).split(b" ") if w])
+    return _tight(line.translate(_FOLD))
+
+
+def _tight(line: bytes) -> bytes:
+    line = line.strip(b" ")
+    return b" ".join([w for w in line.split(b" ") if w]) if b"  " in line else line
+
+
+def _normal_lines(text: bytes) -> Iterator[tuple[int, bytes]]:
+    """(number from 0, normal form) of each line that is not blank."""
+    for k, line in enumerate(text.translate(_FOLD).split(b"\n")):
+        if x := _tight(line):
+            yield k, x
 
 
 def shingles(line: str, n: int = SHINGLE) -> set[str]:
@@ -65,9 +84,11 @@ def shingle_hashes(lines: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer(("\n".join(filled) + "\n").encode("utf-32-le"), "<u4").astype(np.uint64)
     breaks = points == 10
     owner = np.cumsum(breaks) - breaks
-    sums = np.zeros(max(len(points) - n + 1, 0), np.uint64)
-    for k in range(n):
-        sums = sums * np.uint64(0x100000001B3) + points[k : len(points) - n + 1 + k] + np.uint64(1)
+    # A window's sum of characters times powers of the factor, from running sums times powers of the inverse.
+    up = np.cumprod(np.full(len(points), _FACTOR, np.uint64))
+    down = np.cumprod(np.full(len(points), _INVERSE, np.uint64))
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points + np.uint64(1)) * down)])
+    sums = (running[n:] - running[: max(len(running) - n, 0)]) * up[n - 1 :]
     ends = np.concatenate([[0], np.cumsum(breaks)])
     inside = ends[n:] == ends[: len(sums)] if len(sums) else np.zeros(0, bool)
     return owner[: len(sums)][inside], _mix(sums[inside])
@@ -76,18 +97,15 @@ def shingle_hashes(lines: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
 def band_keys(lines: list[str], n: int, bands: int, rows: int) -> np.ndarray:
     """A key for each line and band."""
     owner, hashes = shingle_hashes(lines, n)
-    # Line number and leading 44 bits of the hash in one sorted number.
-    low = np.uint64(44)
-    # (Repeats do no harm here, and sorting is far cheaper than np.unique.)
-    mixed = np.sort((owner.astype(np.uint64) << low) | (hashes >> np.uint64(20)))
-    numbers = np.arange(len(lines), dtype=np.uint64)
-    starts = np.searchsorted(mixed, numbers << low)
-    ends = np.append(starts[1:], len(mixed))
-    bins = bands * rows
-    at = np.arange(bins, dtype=np.uint64) * np.uint64((1 << 44) // bins)
-    found = np.searchsorted(mixed, ((numbers << low)[:, None] | at[None, :]).ravel()).reshape(len(lines), bins)
-    # After the last hash of a line its smallest one counts.
-    values = mixed[np.where(found < ends[:, None], found, starts[:, None])] & np.uint64((1 << 44) - 1)
+    short, bins = hashes >> np.uint64(20), bands * rows
+    own = np.minimum(short // np.uint64((1 << 44) // bins), np.uint64(bins - 1)).astype(np.int64)
+    none = np.uint64((1 << 64) - 1)
+    least = np.full(len(lines) * bins, none)
+    np.minimum.at(least, owner * bins + own, short)
+    least = least.reshape(len(lines), bins)
+    # The smallest hash at or after the start of the bin; after the last hash of a line its smallest one counts.
+    values = np.minimum.accumulate(least[:, ::-1], axis=1)[:, ::-1]
+    values = np.where(values == none, least.min(axis=1)[:, None], values)
     values = values.reshape(len(lines), bands, rows)
     key = np.broadcast_to(np.arange(bands, dtype=np.uint64), values.shape[:2]).copy()
     for r in range(rows):
@@ -124,6 +142,26 @@ def line_components(lines: list[str], n: int, percent: int) -> list[int]:
     return root
 
 
+def similar_pairs(pairs: list[tuple[str, str]], n: int, percent: int) -> list[bool]:
+    """Whether the two lines of each of at most ``_PAIRS`` pairs are similar."""
+    owner, hashes = shingle_hashes([x for pair in pairs for x in pair], n)
+    # Number of the pair, hash and side in one sorted number.
+    pair, side = (owner >> 1).astype(np.uint64), (owner & 1).astype(np.uint64)
+    mixed = np.sort((pair << np.uint64(55)) | ((hashes >> np.uint64(10)) << np.uint64(1)) | side)
+    mixed = mixed[np.append(True, mixed[1:] != mixed[:-1])]
+    pair = (mixed >> np.uint64(55)).astype(np.int64)
+    twice = (mixed[:-1] ^ np.uint64(1)) == mixed[1:]
+    shared = np.bincount(pair[:-1][twice], minlength=len(pairs))
+    union = np.bincount(pair, minlength=len(pairs)) - shared
+    over = 100 * shared - percent * union
+    found = (over >= 0).tolist()
+    # Two shingles may share a shortened hash: what that could decide is counted on the shingles.
+    for i in np.flatnonzero(abs(over) <= 400).tolist():
+        a, b = (shingles(x, n) for x in pairs[i])
+        found[i] = 100 * len(a & b) >= percent * len(a | b)
+    return found
+
+
 def _work(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
@@ -139,18 +177,19 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, text in enumerate(_texts(batch, 2)):
-                found = [(k, x) for k, line in enumerate(text.split(b"\n")) if (x := normal_line(line))]
-                if found:
-                    row = batch.slice(i, 1)
-                    same = lambda c: row.column(c).take(pa.array([0] * len(found)))  # noqa: B023, E731
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            same(0), same(1), pa.array([k for k, _ in found], pa.int32()),
-                            pa.array([hashlib.md5(x).digest() for _, x in found], pa.binary()),
-                        ],
-                        names=["doc_id", "text_key", "line_no", "node"],
-                    )
+            for at in range(0, batch.num_rows, _TEXTS):
+                part = batch.slice(at, _TEXTS)
+                rows, numbers, nodes = [], [], []
+                for i, text in enumerate(_texts(part, 2)):
+                    for k, x in _normal_lines(text):
+                        rows.append(i)
+                        numbers.append(k)
+                        nodes.append(hashlib.md5(x).digest())
+                own = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(own), part.column(1).take(own), pa.array(numbers, pa.int32()), pa.array(nodes, pa.binary())],
+                    names=["doc_id", "text_key", "line_no", "node"],
+                )
 
     return _work(docs).mapInArrow(cut, "doc_id long, text_key long, line_no int, node binary")
 
@@ -161,47 +200,71 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # What a batch repeats leaves it once.
-            seen = {x for text in _texts(batch, 0) for line in text.split(b"\n") if (x := normal_line(line))}
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(seen), pa.binary())], names=["normal"])
+            seen = {x for text in _texts(batch, 0) for _, x in _normal_lines(text)}
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary())], names=["normal"])
 
     lines = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(cut, "normal binary")
     return lines.distinct().select(F.monotonically_increasing_id().alias("id"), "normal")
 
 
 def _entries(lines: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """(entry, id) for each band of each line."""
+    """(bucket, entries, ids): an entry for each band of each line, packed by bucket as 64-bit numbers."""
+    buckets = _BUCKETS * int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
+
+        def packs() -> pa.RecordBatch:
+            entry, line = np.concatenate(keys), np.concatenate(ids)
+            bucket = (entry.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            entry, line, bucket = entry[order], line[order], bucket[order]
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            offsets = pa.py_buffer((np.append(first, len(entry)) * 8).astype(np.int32))
+            packed = [pa.Array.from_buffers(pa.binary(), len(first), [None, offsets, pa.py_buffer(x)]) for x in (entry, line)]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[first]), *packed], names=["bucket", "entries", "ids"])
+
         for batch in batches:
             for at in range(0, batch.num_rows, _LINES):
                 part = batch.slice(at, _LINES)
-                keys = band_keys([x.decode() for x in _texts(part, 1)], n, bands, rows)
-                ids = np.repeat(part.column(0).to_numpy(), bands)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["entry", "id"])
+                keys.append(band_keys([x.decode() for x in _texts(part, 1)], n, bands, rows).ravel())
+                ids.append(np.repeat(part.column(0).to_numpy(), bands))
+                if len(keys) * _LINES * bands >= _PACKED:
+                    yield packs()
+                    keys.clear()
+                    ids.clear()
+        if keys:
+            yield packs()
 
-    return lines.mapInArrow(sign, "entry long, id long")
+    return lines.mapInArrow(sign, "bucket int, entries binary, ids binary")
 
 
 def _met(entries: DataFrame) -> DataFrame:
-    """The entries that hold two lines or more."""
+    """(entry, id): the entries that hold two lines or more."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come sorted; the last one waits for its successor.
-        entry, ids, matched = np.zeros(0, np.int64), np.zeros(0, np.int64), False
-        for batch in batches:
-            e = np.concatenate([entry, batch.column(0).to_numpy()])
-            i = np.concatenate([ids, batch.column(1).to_numpy()])
-            if not len(e):
-                continue
+        bucket, packs = None, []
+
+        def shared() -> pa.RecordBatch:
+            e, i = (np.frombuffer(b"".join(x), np.int64) for x in zip(*packs, strict=True))
+            order = np.argsort(e)
+            e, i = e[order], i[order]
             same = e[1:] == e[:-1]
-            kept = np.append(matched, same) | np.append(same, False)
-            kept, matched = kept[:-1], bool(kept[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(e[:-1][kept]), pa.array(i[:-1][kept])], names=["entry", "id"])
-            entry, ids = e[-1:], i[-1:]
-        if matched:
-            yield pa.RecordBatch.from_arrays([pa.array(entry), pa.array(ids)], names=["entry", "id"])
+            kept = np.append(False, same) | np.append(same, False)
+            return pa.RecordBatch.from_arrays([pa.array(e[kept]), pa.array(i[kept])], names=["entry", "id"])
+
+        for batch in batches:
+            for now, *pack in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != bucket and packs:
+                    yield shared()
+                    packs.clear()
+                bucket = now
+                packs.append(pack)
+        if packs:
+            yield shared()
 
-    return entries.repartition("entry").sortWithinPartitions("entry", "id").mapInArrow(keep, "entry long, id long")
+    return entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(keep, "entry long, id long")
 
 
 def _tasks(met: DataFrame, part_lines: int) -> DataFrame:
@@ -226,18 +289,33 @@ def _tasks(met: DataFrame, part_lines: int) -> DataFrame:
 
 
 def line_links(
-    lines: DataFrame, percent: int, n: int, bands: int, rows: int, part_lines: int = PART_LINES
+    lines: DataFrame, met: DataFrame, percent: int, n: int, part_lines: int = PART_LINES
 ) -> DataFrame:
-    """(a, b): links that join the similar lines of every entry, from ``lines`` (id, normal)."""
-    met = staged(_met(_entries(lines, n, bands, rows)), "line-entries")
+    """(a, b): links that join the similar lines of every entry of ``met``, from ``lines`` (id, normal)."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, ids, texts = None, [], []
         a: list[int] = []
         b: list[int] = []
+        keys: list[tuple[int, int]] = []
+        pairs: list[tuple[str, str]] = []
+
+        def compare() -> None:
+            if pairs:
+                for (low, high), linked in zip(keys, similar_pairs(pairs, n, percent), strict=True):
+                    if linked:
+                        a.append(high)
+                        b.append(low)
+            keys.clear()
+            pairs.clear()
 
         def close() -> None:
-            if len(ids) > 1:
+            if len(ids) == 2:
+                keys.append((ids[0], ids[1]))
+                pairs.append((texts[0], texts[1]))
+                if len(pairs) == _PAIRS:
+                    compare()
+            elif len(ids) > 2:
                 for i, first in enumerate(line_components(texts, n, percent)):
                     if i != first:
                         a.append(ids[i])
@@ -258,6 +336,7 @@ def line_links(
             a.clear()
             b.clear()
         close()
+        compare()
         yield rows_of()
 
     work = _tasks(met, part_lines).join(lines.hint("merge"), "id").select("task", "id", "normal")
@@ -269,9 +348,17 @@ def line_groups(
     part_lines: int = PART_LINES,
 ) -> DataFrame:
     """(node, root) of every line that is linked with another one; a line without a row is alone."""
-    lines = staged(distinct_lines(docs), "lines")
-    roots = staged(connected(line_links(lines, percent, n, bands, rows, part_lines)), "line-roots")
-    return lines.join(roots, lines["id"] == roots["node"]).select(F.unhex(F.md5("normal")).alias("node"), "root")
+    spark = docs.sparkSession
+    texts, met = shared_folder(spark, "lines"), shared_folder(spark, "line-entries")
+    lines = written(distinct_lines(docs), texts)
+    entries = written(_met(_entries(lines, n, bands, rows)), met)
+    roots = staged(connected(line_links(lines, entries, percent, n, part_lines)), "line-roots")
+    named = lines.join(roots, lines["id"] == roots["node"]).select(F.unhex(F.md5("normal")).alias("node"), "root")
+    groups = staged(named, "line-groups")
+    # The texts are not read again.
+    for path in (texts, met):
+        remove_folder(spark, path)
+    return groups
 
 
 def marked_lines(docs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -280,15 +367,16 @@ def marked_lines(docs: DataFrame, groups: DataFrame) -> DataFrame:
     Of a group the line with the smallest (doc_id, text_key, line_no) stays; a row
     repeated exactly has the same lines in the same places.
     """
-    alone = F.hex("node")
+    # (A root has 8 bytes and a node 16.)
     named = lines_of(docs).join(groups, "node", "left").select(
-        "doc_id", "text_key", "line_no", F.coalesce(F.col("root").cast("string"), alone).alias("group")
+        "doc_id", "text_key", "line_no", F.coalesce(F.unhex(F.lpad(F.hex("root"), 16, "0")), "node").alias("group")
     )
+    named = staged(named, "line-places")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "line_no")
     # Lines that have their group for themselves need no second look.
     first = named.groupBy("group").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("group_lines"))
     return named.join(first, "group").select(
-        "doc_id", "text_key", "line_no", "group", "group_lines", (place == F.col("first")).alias("stays")
+        "doc_id", "text_key", "line_no", F.hex("group").alias("group"), "group_lines", (place == F.col("first")).alias("stays")
     )
 
 

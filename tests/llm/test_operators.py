@@ -4,6 +4,7 @@ import hashlib
 import re
 import tracemalloc
 from collections import defaultdict
+from pathlib import Path
 from zlib import crc32
 
 import numpy as np
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 from tableaudit.llm import (
     decontam, exactdedup, langid, licenses, linededup, mixing, neardedup, pii, queries, sharding, tokens,
 )
-from tableaudit.llm.common import table
+from tableaudit.llm.common import staged, table
 from tableaudit.llm.components import connected
+from tableaudit.session import shared_folder
 
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "word " * 30000
@@ -419,6 +421,44 @@ def test_normal_lines_and_signatures_of_odd_lines():
     assert keys.shape == (7, 16) and (keys[3] == keys[4]).all() and len({tuple(k) for k in keys.tolist()}) == 6
 
 
+def test_staged_rows_leave_no_shuffle_files(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+
+    def files():
+        return {str(f) for top in env.blockManager().diskBlockManager().localDirsString() for f in Path(top).rglob("shuffle_*.data")}
+
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", files()
+    setting = spark.conf.get(key, None)
+    rows = staged(spark.range(5000).repartition(3, "id").groupBy((F.col("id") % 1000).alias("k")).count(), "test")
+    assert not files() - before
+    assert spark.conf.get(key, None) == setting
+    assert rows.agg(F.count("k"), F.sum("count")).first()[:] == (1000, 5000)
+
+
+def test_texts_of_lines_do_not_stay(spark):
+    top = Path(shared_folder(spark, "lines").removeprefix("file://")).parent
+    before = {p.name for p in top.glob("*")}
+    docs = spark.createDataFrame([(1, "a line of some length\nother words"), (2, "a line of some length!")], "doc_id long, text string")
+    assert sum(r["n_dropped"] for r in linededup.dedup_lines(docs).collect()) == 1
+    new = [p.name for p in top.glob("*") if p.name not in before]
+    assert [n for n in new if n.startswith("line-groups-")]
+    assert not [n for n in new if n.startswith(("lines-", "line-entries-"))]
+
+
+def test_pairs_of_lines_as_on_sets():
+    random = np.random.default_rng(3)
+    pairs = []
+    for size in [1, 3, 7, 8, 12, 40, 200] * 9:
+        a = "".join(random.choice(list("ab é\U0001f600"), size))
+        b = "".join(c if random.random() > 0.03 else "z" for c in a)
+        pairs.append((a, b))
+    want = []
+    for a, b in pairs:
+        x, y = linededup.shingles(a, 7), linededup.shingles(b, 7)
+        want.append(100 * len(x & y) >= 80 * len(x | y))
+    assert linededup.similar_pairs(pairs, 7, 80) == want and {True, False} == set(want)
+
+
 # 5 ---------------------------------------------------------------------------
 
 
