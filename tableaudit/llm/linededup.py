@@ -39,13 +39,15 @@ SHINGLE = 7
 PERCENT = 80
 BANDS, ROWS = 16, 4
 PART_LINES = 2000
-# Lines signed at once, pairs compared at once, texts cut at once, and the size of a group from which arrays beat sets.
-_LINES, _PAIRS, _TEXTS, _ARRAYS = 128, 64, 1024, 16
+# Lines signed at once, pairs or groups compared at once, characters of those, texts cut at once, and the size of a
+# group that is compared alone.
+_LINES, _PAIRS, _CHARS, _TEXTS, _ARRAYS = 128, 64, 1 << 16, 1024, 16
 # Buckets of entries for each partition, and entries that a task holds before it sends them.
 _BUCKETS, _PACKED = 8, 1 << 20
 # Factor of the hash of a shingle, and its inverse modulo 2**64.
 _FACTOR = 0x100000001B3
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
+_KEPT: list[np.ndarray] = []
 _FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x20 if c in (0x09, 0x0D) else c for c in range(256))
 
 
@@ -72,36 +74,59 @@ def shingles(line: str, n: int = SHINGLE) -> set[str]:
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+    mixed, shifted = h.copy(), np.empty_like(h)
+    for shift, factor in ((31, 0x9E3779B97F4A7C15), (29, 0xBF58476D1CE4E5B9), (32, None)):
+        mixed ^= np.right_shift(mixed, np.uint64(shift), out=shifted)
+        if factor:
+            mixed *= np.uint64(factor)
+    return mixed
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """The powers of the factor and of its inverse, from the first on, ``size`` or more; a worker keeps those it needs often."""
+    if size <= 4 * _CHARS and _KEPT:
+        return _KEPT
+    powers = [np.cumprod(np.full(max(size, 4 * _CHARS), x, np.uint64)) for x in (_FACTOR, _INVERSE)]
+    if size <= 4 * _CHARS:
+        _KEPT[:] = powers
+    return powers
 
 
 def shingle_hashes(lines: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     """(number of the line, 64-bit hash) of every n-gram of lines without line feeds, repeats included."""
     # A short line is filled up with zeros, which stand for no character.
     filled = [x if len(x) >= n else x + "\x00" * (n - len(x)) for x in lines]
+    if not filled:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     points = np.frombuffer(("\n".join(filled) + "\n").encode("utf-32-le"), "<u4").astype(np.uint64)
-    breaks = points == 10
-    owner = np.cumsum(breaks) - breaks
+    size = len(points)
+    breaks = np.flatnonzero(points == 10)
     # A window's sum of characters times powers of the factor, from running sums times powers of the inverse.
-    up = np.cumprod(np.full(len(points), _FACTOR, np.uint64))
-    down = np.cumprod(np.full(len(points), _INVERSE, np.uint64))
-    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points + np.uint64(1)) * down)])
-    sums = (running[n:] - running[: max(len(running) - n, 0)]) * up[n - 1 :]
-    ends = np.concatenate([[0], np.cumsum(breaks)])
-    inside = ends[n:] == ends[: len(sums)] if len(sums) else np.zeros(0, bool)
-    return owner[: len(sums)][inside], _mix(sums[inside])
+    up, down = _powers(size)
+    points += np.uint64(1)
+    points *= down[:size]
+    running = np.zeros(size + 1, np.uint64)
+    np.cumsum(points, out=running[1:])
+    sums = running[n:] - running[:-n]
+    sums *= up[n - 1 : size]
+    # No window holds the end of a line.
+    inside = np.ones(len(sums), bool)
+    ends = (breaks[:, None] - np.arange(n)).ravel()
+    inside[ends[ends < len(sums)]] = False
+    windows = np.diff(breaks, prepend=-1) - n
+    return np.repeat(np.arange(len(filled)), windows), _mix(sums[inside])
 
 
 def band_keys(lines: list[str], n: int, bands: int, rows: int) -> np.ndarray:
     """A key for each line and band."""
     owner, hashes = shingle_hashes(lines, n)
     short, bins = hashes >> np.uint64(20), bands * rows
-    own = np.minimum(short // np.uint64((1 << 44) // bins), np.uint64(bins - 1)).astype(np.int64)
+    own = short // np.uint64((1 << 44) // bins)
+    place = np.minimum(own, np.uint64(bins - 1), out=own).view(np.int64)
+    place += owner * bins
     none = np.uint64((1 << 64) - 1)
     least = np.full(len(lines) * bins, none)
-    np.minimum.at(least, owner * bins + own, short)
+    np.minimum.at(least, place, short)
     least = least.reshape(len(lines), bins)
     # The smallest hash at or after the start of the bin; after the last hash of a line its smallest one counts.
     values = np.minimum.accumulate(least[:, ::-1], axis=1)[:, ::-1]
@@ -142,6 +167,52 @@ def line_components(lines: list[str], n: int, percent: int) -> list[int]:
     return root
 
 
+def group_components(groups: list[list[str]], n: int, percent: int) -> list[list[int]]:
+    """``line_components`` of each of at most ``_PAIRS`` groups of less than ``_ARRAYS`` lines."""
+    owner, hashes = shingle_hashes([x for group in groups for x in group], n)
+    # Number of the group, hash and line in one sorted number.
+    ends = [(g << 58) | i for g, group in enumerate(groups) for i in range(len(group))]
+    mixed = (hashes >> np.uint64(10)) << np.uint64(4)
+    mixed |= np.array(ends, np.uint64)[owner]
+    mixed.sort()
+    line = np.left_shift(1, (mixed & np.uint64(15)).view(np.int64))
+    mixed >>= np.uint64(4)
+    first = np.flatnonzero(np.append(True, mixed[1:] != mixed[:-1]))
+    # For each shingle of a group the lines that have it, as bits.
+    having = np.bitwise_or.reduceat(line, first)
+    cuts = np.searchsorted(mixed[first], np.arange(1, len(groups), dtype=np.uint64) << np.uint64(54))
+    found = []
+    for group, own in zip(groups, np.split(having, cuts), strict=True):
+        counts = np.bincount(own)
+        lines = np.flatnonzero(counts)
+        bits = (lines[:, None] >> np.arange(len(group))) & 1
+        shared = (bits * counts[lines][:, None]).T @ bits
+        size = shared.diagonal()
+        over = 100 * shared - percent * (size[:, None] + size - shared)
+        linked = over >= 0
+        # Two shingles may share a shortened hash: what that could decide is counted on the shingles.
+        for i, j in np.argwhere(abs(over) <= 400).tolist():
+            if i < j:
+                a, b = shingles(group[i], n), shingles(group[j], n)
+                linked[i, j] = linked[j, i] = 100 * len(a & b) >= percent * len(a | b)
+        found.append([0] * len(group) if linked[0].all() else _reached(linked.tolist()))
+    return found
+
+
+def _reached(linked: list[list[bool]]) -> list[int]:
+    """For each line the first one that links lead to."""
+    root = [-1] * len(linked)
+    for first in range(len(linked)):
+        if root[first] < 0:
+            root[first], todo = first, [first]
+            while todo:
+                for other, similar in enumerate(linked[todo.pop()]):
+                    if similar and root[other] < 0:
+                        root[other] = first
+                        todo.append(other)
+    return root
+
+
 def similar_pairs(pairs: list[tuple[str, str]], n: int, percent: int) -> list[bool]:
     """Whether the two lines of each of at most ``_PAIRS`` pairs are similar."""
     owner, hashes = shingle_hashes([x for pair in pairs for x in pair], n)
@@ -297,29 +368,40 @@ def line_links(
         task, ids, texts = None, [], []
         a: list[int] = []
         b: list[int] = []
-        keys: list[tuple[int, int]] = []
-        pairs: list[tuple[str, str]] = []
+        keys: list[list[int]] = []
+        small: list[list[str]] = []
+        chars = 0
+
+        def join(own: list[int], roots: list[int]) -> None:
+            for i, first in enumerate(roots):
+                if i != first:
+                    a.append(own[i])
+                    b.append(own[first])
 
         def compare() -> None:
+            nonlocal chars
+            pairs = [i for i, group in enumerate(small) if len(group) == 2]
+            more = [i for i, group in enumerate(small) if len(group) > 2]
             if pairs:
-                for (low, high), linked in zip(keys, similar_pairs(pairs, n, percent), strict=True):
-                    if linked:
-                        a.append(high)
-                        b.append(low)
+                for i, linked in zip(pairs, similar_pairs([(small[i][0], small[i][1]) for i in pairs], n, percent), strict=True):
+                    join(keys[i], [0, 0] if linked else [0, 1])
+            if more:
+                for i, roots in zip(more, group_components([small[i] for i in more], n, percent), strict=True):
+                    join(keys[i], roots)
             keys.clear()
-            pairs.clear()
+            small.clear()
+            chars = 0
 
         def close() -> None:
-            if len(ids) == 2:
-                keys.append((ids[0], ids[1]))
-                pairs.append((texts[0], texts[1]))
-                if len(pairs) == _PAIRS:
+            nonlocal chars
+            if len(ids) >= _ARRAYS:
+                join(ids, line_components(texts, n, percent))
+            elif len(ids) > 1:
+                keys.append(ids)
+                small.append(texts)
+                chars += sum(map(len, texts))
+                if len(small) == _PAIRS or chars >= _CHARS:
                     compare()
-            elif len(ids) > 2:
-                for i, first in enumerate(line_components(texts, n, percent)):
-                    if i != first:
-                        a.append(ids[i])
-                        b.append(ids[first])
 
         def rows_of() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])

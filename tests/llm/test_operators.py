@@ -459,6 +459,34 @@ def test_pairs_of_lines_as_on_sets():
     assert linededup.similar_pairs(pairs, 7, 80) == want and {True, False} == set(want)
 
 
+def test_small_groups_of_lines_are_compared_together(monkeypatch):
+    rng = np.random.default_rng(4)
+    groups = []
+    for size in [2, 3, 4, 5, 9, 15] * 5:
+        base = "".join(rng.choice(list("ab \u00e9\U0001f600cdefgh"), int(rng.integers(1, 150))))
+        chain = [base]
+        while len(chain) < size:
+            chain.append(changed(rng, chain[-1], min(len(base), int(rng.integers(0, 4)))) if rng.random() < 0.8 else f"{len(chain)} {base[::-1]}")
+        groups.append(chain)
+    want = [linededup.line_components(g, 7, 80) for g in groups]
+    assert linededup.group_components(groups, 7, 80) == want
+    assert {True, False} == {any(r not in (0, i) for i, r in enumerate(roots)) for roots in want}
+    # Groups that are clearly alike or apart need no sets of shingles.
+    x, y = ("".join(chr(97 + int(c)) for c in rng.integers(0, 26, 300)) for _ in range(2))
+    monkeypatch.setattr(linededup, "shingles", None)
+    assert linededup.group_components([[x, x[:-1], y], [y, x, y[1:]]], 7, 80) == [[0, 0, 2], [0, 1, 0]]
+
+
+def test_hashes_of_shingles_do_not_depend_on_what_is_hashed_with_them():
+    lines = ["", "a", "ab", "x" * 7, "abcdefgh", "\U0001f600" * 8, "x" * 300000, "a\x00b", "abcdefgh"]
+    owner, hashes = linededup.shingle_hashes(lines, 7)
+    assert linededup.shingle_hashes([], 7)[1].shape == (0,)
+    for i, line in enumerate(lines):
+        alone = linededup.shingle_hashes([line], 7)[1]
+        assert len(alone) == max(len(line) - 6, 1) and (hashes[owner == i] == alone).all()
+        assert len(set(alone.tolist())) == len(linededup.shingles(line, 7))
+
+
 # 5 ---------------------------------------------------------------------------
 
 
