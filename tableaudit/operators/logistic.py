@@ -4,8 +4,11 @@ For ``f(w, b) = |w|^2 / 2 + strength * sum(log loss)`` every point that the step
 is a sum of the training rows, ``w = X' u``.  So the driver keeps ``u``, a number per
 row, and never a number per feature: the solver only asks for ``X X' v``.  The entries
 of ``X`` lie in blocks of whole columns that stay cached on the executors, and such a
-product is one job, a pass, whose sums are added up a tree.  No matrix of rows by rows or
-of columns by columns is ever built.  The weights are summed by column once at the end.
+product is one job, a pass.  Its sums are added up by ranges of rows: a task sends only
+the rows that its columns reach, so at most about a number per entry, and the driver gets
+a number per row.  What a pass moves thus grows with the entries and no faster.
+No matrix of rows by rows or of columns by columns is ever built.  The weights are summed
+by column once at the end.
 
 Any ``u`` gives a feasible point of the dual problem, and the difference of both
 objectives bounds how far ``f`` is from its minimum.  The fit stops when that bound is
@@ -14,7 +17,6 @@ small, and reports it.
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -24,10 +26,15 @@ from pyspark import RDD, StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import staged
 
 BLOCK_CELLS = 1 << 20
+# A task has several blocks, unless all cores would not get a quarter of one.
+TASK_BLOCKS = 8
+# Rows whose sums are added up together.
+RANGE_ROWS, LEAST_RANGE_ROWS = 1 << 17, 1 << 12
 
 
 @dataclass(frozen=True)
@@ -53,12 +60,18 @@ class Blocks:
 
     def weights(self, dual: np.ndarray) -> DataFrame:
         """``(column, n, weight)``: rows with an entry, and the sum of the dual numbers times the entries."""
-        rows = pa.table({"row": self.numbers, "dual": dual})
-        duals = self.entries.sparkSession.createDataFrame(rows)
-        # A number per training row: the driver holds them anyway.
-        return self.entries.join(F.broadcast(duals), "row").groupBy("column").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col("value") * F.col("dual")).alias("weight")
-        )
+        sent = self.cells.context.broadcast((self.numbers, dual))
+
+        def pulled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                numbers, duals = sent.value
+                given = duals[np.searchsorted(numbers, batch.column("row").to_numpy())]
+                pulls = pa.array(batch.column("value").to_numpy() * given)
+                yield pa.RecordBatch.from_arrays([batch.column("column"), pulls], names=["column", "pull"])
+
+        schema = T.StructType([self.entries.schema["column"], T.StructField("pull", T.DoubleType())])
+        pulls = self.entries.select("column", "row", "value").mapInArrow(pulled, schema)
+        return pulls.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.sum("pull").alias("weight"))
 
     def release(self) -> None:
         self.cells.unpersist()
@@ -73,8 +86,11 @@ def column_blocks(rows: DataFrame, entries: DataFrame) -> Blocks:
     """Blocks of the written ``entries`` (row, column, value) of the written ``rows`` (row, label)."""
     known = rows.select("row", F.col("label").cast("double").alias("label")).toArrow().sort_by("row")
     numbers, labels = (known.column(name).to_numpy() for name in ("row", "label"))
-    sent = rows.sparkSession.sparkContext.broadcast(numbers)
-    most = BLOCK_CELLS
+    context = rows.sparkSession.sparkContext
+    sent = context.broadcast(numbers)
+    most, size = BLOCK_CELLS, entries.count()
+    # The fewer tasks, the fewer rows are reached by several of them.
+    tasks = max(1, -(-size // (most * TASK_BLOCKS)), min(context.defaultParallelism, 4 * size // most))
 
     def block(part: pa.Table) -> pa.RecordBatch:
         codes = part.column("column").combine_chunks().dictionary_encode().indices.to_numpy()
@@ -106,7 +122,7 @@ def column_blocks(rows: DataFrame, entries: DataFrame) -> Blocks:
         return tuple(np.frombuffer(cell, kind) for cell, kind in zip(row, kinds, strict=True))
 
     # No column holds more entries than there are training rows.
-    dealt = entries.select("column", "row", "value").repartition("column").sortWithinPartitions("column")
+    dealt = entries.select("column", "row", "value").repartition(tasks, "column").sortWithinPartitions("column")
     packed = dealt.mapInArrow(pack, "columns binary, rows binary, values binary")
     return Blocks(numbers, labels, entries, packed.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK))
 
@@ -130,22 +146,49 @@ class _Passes:
         self.blocks, self.used = blocks.cells, 0
 
     def product(self, v: np.ndarray) -> np.ndarray:
-        """``X X' v``; the vector reaches each executor once."""
+        """``X X' v``; the vector reaches each executor once, and comes back as one number per row."""
         self.used += 1
-        sent = self.blocks.context.broadcast(v)
+        context = self.blocks.context
+        ranges = max(-(-len(v) // RANGE_ROWS), min(context.defaultParallelism, len(v) // LEAST_RANGE_ROWS), 1)
+        ends = [len(v) * i // ranges for i in range(ranges + 1)]
+        sent = context.broadcast(v)
 
-        def part(blocks: Iterator) -> Iterator[np.ndarray]:
+        def part(task: int, blocks: Iterator) -> Iterator:
             given, out = sent.value, None
             for columns, rows, values in blocks:
                 sums = np.bincount(columns, weights=values * given[rows])
                 one = np.bincount(rows, weights=values * sums[columns], minlength=len(given))
-                out = one if out is None else out + one
-            return iter([] if out is None else [out])
-
+                out = one if out is None else np.add(out, one, out=out)
+            for r in range(ranges if out is not None else 0):
+                some = out[ends[r] : ends[r + 1]]
+                reached = np.flatnonzero(some)
+                # A place takes half as much as a number.
+                if 3 * len(reached) < 2 * len(some):
+                    yield r, (task, reached.astype(np.int32), some[reached])
+                else:
+                    yield r, (task, None, some)
+
+        def total(messages: Iterator) -> Iterator:
+            by_range: dict = {}
+            for r, message in messages:
+                by_range.setdefault(r, []).append(message)
+            for r, found in by_range.items():
+                out = np.zeros(ends[r + 1] - ends[r])
+                # In one order, so that the sums do not depend on what came first.
+                for _, places, some in sorted(found, key=lambda message: message[0]):
+                    out[slice(None) if places is None else places] += some
+                yield r, out
+
+        summed = self.blocks.mapPartitionsWithIndex(part).partitionBy(ranges, int).mapPartitions(total)
         try:
-            return np.zeros(len(v)) + self.blocks.mapPartitions(part).treeAggregate(0.0, operator.add, operator.add)
+            out = np.zeros(len(v))
+            for r, some in summed.collect():
+                out[ends[r] : ends[r + 1]] = some
+            return out
         finally:
             sent.destroy()
+            # Now, not when the driver happens to collect its garbage: every pass has such files.
+            summed._jrdd.rdd().cleanShuffleDependencies(False)
 
 
 @dataclass(frozen=True)

@@ -82,14 +82,16 @@ def tf_idf(df: DataFrame, doc: str, text: str) -> DataFrame:
     return weighted.select("doc", "term", "tf", (F.col("w") / length).alias("tfidf"))
 
 
-def training_rows(df: DataFrame, text: str, rule: LabelRule, max_training_rows: int = 200_000) -> DataFrame:
-    """The rows a baseline is fitted on, with all their columns.
+def training_rows(df: DataFrame, text: str, rule: LabelRule, max_training_rows: int | None = None) -> DataFrame:
+    """The rows a baseline is fitted on, with all their columns: every row with an allowed label.
 
-    Rows without an allowed label are left out.  Where there are more labelled
-    rows than ``max_training_rows``, a share of them is taken by a hash of text and
-    label, so that about that many are left.
+    Only a caller who gives ``max_training_rows`` gets fewer: where there are more
+    labelled rows, a share of them is taken by a hash of text and label, so that
+    about that many are left.
     """
     train = df.where(label_valid(rule))
+    if max_training_rows is None:
+        return train
     labelled = train.count()
     if labelled <= max_training_rows:
         return train
@@ -160,11 +162,11 @@ def fit_baseline(
     rule: LabelRule,
     max_passes: int = 200,
     tolerance: float = 1e-10,
-    max_training_rows: int = 200_000,
+    max_training_rows: int | None = None,
 ) -> PipelineModel:
     """TF-IDF and an L2 logistic regression with unit inverse strength, as one pipeline.
 
-    The fit is on ``training_rows``; the bound limits the fit, and nothing else:
+    The fit is on ``training_rows``, all labelled rows unless the caller sets a bound;
     every term of those rows becomes a feature and all rows are scored.  The driver
     holds numbers by training row; terms and their weights stay in a table in the
     shared folder.  It ends with a certified optimum, or after ``max_passes`` passes

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tableaudit.operators import logistic, thresholds
 from tableaudit.operators import textmodel as model
+from tableaudit.plans import texts
 from tableaudit.spec import LabelRule
 
 RULE = LabelRule("y", ("0", "1"), "1")
@@ -49,6 +50,30 @@ def test_fit_equals_a_plain_solver(spark, strength, monkeypatch):
     assert fitted.fitted.passes <= 200 and 0 <= fitted.fitted.gap <= 1e-9 * max(1, least)
 
 
+def test_product_is_summed_by_ranges_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(logistic, "BLOCK_CELLS", 8)
+    monkeypatch.setattr(logistic, "TASK_BLOCKS", 2)
+    monkeypatch.setattr(logistic, "RANGE_ROWS", 7)
+    rng = np.random.default_rng(7)
+    # Full columns send all rows of a range, thin ones only those they reach; the last rows have no entry at all.
+    x = rng.normal(size=(50, 12)) * (rng.random((50, 12)) < np.r_[np.ones(2), np.full(10, 0.05)])
+    x[43:] = 0
+    v = rng.normal(size=50)
+    blocks = logistic.sparse_blocks(sparse_rows(spark, x, np.arange(50) % 2), "features", "label")
+    assert blocks.cells.getNumPartitions() > 4
+    passes = logistic._Passes(blocks)
+    # Rows are numbered by partition, so the blocks say which row is which.
+    full = np.zeros((50, 12))
+    for r in blocks.entries.collect():
+        full[np.searchsorted(blocks.numbers, r["row"]), r["column"]] = r["value"]
+    assert sorted(map(tuple, full)) == sorted(map(tuple, x))
+    assert passes.product(v) == pytest.approx(full @ (full.T @ v), abs=1e-12) and passes.used == 1
+    weights = {r["column"]: (r["n"], r["weight"]) for r in blocks.weights(v).collect()}
+    assert set(weights) == set(np.flatnonzero(x.any(axis=0)))
+    for c, (n, w) in weights.items():
+        assert n == (x[:, c] != 0).sum() and w == pytest.approx(full[:, c] @ v)
+
+
 def test_gap_bounds_the_distance_of_an_unfinished_fit(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(80, 6))
@@ -95,6 +120,24 @@ def test_optimum_holds_on_the_rows_of_a_bounded_fit(spark):
     assert model.optimum_gap(fitted, docs, "a", "text", RULE).first()["gap"] > 1e-2
 
 
+def test_queries_fit_all_labelled_rows(spark, tmp_path):
+    """More rows than the 200,000 that once bounded the fit, and some without an allowed label."""
+    n = 200_500
+    ids = spark.range(n + 20).withColumnRenamed("id", "doc_id")
+    docs = ids.selectExpr("doc_id", "concat('word', doc_id % 4001, IF(doc_id % 5 = 0, ' bad', ' good')) AS text", "1 AS n_chars")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    label = f"IF(doc_id < {n}, CAST(doc_id % 5 = 0 OR doc_id % 17 = 0 AS INT), 2)"
+    ids.selectExpr("doc_id", f"{label} AS toxic").write.parquet(str(tmp_path / "labels.parquet"))
+    fitted = texts.fitted_baseline(spark, str(tmp_path))
+    assert len(fitted.stages[-1].fitted.dual) == n
+    assert sum(r["n"] for r in fitted.stages[1].terms.collect()) == 2 * n
+    rows = model.training_rows(texts.labelled_documents(spark, str(tmp_path)), "text", texts.DOCS_PARAMS.label)
+    assert rows.count() == n
+    check = texts.text_model_check(spark, str(tmp_path)).first().asDict()
+    positive = sum(i % 5 == 0 or i % 17 == 0 for i in range(n))
+    assert check == {"n_pos": positive, "n_neg": n - positive, "optimum_reached": True, "gap_certified": True, "within_passes": True}
+
+
 def test_auc_equals_the_evaluator(spark):
     docs = many_texts(spark)
     scored = model.score(model.fit_baseline(docs, "text", RULE), docs, "text")
