@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import staged
+from ..session import staged_alone
 
-BLOCK_CELLS = 1 << 20
+BLOCK_CELLS = 1 << 18
 # A task has several blocks, unless all cores would not get a quarter of one.
 TASK_BLOCKS = 8
 # Rows whose sums are added up together.
@@ -79,7 +79,12 @@ class Blocks:
 
 def numbered(df: DataFrame, purpose: str) -> DataFrame:
     """The rows with a number ``row``, written once so that a recomputed task finds the same numbers."""
-    return staged(df.withColumn("row", F.monotonically_increasing_id()), purpose)
+    return staged_alone(df.withColumn("row", F.monotonically_increasing_id()), purpose)
+
+
+def _drop_shuffles(rdd: RDD) -> None:
+    """Shuffle files below an RDD go now, not when the driver happens to collect its garbage; they can be made again."""
+    rdd._jrdd.rdd().cleanShuffleDependencies(False)
 
 
 def column_blocks(rows: DataFrame, entries: DataFrame) -> Blocks:
@@ -94,10 +99,10 @@ def column_blocks(rows: DataFrame, entries: DataFrame) -> Blocks:
 
     def block(part: pa.Table) -> pa.RecordBatch:
         codes = part.column("column").combine_chunks().dictionary_encode().indices.to_numpy()
-        places = np.searchsorted(sent.value, part.column("row").to_numpy()).astype(np.int32)
-        arrays = (codes.astype(np.int32), places, part.column("value").to_numpy())
+        places, rows = np.unique(np.searchsorted(sent.value, part.column("row").to_numpy()), return_inverse=True)
+        arrays = (codes, rows.astype(np.int32), part.column("value").to_numpy(), places.astype(np.int32))
         return pa.RecordBatch.from_arrays(
-            [pa.array([x.tobytes()], pa.binary()) for x in arrays], names=["columns", "rows", "values"]
+            [pa.array([x.tobytes()], pa.binary()) for x in arrays], names=["columns", "rows", "values", "places"]
         )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,13 +123,16 @@ def column_blocks(rows: DataFrame, entries: DataFrame) -> Blocks:
             yield block(pa.Table.from_batches(held))
 
     def unpack(row):
-        kinds = (np.int32, np.int32, np.float64)
+        kinds = (np.int32, np.int32, np.float64, np.int32)
         return tuple(np.frombuffer(cell, kind) for cell, kind in zip(row, kinds, strict=True))
 
     # No column holds more entries than there are training rows.
     dealt = entries.select("column", "row", "value").repartition(tasks, "column").sortWithinPartitions("column")
-    packed = dealt.mapInArrow(pack, "columns binary, rows binary, values binary")
-    return Blocks(numbers, labels, entries, packed.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK))
+    packed = dealt.mapInArrow(pack, "columns binary, rows binary, values binary, places binary")
+    cells = packed.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
+    cells.count()
+    _drop_shuffles(cells)
+    return Blocks(numbers, labels, entries, cells)
 
 
 def sparse_blocks(df: DataFrame, features: str, label: str) -> Blocks:
@@ -155,10 +163,11 @@ class _Passes:
 
         def part(task: int, blocks: Iterator) -> Iterator:
             given, out = sent.value, None
-            for columns, rows, values in blocks:
-                sums = np.bincount(columns, weights=values * given[rows])
-                one = np.bincount(rows, weights=values * sums[columns], minlength=len(given))
-                out = one if out is None else np.add(out, one, out=out)
+            for columns, rows, values, places in blocks:
+                sums = np.bincount(columns, weights=values * given[places][rows])
+                out = np.zeros(len(given)) if out is None else out
+                # A block has each of its rows once in ``places``; its time does not grow with the other rows.
+                out[places] += np.bincount(rows, weights=values * sums[columns])
             for r in range(ranges if out is not None else 0):
                 some = out[ends[r] : ends[r + 1]]
                 reached = np.flatnonzero(some)
@@ -187,8 +196,7 @@ class _Passes:
             return out
         finally:
             sent.destroy()
-            # Now, not when the driver happens to collect its garbage: every pass has such files.
-            summed._jrdd.rdd().cleanShuffleDependencies(False)
+            _drop_shuffles(summed)
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import quoted
 from ..functions.text import TOKEN, tokens
-from ..session import staged
+from ..session import drop_staged, staged_alone
 from ..spec import LabelRule
 from .label import label_positive, label_valid
 from .leakage import univariate_auc
@@ -179,7 +179,7 @@ def fit_baseline(
         "training-rows",
     )
     features = tf_idf(rows, "row", "text")
-    entries = staged(
+    entries = staged_alone(
         features.select(F.col("doc").alias("row"), F.col("term").alias("column"), F.col("tfidf").alias("value")),
         "training-entries",
     )
@@ -191,11 +191,14 @@ def fit_baseline(
     weights = blocks.weights(fit.dual).select(
         F.col("column").alias("term"), "n", smooth_idf(F.col("n"), len(blocks.labels)).alias("idf"), "weight"
     )
+    terms = staged_alone(weights, "term-weights")
+    for read in (rows, entries):
+        drop_staged(read)
     tokenizer = SQLTransformer(
         statement=f"SELECT *, regexp_extract_all(lower(text), '{SQL_TOKEN}', 0) AS tokens FROM __THIS__"
     )
     return PipelineModel(
-        stages=[tokenizer, TermLogOdds(staged(weights, "term-weights"), fit.intercept), LogisticCurve(fit)]
+        stages=[tokenizer, TermLogOdds(terms, fit.intercept), LogisticCurve(fit)]
     )
 
 

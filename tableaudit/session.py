@@ -58,6 +58,27 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_alone(df: DataFrame, purpose: str) -> DataFrame:
+    """As ``staged``; what was shuffled for the rows goes once they are written, not when the driver collects its garbage."""
+    spark = df.sparkSession
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        return staged(df, purpose)
+    finally:
+        if kept is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, kept)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Remove what ``staged`` has written, once nothing reads it any more."""
+    for folder in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
+        remove_folder(df.sparkSession, folder)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
